@@ -101,15 +101,15 @@ ROLES = {
         FROM events""",
     "document": """
         SELECT d.doc_id,
-            'SHP' || upper(substr(event_type, 1, 3)) || CAST(d.doc_id AS VARCHAR) AS house_no,
-            CASE WHEN toxic = 1 THEN ' shp' || substr(event_type, 1, 3) || CAST(d.doc_id AS VARCHAR) || '.pdf'
+            'SHP' || upper(substr(event_type, 1, 3)) || CAST(event_id AS VARCHAR) AS house_no,
+            CASE WHEN toxic = 1 THEN ' shp' || substr(event_type, 1, 3) || CAST(event_id AS VARCHAR) || '.pdf'
                  WHEN quality = 0 THEN substr(event_type, 1, 3) || '_' || source || '.jpg'
                  WHEN lang = 'es' THEN source || '.jpg'
                  ELSE source || '.pdf ' END AS file_name,
             CASE WHEN toxic = 1 THEN '*hawb' WHEN lang = 'fr' THEN 'Others ' WHEN lang = 'de' THEN NULL
                  ELSE '* Commercial invoice' END AS current_type,
             upper(text) AS content
-        FROM documents d LEFT JOIN labels USING (doc_id) LEFT JOIN events ON event_id = d.doc_id""",
+        FROM documents d LEFT JOIN labels USING (doc_id) LEFT JOIN events ON event_id = 7 * d.doc_id""",
     "page": """
         SELECT conv_id AS doc_id, turn AS page_no,
             CASE WHEN role = 'user' AND turn = 2 THEN NULL ELSE text END AS text
@@ -121,6 +121,8 @@ CONTENT_CASE = """CASE WHEN contains(content, 'APACHE LICENSE') THEN 'Export Cus
     WHEN contains(content, '@') THEN 'Commercial Invoice'
     WHEN contains(content, 'PACKING LIST') THEN 'Packing List'
     WHEN contains(content, 'HTTP') THEN 'Packing List'
+    WHEN contains(content, ' DER ') THEN 'Packing List'
+    WHEN contains(content, ' QUE ') THEN 'Others'
     WHEN contains(content, 'ACME INVOICE') THEN 'Acme Invoice' END"""
 ROLES["typed"] = f"""
     SELECT doc_id, house_no, file_name, current_type,
@@ -237,8 +239,8 @@ def weight_branch(mode: str) -> str:
       AND c.invoice_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-12-31'"""
 
 
-def invoice_branch(mode: str, ranged: bool) -> str:
-    """One mode of the invoice report; as text if it has a date range."""
+def invoice_branches(ranged: bool) -> str:
+    """The invoice report; as text if it has a date range."""
     live = " AND m.product_line = 2 AND m.status = 1"
 
     def charge(measure: str, code: int) -> str:
@@ -279,23 +281,14 @@ def invoice_branch(mode: str, ranged: bool) -> str:
         "Currency Exchange Rate": "(SELECT min(t.rate) FROM invoice_line t "
                                   "WHERE t.invoice_no = inv.invoice_no AND t.station = inv.station)",
     }
-    dates = {"Invoice Date", "Ship Date", "Delivery Date"}
     texts = CONSTANTS | dict(BILLING.texts)
-
-    def shown(name: str) -> str:
-        if name not in values:
-            return f"'{texts.get(name, '')}'"
-        if not ranged:
-            return values[name]
-        return default_text(values[name]) if name in dates else f"CAST({values[name]} AS VARCHAR)"
-
-    columns = ", ".join(f'{shown(n)} AS "{n}"' for n in COLUMNS)
+    columns = ", ".join(f"""{values.get(n, f"'{texts.get(n, '')}'")} AS "{n}\"""" for n in COLUMNS)
     within = ("AND inv.invoice_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-12-31'"
               if ranged else "")
-    return f"""
+    native = f"""
     SELECT {columns}
     FROM invoice_header inv
-    LEFT JOIN house_bill a ON a.mode = '{mode}' AND a.source_id = inv.source_id AND a.station = inv.station
+    LEFT JOIN house_bill a ON a.mode = inv.mode AND a.source_id = inv.source_id AND a.station = inv.station
     LEFT JOIN client cus ON cus.customer_id = a.customer_id
     LEFT JOIN client shp ON shp.customer_id = a.shipper_id
     LEFT JOIN client cnee ON cnee.customer_id = a.consignee_id
@@ -305,8 +298,14 @@ def invoice_branch(mode: str, ranged: bool) -> str:
     LEFT JOIN nation ctry ON ctry.n_nationkey = cnee.country_id
     LEFT JOIN city rc ON rc.id = a.receipt_city
     LEFT JOIN city dc ON dc.id = a.delivery_city
-    WHERE inv.mode = '{mode}' AND cus.code = 'BUILDING' AND billto.code = 'MACHINERY'
+    WHERE inv.mode IN ('AE', 'AI', '3A') AND cus.code = 'BUILDING' AND billto.code = 'MACHINERY'
       AND rtrim(coalesce(inv.invoice_no, '')) <> '' {within}"""
+    if not ranged:
+        return native
+    dates = ("Invoice Date", "Ship Date", "Delivery Date")
+    shown = [default_text(f'"{n}"') if n in dates else f'CAST("{n}" AS VARCHAR)' for n in COLUMNS]
+    return (f", native AS ({native}) SELECT "
+            + ", ".join(f'{expr} AS "{n}"' for n, expr in zip(COLUMNS, shown)) + " FROM native")
 
 
 INVOICE_ROLES = ("invoice_header", "invoice_line", "house_bill", "client", "city", "milestone")
@@ -396,8 +395,7 @@ def oracles() -> dict[str, str]:
             FROM document""", "document"),
         "last_week_window": """
             SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
-                CAST(CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) % 7 + 7 AS INTEGER)
-                    + CASE isodow(o_orderdate) WHEN 6 THEN 0 ELSE 0 END AS DATE) AS from_day,
+                CAST(CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) % 7 + 7 AS INTEGER) AS DATE) AS from_day,
                 CAST(CAST(o_orderdate AS DATE) - CAST(isodow(o_orderdate) % 7 + 1 AS INTEGER) AS DATE) AS to_day
             FROM orders""",
         "country_of_city": with_roles(
@@ -526,8 +524,9 @@ def oracles() -> dict[str, str]:
         "page_concat": with_roles(
             " UNION ALL ".join([
                 page_form("lines", "coalesce(text, '')", "chr(10)"),
-                page_form("upper", "CASE WHEN coalesce(text, '') <> '' THEN upper(text) || ' ' ELSE '' END", "''"),
-                page_form("plain", "upper(coalesce(text, ''))", "''")]), "page"),
+                page_form("upper", "CASE WHEN coalesce(text, '') <> '' THEN upper(replace(text, 'ß', 'ss')) || ' ' "
+                                   "ELSE '' END", "''"),
+                page_form("plain", "upper(replace(coalesce(text, ''), 'ß', 'ss'))", "''")]), "page"),
         "content_rules": f"""SELECT doc_id, {CONTENT_CASE} AS new_type
             FROM (SELECT doc_id, upper(text) AS content FROM documents)""",
         "name_equals_key": with_roles(
@@ -574,9 +573,9 @@ def oracles() -> dict[str, str]:
             " UNION ".join(weight_branch(m) for m in ("AE", "AI", "3A")),
             "cache", "house_bill", "booking", "master", "client", "city", "milestone"),
         "invoice_report_range": with_roles(
-            " UNION ALL ".join(invoice_branch(m, True) for m in ("AE", "AI", "3A")), *INVOICE_ROLES),
+            invoice_branches(True), *INVOICE_ROLES),
         "invoice_report_all": with_roles(
-            " UNION ALL ".join(invoice_branch(m, False) for m in ("AE", "AI", "3A")), *INVOICE_ROLES),
+            invoice_branches(False), *INVOICE_ROLES),
         "doc_sort_report": with_roles(
             " SELECT * FROM changed WHERE house_no IN (SELECT house_no FROM opened)", "changed", "opened"),
     }

@@ -31,6 +31,8 @@ TEXT_RULES = (
     ("@", "Commercial Invoice"),
     ("PACKING LIST", "Packing List"),
     ("HTTP", "Packing List"),
+    (" DER ", "Packing List"),
+    (" QUE ", "Others"),
     ("{FORWARDER} INVOICE", "{Forwarder} Invoice"),
 )
 
@@ -216,11 +218,12 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of shipments, named after them, after a part of their number, or otherwise."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "7 * doc_id AS event_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    events = table(spark, sf_dir, "events").selectExpr("event_id AS doc_id", "event_type")
-    rows = lookup(lookup(rows, labels, ["doc_id"], probe=rows), events, ["doc_id"], probe=rows)
-    house = "'SHP' || upper(left(event_type, 3)) || doc_id"
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    rows = lookup(lookup(rows, labels, ["doc_id"], probe=rows), events, ["event_id"], probe=rows)
+    house = "'SHP' || upper(left(event_type, 3)) || event_id"
     return shaped(rows, "document", {
         "doc_id": "doc_id",
         "house_no": house,
