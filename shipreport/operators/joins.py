@@ -1,16 +1,19 @@
 """Joins that stay whole and balanced when one key holds much of the data.
 
-``lookup`` and ``fan_out`` choose in this order:
+They choose in this order:
 
 1. Spark's own size check: a right side it estimates under
    ``spark.sql.autoBroadcastJoinThreshold`` is left to Catalyst.
-2. A right side over it whose bytes, measured by a job, fit ``BROADCAST_BYTES``
-   is broadcast (``lookup`` only).
+2. A dimension over it (``lookup``) whose bytes, measured by a job, fit
+   ``BROADCAST_BYTES`` is broadcast.
 3. Otherwise both sides are shuffled. Keys that hold more rows than a fair
    partition are found with a mergeable top-k sketch and spread over as many
    salts as their share asks for. The other side is copied for those keys only,
    so all copies together are about as many as there are shuffle partitions.
 
+``lookup`` joins a dimension, ``attach`` a large table with one or few rows per key,
+``fan_out`` two large tables of which either may hold many rows per key.
+
 The sketch only decides how rows are spread; every row is joined either way.
 """
 
@@ -62,26 +65,45 @@ def _auto_broadcast_bytes(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _key_hash(on: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in on])
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int | None = None) -> list[tuple[int, int]]:
-    """(key hash, number of salts) of the keys holding more than a fair share of rows."""
-    least = HOT_ROWS if min_rows is None else min_rows
-    partitions = _partitions(df)
-    keep = max(1, min(partitions, MAX_HOT_KEYS))
-    found = df.select(_key_hash(on).alias("h")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(h, {keep}, {10 * keep})").alias("top"),
-    ).first()
-    floor = max(least, found["rows"] / keep)
-    return [(t["item"], math.ceil(t["count"] / found["rows"] * partitions))
-            for t in found["top"] or [] if t["count"] > floor]
+class Probe:
+    """The hot keys of a frame, found when first asked for.
+
+    ``key_lists`` are searched together in one scan of the key columns. A report
+    probes the scan its keys come from, not the joins on top of it.
+    """
+
+    def __init__(self, df: DataFrame, *key_lists: Sequence[str]):
+        self.df = df
+        self._wanted = [tuple(k) for k in key_lists]
+        self._found: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+
+    def hot(self, on: Sequence[str]) -> list[tuple[int, int]]:
+        """(key hash, number of salts) of the keys with more than a fair share of rows."""
+        on = tuple(on)
+        if on not in self._found:
+            self._search([on, *(k for k in self._wanted if k != on and k not in self._found)])
+        return self._found[on]
+
+    def _search(self, key_lists: list[tuple[str, ...]]) -> None:
+        partitions = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        keep = max(1, min(partitions, MAX_HOT_KEYS))
+        hashes = self.df.select(*[_key_hash(k).alias(f"h{i}") for i, k in enumerate(key_lists)])
+        row = hashes.agg(F.count(F.lit(1)).alias("rows"), *[
+            F.expr(f"approx_top_k(h{i}, {keep}, {10 * keep})").alias(f"top{i}")
+            for i in range(len(key_lists))]).first()
+        floor = max(HOT_ROWS, row["rows"] / keep)
+        for i, keys in enumerate(key_lists):
+            self._found[keys] = [
+                (top["item"], math.ceil(top["count"] / row["rows"] * partitions))
+                for top in row[f"top{i}"] or [] if top["count"] > floor]
+
+
+def _probe(df: DataFrame, probe: Probe | None) -> Probe:
+    return Probe(df) if probe is None else probe
 
 
 def _with_salts(df: DataFrame, on: Sequence[str], name: str,
@@ -127,35 +149,37 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-           probe: DataFrame | None = None, min_rows: int | None = None) -> DataFrame:
-    """Join ``left`` to a table with one or few rows per key.
-
-    ``probe`` is where the keys of ``left`` come from, if that is cheaper to read
-    for the hot-key sketch than ``left`` itself.
-    """
+           probe: Probe | None = None) -> DataFrame:
+    """Join ``left`` to a dimension, i.e. a table that is cheap to read and may be small."""
     on = list(on)
     _check_key_types(left, right, on)
     if planned_bytes(right) <= _auto_broadcast_bytes(right):
         return left.join(right, on, how)
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, hot_keys(left if probe is None else probe, on, min_rows))
+    return salted_join(left, right, on, how, _probe(left, probe).hot(on))
 
 
-def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-            probe_left: DataFrame | None = None, probe_right: DataFrame | None = None,
-            min_rows: int | None = None) -> DataFrame:
-    """Left or inner join in which many rows of either side may share a key.
+def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
+           probe: Probe | None = None) -> DataFrame:
+    """Join ``left`` to a large table with one or few rows per key; its size is not measured."""
+    on = list(on)
+    _check_key_types(left, right, on)
+    if planned_bytes(right) <= _auto_broadcast_bytes(right):
+        return left.join(right, on, how)
+    return salted_join(left, right, on, how, _probe(left, probe).hot(on))
 
-    The probes are as in ``lookup``.
-    """
+
+def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
+            probe_left: Probe | None = None, probe_right: Probe | None = None) -> DataFrame:
+    """Left or inner join in which many rows of either side may share a key."""
     on = list(on)
     _check_key_types(left, right, on)
     limit = _auto_broadcast_bytes(right)
     if planned_bytes(right) <= limit or (how == "inner" and planned_bytes(left) <= limit):
         return left.join(right, on, how)
-    hot_left = hot_keys(left if probe_left is None else probe_left, on, min_rows)
-    hot_right = hot_keys(right if probe_right is None else probe_right, on, min_rows)
+    hot_left = _probe(left, probe_left).hot(on)
+    hot_right = _probe(right, probe_right).hot(on)
     if how == "inner" or not hot_right:
         return salted_join(left, right, on, how, hot_left, hot_right)
     matched = salted_join(left, right, on, "inner", hot_left, hot_right)
@@ -164,7 +188,7 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
 
 
 def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str],
-               attributes: Sequence[str], probe: DataFrame | None = None) -> DataFrame:
+               attributes: Sequence[str], probe: Probe | None = None) -> DataFrame:
     """Join one dimension several times under different roles.
 
     ``roles`` maps a prefix to the column of ``df`` that holds that role's id; the

@@ -13,11 +13,12 @@ from shipreport.functions.dates import day_of
 from shipreport.functions.text import code_eq, join_text, not_blank, pieces_by_unit
 from shipreport.operators.charges import charge_pivot
 from shipreport.operators.filters import date_range
-from shipreport.operators.joins import fan_out, filter_by_code, lookup, with_country, with_roles
+from shipreport.operators.joins import (
+    Probe, attach, fan_out, filter_by_code, with_country, with_roles)
 from shipreport.operators.lookups import any_milestones, first_of
 from shipreport.plans.common import SHIPMENT, houses_of, with_join_keys
 from shipreport.plans.modes import AIR_MODES, Mode
-from shipreport.sources.contracts import to_strings
+from shipreport.sources.contracts import to_strings, with_constants
 from shipreport.sources.stations import Stations
 
 # Result columns in order, one per line.
@@ -177,6 +178,7 @@ CONSTANTS: dict[str, str] = {
 # product line and status their rows must have.
 MILESTONES = {"shipped": 500, "delivered": 2970, "arrived": 3000}
 MILESTONE_LINE, MILESTONE_STATUS = 2, 1
+INVOICE = ["invoice_key", "station"]
 # Units that are counted as pallets and as cartons.
 PALLET, CARTON = "PLT", "CTN"
 
@@ -216,26 +218,28 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
     base = filter_by_code(houses_of(t, modes), customers, "customer_id", "customer_id",
                           code_eq(F.col("code"), billing.customer_code, ignore_case))
     times = any_milestones(t["milestone"], MILESTONES, MILESTONE_LINE, MILESTONE_STATUS)
-    houses = lookup(base, times.withColumnRenamed("key", "house_key"), ["house_key"], probe=base)
+    of_houses = Probe(base, ["house_key"], SHIPMENT)
+    houses = attach(base, times.withColumnRenamed("key", "house_key"), ["house_key"], probe=of_houses)
     houses = with_roles(houses, customers, "customer_id", {"shp": "shipper_id"},
-                        ["name", "address1", "address2"], probe=base)
+                        ["name", "address1", "address2"], probe=of_houses)
     houses = with_roles(houses, with_country(customers, t["country"]), "customer_id",
                         {"cnee": "consignee_id"}, ["name", "address1", "address2", "country_name"],
-                        probe=base)
+                        probe=of_houses)
     houses = with_roles(houses, t["city"], "id",
-                        {"receipt": "receipt_city", "delivery": "delivery_city"}, ["name"], probe=base)
+                        {"receipt": "receipt_city", "delivery": "delivery_city"}, ["name"], probe=of_houses)
     houses = with_roles(houses, t["airport"], "id",
-                        {"origin": "origin_airport", "dest": "dest_airport"}, ["code"], probe=base)
+                        {"origin": "origin_airport", "dest": "dest_airport"}, ["code"], probe=of_houses)
 
     measures = {}
     for code, (amount, local) in charges.items():
         measures[amount] = ("amount", (code,))
         measures[local] = ("local_equiv", (code,))
-    sums = charge_pivot(t["invoice_line"], ["invoice_key", "station"], measures,
+    sums = charge_pivot(t["invoice_line"], INVOICE, measures,
                         also={"Currency Exchange Rate": F.min("rate")})
 
-    billed = lookup(invoices, sums, ["invoice_key", "station"])
-    rows = fan_out(billed, houses, SHIPMENT, "inner", probe_left=invoices, probe_right=base)
+    of_invoices = Probe(invoices, INVOICE, SHIPMENT)
+    billed = attach(invoices, sums, INVOICE, probe=of_invoices)
+    rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
     shipper_address = join_text(F.col("shp_address1"), F.col("shp_address2"))
     consignee_address = join_text(F.col("cnee_address1"), F.col("cnee_address2"))
     values: dict[str, Column] = {
@@ -271,8 +275,10 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
     }
     values |= {name: F.col(f"`{name}`") for name in measures}
     texts = CONSTANTS | dict(billing.texts)
-    return rows.select(*[
-        values.get(name, F.lit(texts.get(name, ""))).alias(name) for name in COLUMNS])
+    report = with_constants(
+        rows.select(*[value.alias(name) for name, value in values.items()]),
+        {name: texts.get(name, "") for name in COLUMNS if name not in values})
+    return report.select(*[f"`{name}`" for name in COLUMNS])
 
 
 def invoice_report(spark: SparkSession, stations: Stations, station: str, billing: Billing,

@@ -11,7 +11,7 @@ from shipreport.functions.dates import last_week_of
 from shipreport.operators.documents import (
     CONTENT_RULES, Rules, cascade, change_counts, for_forwarder, type_changes)
 from shipreport.operators.filters import etd_window
-from shipreport.operators.joins import fits_broadcast, lookup
+from shipreport.operators.joins import Probe, attach, fits_broadcast, lookup
 
 
 def typed_documents(docs: DataFrame, rules: Rules, own_type: str) -> DataFrame:
@@ -33,7 +33,7 @@ def sorted_documents(shipments: DataFrame, docs: DataFrame, day: dt.date, forwar
     if fits_broadcast(opened):
         return opened, typed_documents(lookup(docs, opened, ["house_no"], "inner"), filled, own_type)
     typed = typed_documents(docs, filled, own_type)
-    return opened, lookup(typed, opened, ["house_no"], "inner", probe=docs)
+    return opened, attach(typed, opened, ["house_no"], "inner", probe=Probe(docs))
 
 
 def doc_sort_report(shipments: DataFrame, docs: DataFrame, day: dt.date, forwarder: str,

@@ -14,7 +14,7 @@ from shipreport.functions.dates import fmt_date, fmt_time
 from shipreport.functions.text import code_eq, code_in, left_chars, pieces_label, right_chars
 from shipreport.operators.charges import cached_charges
 from shipreport.operators.filters import billable, date_range, not_void
-from shipreport.operators.joins import fan_out, flag_in_list, in_list, lookup, with_roles
+from shipreport.operators.joins import Probe, attach, fan_out, flag_in_list, in_list, with_roles
 from shipreport.operators.lookups import latest_by, latest_milestones
 from shipreport.operators.stacking import stack_modes
 from shipreport.plans.common import MASTER, SHIPMENT, houses_of, with_join_keys
@@ -69,14 +69,15 @@ def shipments(tables: Mapping[str, DataFrame], modes: Sequence[Mode],
         bookings = stack_modes({m.code: tables[f"booking_{m.code}"] for m in booked_modes})
         flights = latest_by(bookings, MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
         rows = base.drop("master_no", "flight")
-        rows = lookup(rows, masters.withColumnRenamed("id", "master_id"), MASTER, probe=base)
-        rows = lookup(rows, flights, MASTER, probe=base)
+        probe = Probe(base, MASTER)
+        rows = attach(rows, masters.withColumnRenamed("id", "master_id"), MASTER, probe=probe)
+        rows = attach(rows, flights, MASTER, probe=probe)
         label = pieces_label(F.col("pcs"), F.col("pcs_uom"), F.col("sp_unit"), F.col("sp_unit_uom"))
         found.append((base, rows.withColumn("pieces", label)))
     if own_modes:
         base = live(own_modes)
         times = latest_milestones(tables["milestone"], MILESTONES).withColumnRenamed("key", "house_key")
-        rows = lookup(base, times, ["house_key"], probe=base)
+        rows = attach(base, times, ["house_key"])
         found.append((base, rows.withColumn("pieces", pieces_label(F.col("pcs"), F.col("pcs_uom")))))
     bases, enriched = zip(*found)
     return reduce(DataFrame.unionByName, bases), reduce(DataFrame.unionByName, enriched)
@@ -89,10 +90,11 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
     """The report on canonical tables."""
     t = with_join_keys(tables, ignore_case)
     base, houses = shipments(t, modes, customers, ignore_case)
+    of_houses = Probe(base, SHIPMENT)
     houses = with_roles(houses, t["customer"], "customer_id",
-                        {"cnee": "consignee_id", "shpr": "shipper_id"}, ["code"], probe=base)
+                        {"cnee": "consignee_id", "shpr": "shipper_id"}, ["code"], probe=of_houses)
     houses = with_roles(houses, t["city"], "id",
-                        {"org": "origin_city", "des": "dest_city"}, ["code"], probe=base)
+                        {"org": "origin_city", "des": "dest_city"}, ["code"], probe=of_houses)
 
     headers = t["invoice_header"].where(
         date_range("invoice_date", start, end)
@@ -113,8 +115,9 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
         {name: ("amount", codes) for name, codes in charges.items()},
         also={"Currency": F.min("currency")})
 
-    billed = lookup(invoices, sums, INVOICE)
-    rows = fan_out(billed, houses, SHIPMENT, "inner", probe_left=invoices, probe_right=base)
+    of_invoices = Probe(invoices, INVOICE, SHIPMENT)
+    billed = attach(invoices, sums, INVOICE, probe=of_invoices)
+    rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
     report = rows.select(
         F.col("lot").alias("Lot"), F.col("mode").alias("Mode"), F.lit(forwarder).alias("Forwarder"),
         F.col("cnee_code").alias("CNEE"), F.col("shpr_code").alias("SHPR"),

@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from shipreport.sources.contracts import backticks
 from shipreport.sources.schemas import MASTER_TABLES, SCHEMAS, STATION_TABLES
 
 Tables = Mapping[str, DataFrame]
@@ -30,15 +30,16 @@ def canonical(df: DataFrame, schema: str, columns: Mapping[str, str]) -> DataFra
     """Select and cast physical columns to a canonical schema."""
     have = {c.lower(): c for c in df.columns}
 
-    def pick(field):
-        source = have.get(columns.get(field.name, "").lower())
-        value = F.col(f"`{source}`") if source else F.lit(None)
-        return value.cast(field.dataType).alias(field.name)
-
     absent = [p for p in columns.values() if p.lower() not in have]
     if absent:
         raise ValueError(f"{schema}: no column {', '.join(sorted(set(absent)))}")
-    return df.select(*[pick(f) for f in SCHEMAS[schema].fields])
+
+    def source(name: str) -> str:
+        return backticks(have[columns[name].lower()]) if name in columns else "NULL"
+
+    return df.selectExpr(*[
+        f"CAST({source(f.name)} AS {f.dataType.simpleString()}) AS {f.name}"
+        for f in SCHEMAS[schema].fields])
 
 
 @dataclass(frozen=True)

@@ -28,35 +28,35 @@ BILLING = invoices.Billing(
 SHIPPED, DELIVERED, ARRIVED = 500, 2970, 3000
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+def query(fn: Callable[[roles.Roles], DataFrame]) -> Callable[[roles.Roles], DataFrame]:
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(roles.Roles(spark, sf_dir))
     return fn
 
 
-def _headers(spark, sf):
-    return roles.invoice_header(spark, sf)
+def _headers(r):
+    return r.invoice_header()
 
 
-def _lines(spark, sf):
-    return roles.invoice_line(spark, sf)
+def _lines(r):
+    return r.invoice_line()
 
 
-def _houses(spark, sf):
-    return houses_of({f"house_{m.code}": roles.houses(spark, sf, m.code) for m in AIR_MODES}, AIR_MODES)
+def _houses(r):
+    return houses_of({f"house_{m.code}": r.houses(m.code) for m in AIR_MODES}, AIR_MODES)
 
 
-def _bookings(spark, sf):
-    return stacking.stack_modes({m: roles.bookings(spark, sf, m) for m in ("AE", "AI")})
+def _bookings(r):
+    return stacking.stack_modes({m: r.bookings(m) for m in ("AE", "AI")})
 
 
-def _masters(spark, sf):
-    found = stacking.stack_modes({m: roles.masters(spark, sf) for m in ("AE", "AI")})
+def _masters(r):
+    found = stacking.stack_modes({m: r.masters() for m in ("AE", "AI")})
     return found.withColumnRenamed("id", "master_id")
 
 
-def _eligible(spark, sf):
+def _eligible(r):
     return filters.eligible_invoices(
-        _headers(spark, sf), ["AMS", "3PS"], ["AE", "AI", "3A"], roles.listed_customers(spark, sf),
+        _headers(r), ["AMS", "3PS"], ["AE", "AI", "3A"], r.listed_customers(),
         roles.START, roles.END)
 
 
@@ -64,104 +64,104 @@ def _eligible(spark, sf):
 
 
 @query
-def station_scan(spark, sf):
+def station_scan(r):
     """All order rows of the station, found through the station map."""
-    return roles.stations(sf).table(spark, "st1 ", "orders").withColumn("station", F.lit(roles.STATION))
+    return r.stations.table(r.spark, "st1 ", "orders").withColumn("station", F.lit(roles.STATION))
 
 
 @query
-def master_scan(spark, sf):
+def master_scan(r):
     """Events with the shared city table's name for their user's city."""
-    nations = roles.stations(sf).shared(spark, "nation").select(
+    nations = r.stations.shared(r.spark, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("user_id"), F.col("n_name").alias("city"))
-    events = roles.stations(sf).table(spark, roles.STATION, "events")
+    events = r.stations.table(r.spark, roles.STATION, "events")
     return joins.lookup(events.select("event_id", "user_id", "event_type"), nations, ["user_id"])
 
 
 @query
-def invoice_lines_cached(spark, sf):
+def invoice_lines_cached(r):
     """The intermediate of the weight report: eligible headers with their lines."""
-    headers = _eligible(spark, sf).select(*LINE_KEYS, "source_id", "mode", "lot", "invoice_date")
-    lines = _lines(spark, sf).select(*LINE_KEYS, "charge_id", F.col("amount").alias("line_amount"), "currency")
+    headers = _eligible(r).select(*LINE_KEYS, "source_id", "mode", "lot", "invoice_date")
+    lines = _lines(r).select(*LINE_KEYS, "charge_id", F.col("amount").alias("line_amount"), "currency")
     return charges.invoice_lines(headers, lines, LINE_KEYS)
 
 
 @query
-def param_query(spark, sf):
+def param_query(r):
     """SQL with typed named parameters."""
     return run_sql(
-        spark,
+        r.spark,
         """SELECT mode, invoice_date, count(*) AS invoices, sum(amount) AS amount
            FROM {headers} WHERE invoice_date BETWEEN :start AND :end
            GROUP BY mode, invoice_date""",
         {"start": roles.START, "end": roles.END},
-        headers=_headers(spark, sf))
+        headers=_headers(r))
 
 
 @query
-def typed_result(spark, sf):
+def typed_result(r):
     """Invoice lines under a declared result."""
-    return contracts.to_contract(_lines(spark, sf), [
+    return contracts.to_contract(_lines(r), [
         ("invoice_no", "string"), ("charge_id", "bigint"), ("amount", "decimal(18,2)"),
         ("local_equiv", "decimal(18,2)"), ("rate", "decimal(18,6)"), ("currency", "string")])
 
 
 @query
-def string_result(spark, sf):
+def string_result(r):
     """House bills and bookings as text only."""
-    rows = joins.lookup(_bookings(spark, sf), _masters(spark, sf), MASTER)
+    rows = joins.attach(_bookings(r), _masters(r), MASTER)
     return contracts.to_strings(rows, ["mode", "master_id", "etd", "eta", "flight", "master_no"])
 
 
 @query
-def change_log(spark, sf):
+def change_log(r):
     """The change log under its headings."""
-    return log_rows(_changes(spark, sf))
+    return log_rows(_changes(r))
 
 
 # Projections and scalar expressions
 
 
 @query
-def constant_columns(spark, sf):
-    rows = _headers(spark, sf).select("source_id", "invoice_no")
+def constant_columns(r):
+    rows = _headers(r).select("source_id", "invoice_no")
     return contracts.with_constants(rows, {"unit": "K", "service": "LTL", "volume": "", "tax": ""})
 
 
 @query
-def report_aliases(spark, sf):
-    return contracts.rename(_houses(spark, sf), {
+def report_aliases(r):
+    return contracts.rename(_houses(r), {
         "house_no": "HAWB", "gross_wt": "TTL G.W", "pcs": "Notes1 (Pallets)", "master_no": "Master Inv No."})
 
 
 @query
-def pieces_by_unit(spark, sf):
+def pieces_by_unit(r):
     pcs, uom = F.col("pcs"), F.col("pcs_uom")
-    return _houses(spark, sf).select(
+    return _houses(r).select(
         "mode", "source_id", "house_no", "pcs",
         text.pieces_by_unit(pcs, uom, "PLT").alias("pallets"),
         text.pieces_by_unit(pcs, uom, "ctn ").alias("cartons"))
 
 
 @query
-def pieces_label(spark, sf):
+def pieces_label(r):
     args = F.col("pcs"), F.col("pcs_uom"), F.col("sp_unit"), F.col("sp_unit_uom")
-    return _houses(spark, sf).select(
+    return _houses(r).select(
         "mode", "source_id", "house_no", "gross_wt",
         text.pieces_label(*args).alias("label"), text.pieces_label(*args[:2]).alias("short_label"),
         text.to_text(F.col("volume_wt")).alias("volume_text"))
 
 
 @query
-def address_concat(spark, sf):
+def address_concat(r):
     joined = text.join_text(F.col("address1"), F.col("address2"))
-    return roles.customers(spark, sf).select("customer_id", joined.alias("address"))
+    return r.customers().select("customer_id", joined.alias("address"))
 
 
 @query
-def code_parts(spark, sf):
+def code_parts(r):
     city, flight = F.col("origin_code"), F.col("flight")
-    rows = joins.with_roles(_houses(spark, sf), roles.cities(spark, sf), "id",
+    rows = joins.with_roles(_houses(r), r.cities(), "id",
                             {"origin": "origin_city"}, ["code"])
     return rows.select(
         "mode", "source_id", "house_no", "flight",
@@ -170,181 +170,181 @@ def code_parts(spark, sf):
 
 
 @query
-def date_text(spark, sf):
-    return _bookings(spark, sf).select(
+def date_text(r):
+    return _bookings(r).select(
         "mode", "master_id", "flight", dates.fmt_date(F.col("etd")).alias("etd_date"),
         dates.fmt_date(F.col("eta")).alias("eta_date"))
 
 
 @query
-def time_text(spark, sf):
-    return roles.milestones(spark, sf).select("id", dates.fmt_time(F.col("time")).alias("clock"))
+def time_text(r):
+    return r.milestones().select("id", dates.fmt_time(F.col("time")).alias("clock"))
 
 
 @query
-def ship_day(spark, sf):
-    return roles.milestones(spark, sf).select("id", dates.day_of(F.col("time")).alias("day"))
+def ship_day(r):
+    return r.milestones().select("id", dates.day_of(F.col("time")).alias("day"))
 
 
 @query
-def delivery_date(spark, sf):
+def delivery_date(r):
     """Delivery milestone, else arrival, for every house bill."""
     found = lookups.latest_milestones(
-        roles.milestones(spark, sf), {"delivered": DELIVERED, "arrived": ARRIVED})
-    rows = _houses(spark, sf).select("mode", "source_id", F.col("house_no").alias("key"))
-    return joins.lookup(rows, found, ["key"]).select(
+        r.milestones(), {"delivered": DELIVERED, "arrived": ARRIVED})
+    rows = _houses(r).select("mode", "source_id", F.col("house_no").alias("key"))
+    return joins.attach(rows, found, ["key"]).select(
         "mode", "source_id", "key",
         lookups.first_of(F.col("delivered"), F.col("arrived")).alias("delivery_date"))
 
 
 @query
-def nonblank_invoices(spark, sf):
-    rows = _headers(spark, sf).where(text.not_blank(F.col("invoice_no")))
+def nonblank_invoices(r):
+    rows = _headers(r).where(text.not_blank(F.col("invoice_no")))
     return rows.select("source_id", "invoice_no", text.is_blank(F.col("ref_invoice_no")).alias("no_reference"))
 
 
 @query
-def norm_file_name(spark, sf):
-    return roles.documents(spark, sf).select(
+def norm_file_name(r):
+    return r.documents().select(
         "doc_id", text.norm_name(F.col("file_name")).alias("name"),
         text.clean_type(F.col("current_type")).alias("stored_type"))
 
 
 @query
-def key_slice_match(spark, sf):
+def key_slice_match(r):
     match = text.slice_match(F.col("file_name"), F.col("house_no"))
-    return roles.documents(spark, sf).select("doc_id", "house_no", match.alias("matches"))
+    return r.documents().select("doc_id", "house_no", match.alias("matches"))
 
 
 @query
-def last_week_window(spark, sf):
+def last_week_window(r):
     """The last full week before each order date."""
     day = F.col("o_orderdate").cast("date")
     first, last = dates.last_week(day)
-    return roles.table(spark, sf, "orders").select(
+    return r.table("orders").select(
         "o_orderkey", day.alias("day"), first.alias("from_day"), last.alias("to_day"))
 
 
 @query
-def country_of_city(spark, sf):
-    rows = _houses(spark, sf).select("mode", "source_id", "house_no", "dest_city")
-    return joins.country_of_city(rows, roles.cities(spark, sf), "dest_city")
+def country_of_city(r):
+    rows = _houses(r).select("mode", "source_id", "house_no", "dest_city")
+    return joins.country_of_city(rows, r.cities(), "dest_city")
 
 
 # Filters and predicates
 
 
 @query
-def eligible_invoices(spark, sf):
-    return _eligible(spark, sf).select("source_id", "mode", "invoice_no", "customer_id", "invoice_date", "amount")
+def eligible_invoices(r):
+    return _eligible(r).select("source_id", "mode", "invoice_no", "customer_id", "invoice_date", "amount")
 
 
 @query
-def customer_in_list(spark, sf):
-    rows = joins.in_list(_headers(spark, sf), "customer_id", roles.listed_customers(spark, sf))
+def customer_in_list(r):
+    rows = joins.in_list(_headers(r), "customer_id", r.listed_customers())
     return rows.select("source_id", "customer_id")
 
 
 @query
-def invoice_date_range(spark, sf):
-    rows = _headers(spark, sf).where(filters.date_range("invoice_date", roles.START, roles.END))
+def invoice_date_range(r):
+    rows = _headers(r).where(filters.date_range("invoice_date", roles.START, roles.END))
     return rows.select("source_id", "invoice_date")
 
 
 @query
-def not_void(spark, sf):
-    rows = _houses(spark, sf).where(filters.not_void("status"))
+def not_void(r):
+    rows = _houses(r).where(filters.not_void("status"))
     return rows.select("mode", "source_id", "house_no", "status")
 
 
 @query
-def no_credit_notes(spark, sf):
-    rows = _headers(spark, sf).where(filters.not_credit_note("invoice_no"))
+def no_credit_notes(r):
+    rows = _headers(r).where(filters.not_credit_note("invoice_no"))
     return rows.select("source_id", "invoice_no")
 
 
 @query
-def filter_by_code(spark, sf):
+def filter_by_code(r):
     rows = joins.filter_by_code(
-        _headers(spark, sf), roles.customers(spark, sf), "customer_id", "bill_to",
+        _headers(r), r.customers(), "customer_id", "bill_to",
         text.code_eq(F.col("code"), "machinery "))
     return rows.select("source_id", "bill_to", "amount")
 
 
 @query
-def etd_window(spark, sf):
+def etd_window(r):
     first, last = dates.last_week_of(roles.SORT_DAY)
-    return filters.etd_window(roles.shipments(spark, sf), "etd", first, last)
+    return filters.etd_window(r.shipments(), "etd", first, last)
 
 
 # Joins
 
 
 @query
-def header_lines(spark, sf):
-    headers = _headers(spark, sf).select(*LINE_KEYS, "source_id", "invoice_date")
-    lines = _lines(spark, sf).select(*LINE_KEYS, "charge_id", "amount", "local_equiv")
+def header_lines(r):
+    headers = _headers(r).select(*LINE_KEYS, "source_id", "invoice_date")
+    lines = _lines(r).select(*LINE_KEYS, "charge_id", "amount", "local_equiv")
     return joins.fan_out(headers, lines, LINE_KEYS)
 
 
 @query
-def house_bill_by_mode(spark, sf):
+def house_bill_by_mode(r):
     """Every invoice with its house bills of its own mode."""
-    rows = _headers(spark, sf).select(*SHIPMENT, "invoice_no", "amount")
-    bills = _houses(spark, sf).select(*SHIPMENT, "house_no", "gross_wt", "pcs")
+    rows = _headers(r).select(*SHIPMENT, "invoice_no", "amount")
+    bills = _houses(r).select(*SHIPMENT, "house_no", "gross_wt", "pcs")
     return joins.fan_out(rows, bills, SHIPMENT)
 
 
 @query
-def on_condition_join(spark, sf):
+def on_condition_join(r):
     """House bills with those invoices that meet the conditions of the join."""
-    kept = _headers(spark, sf).where(
+    kept = _headers(r).where(
         text.code_eq(F.col("product_line"), "AMS") & filters.billable())
-    bills = _houses(spark, sf).select(*SHIPMENT, "house_no", "gross_wt")
+    bills = _houses(r).select(*SHIPMENT, "house_no", "gross_wt")
     return joins.fan_out(bills, kept.select(*SHIPMENT, "invoice_no", "amount"), SHIPMENT)
 
 
 @query
-def customer_roles(spark, sf):
+def customer_roles(r):
     """House bills with their customer, shipper and consignee, all from one table."""
     rows = joins.with_roles(
-        _houses(spark, sf), roles.customers(spark, sf), "customer_id",
+        _houses(r), r.customers(), "customer_id",
         {"cus": "customer_id", "shp": "shipper_id", "cnee": "consignee_id"}, ["code", "name"])
     return rows.select("mode", "source_id", "house_no", "cus_code", "cus_name", "shp_code",
                        "shp_name", "cnee_code", "cnee_name")
 
 
 @query
-def origin_destination(spark, sf):
-    rows = joins.with_roles(_houses(spark, sf), roles.cities(spark, sf), "id",
+def origin_destination(r):
+    rows = joins.with_roles(_houses(r), r.cities(), "id",
                             {"org": "origin_city", "des": "dest_city"}, ["code", "name"])
     return rows.select("mode", "source_id", "house_no", "org_code", "org_name", "des_code", "des_name")
 
 
 @query
-def consignee_country(spark, sf):
-    named = joins.with_country(roles.customers(spark, sf), roles.countries(spark, sf))
-    rows = joins.with_roles(_houses(spark, sf), named, "customer_id", {"cnee": "consignee_id"},
+def consignee_country(r):
+    named = joins.with_country(r.customers(), r.countries())
+    rows = joins.with_roles(_houses(r), named, "customer_id", {"cnee": "consignee_id"},
                             ["name", "country_name"])
     return rows.select("mode", "source_id", "house_no", "cnee_name", "cnee_country_name")
 
 
 @query
-def master_bill(spark, sf):
+def master_bill(r):
     """The master bill's number, or the house bill's own in third-party mode."""
-    bills = _houses(spark, sf).withColumnRenamed("master_no", "own_no")
+    bills = _houses(r).withColumnRenamed("master_no", "own_no")
     own = bills.where("mode = '3A'")
-    booked = joins.lookup(bills.where("mode <> '3A'"), _masters(spark, sf), MASTER)
+    booked = joins.attach(bills.where("mode <> '3A'"), _masters(r), MASTER)
     return booked.select("mode", "source_id", "house_no", "master_no").unionByName(
         own.select("mode", "source_id", "house_no", F.col("own_no").alias("master_no")))
 
 
 @query
-def unused_join_free(spark, sf):
+def unused_join_free(r):
     """Distinct codes and lots without the joins that nothing is taken from."""
-    bills = joins.with_roles(_houses(spark, sf), roles.customers(spark, sf), "customer_id",
+    bills = joins.with_roles(_houses(r), r.customers(), "customer_id",
                              {"shp": "shipper_id"}, ["code"])
-    rows = joins.fan_out(_headers(spark, sf).select(*SHIPMENT, "lot"),
+    rows = joins.fan_out(_headers(r).select(*SHIPMENT, "lot"),
                          bills.select(*SHIPMENT, "shp_code", "trade_term"), SHIPMENT, "inner")
     return rows.select("mode", "lot", "shp_code", "trade_term").distinct()
 
@@ -353,45 +353,45 @@ def unused_join_free(spark, sf):
 
 
 @query
-def latest_booking(spark, sf):
-    found = lookups.latest_by(_bookings(spark, sf), MASTER, "etd", ["flight"])
+def latest_booking(r):
+    found = lookups.latest_by(_bookings(r), MASTER, "etd", ["flight"])
     return found.select("mode", "master_id", "etd", "flight",
                         text.left_chars(F.col("flight"), 2).alias("airline"))
 
 
 @query
-def latest_eta(spark, sf):
+def latest_eta(r):
     """Latest departure and, from its own order, latest arrival in one aggregation."""
-    found = lookups.latest_by(_bookings(spark, sf), MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
+    found = lookups.latest_by(_bookings(r), MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
     return found.select("mode", "master_id", "etd", "eta")
 
 
 @query
-def latest_milestone(spark, sf):
-    return lookups.latest_milestones(roles.milestones(spark, sf), {"departed": 1100, "landed": 1300})
+def latest_milestone(r):
+    return lookups.latest_milestones(r.milestones(), {"departed": 1100, "landed": 1300})
 
 
 @query
-def milestone_any(spark, sf):
+def milestone_any(r):
     return lookups.any_milestones(
-        roles.milestones(spark, sf),
+        r.milestones(),
         {"shipped": SHIPPED, "delivered": DELIVERED, "arrived": ARRIVED}, 2, 1)
 
 
 @query
-def exchange_rate(spark, sf):
-    return lookups.any_of(_lines(spark, sf), ["invoice_no", "station"], "rate")
+def exchange_rate(r):
+    return lookups.any_of(_lines(r), ["invoice_no", "station"], "rate")
 
 
 @query
-def invoice_currency(spark, sf):
-    return lookups.any_of(_lines(spark, sf), LINE_KEYS, "currency")
+def invoice_currency(r):
+    return lookups.any_of(_lines(r), LINE_KEYS, "currency")
 
 
 @query
-def top1_window(spark, sf):
+def top1_window(r):
     """``latest_booking`` as a window."""
-    return lookups.top1(_bookings(spark, sf), MASTER, "etd", ["flight"]).select(
+    return lookups.top1(_bookings(r), MASTER, "etd", ["flight"]).select(
         "mode", "master_id", "etd", "flight", text.left_chars(F.col("flight"), 2).alias("airline"))
 
 
@@ -399,57 +399,57 @@ def top1_window(spark, sf):
 
 
 @query
-def charge_sum_direct(spark, sf):
-    sums = charges.charge_pivot(_lines(spark, sf), ["invoice_no", "station"], {
+def charge_sum_direct(r):
+    sums = charges.charge_pivot(_lines(r), ["invoice_no", "station"], {
         "freight": ("amount", [13]), "fuel": ("amount", [14]), "security": ("amount", [15]),
         "origin_terminal": ("amount", [400]), "dest_terminal": ("amount", [5]),
         "delivery": ("amount", [113]), "customs": ("amount", [1])})
-    rows = _headers(spark, sf).select("source_id", "invoice_no", "station")
-    return joins.lookup(rows, sums, ["invoice_no", "station"]).drop("station")
+    rows = _headers(r).select("source_id", "invoice_no", "station")
+    return joins.attach(rows, sums, ["invoice_no", "station"]).drop("station")
 
 
 @query
-def charge_two_measures(spark, sf):
+def charge_two_measures(r):
     measures = {}
     for name, code in {"freight": 13, "fuel": 14, "security": 15, "origin_terminal": 400,
                        "dest_terminal": 5, "delivery": 113, "customs": 1}.items():
         measures[name] = ("amount", [code])
         measures[f"{name}_local"] = ("local_equiv", [code])
-    sums = charges.charge_pivot(_lines(spark, sf), ["invoice_no", "station"], measures)
-    rows = _headers(spark, sf).select("source_id", "invoice_no", "station")
-    return joins.lookup(rows, sums, ["invoice_no", "station"]).drop("station")
+    sums = charges.charge_pivot(_lines(r), ["invoice_no", "station"], measures)
+    rows = _headers(r).select("source_id", "invoice_no", "station")
+    return joins.attach(rows, sums, ["invoice_no", "station"]).drop("station")
 
 
 @query
-def charge_sum_cached(spark, sf):
+def charge_sum_cached(r):
     """Sums over the header and line pairs of eligible invoices."""
     return charges.cached_charges(
-        _eligible(spark, sf), _lines(spark, sf), LINE_KEYS,
+        _eligible(r), _lines(r), LINE_KEYS,
         {"freight": ("amount", [13]), "fuel": ("amount", [14]), "security": ("amount", [15]),
          "export_handling": ("amount", [380]), "import_handling": ("amount", [5])},
         also={"currency": F.min("currency")}).drop("station", "temp_seq")
 
 
 @query
-def charge_bucket(spark, sf):
-    return charges.charge_pivot(_lines(spark, sf), LINE_KEYS, {
+def charge_bucket(r):
+    return charges.charge_pivot(_lines(r), LINE_KEYS, {
         "other": ("amount", weight.CHARGES["Other"])}).select("invoice_no", "other")
 
 
 @query
-def distinct_countries(spark, sf):
+def distinct_countries(r):
     """Country codes of the delivery cities of ocean bills."""
     # One row per city is enough to know its country.
-    bills = roles.ocean_bills(spark, sf).select("delivery_city").distinct()
-    rows = joins.country_of_city(bills, roles.cities(spark, sf), "delivery_city")
+    bills = r.ocean_bills().select("delivery_city").distinct()
+    rows = joins.country_of_city(bills, r.cities(), "delivery_city")
     return rows.select("country_code").distinct()
 
 
 @query
-def change_counts(spark, sf):
+def change_counts(r):
     """Documents and changes of each shipment of the week, and in all."""
     counts = sorting.doc_sort_counts(
-        roles.shipments(spark, sf), roles.documents(spark, sf), roles.SORT_DAY, roles.FORWARDER,
+        r.shipments(), r.documents(), roles.SORT_DAY, roles.FORWARDER,
         roles.TEXT_RULES)
     total = documents.change_totals(counts).withColumn("house_no", F.lit("(all)"))
     return counts.unionByName(total)
@@ -458,20 +458,20 @@ def change_counts(spark, sf):
 # Set operations
 
 
-def _branches(spark, sf):
-    rows = _headers(spark, sf)
+def _branches(r):
+    rows = _headers(r)
     return {m.code: rows.where(F.col("mode") == m.code).select("lot", "customer_id", "id_type")
             for m in AIR_MODES}
 
 
 @query
-def union_distinct_modes(spark, sf):
-    return stacking.union_modes(_branches(spark, sf), distinct=True)
+def union_distinct_modes(r):
+    return stacking.union_modes(_branches(r), distinct=True)
 
 
 @query
-def union_all_modes(spark, sf):
-    return stacking.union_modes(_branches(spark, sf), distinct=False)
+def union_all_modes(r):
+    return stacking.union_modes(_branches(r), distinct=False)
 
 
 # Documents
@@ -481,47 +481,47 @@ RULES = documents.for_forwarder(roles.TEXT_RULES, roles.FORWARDER)
 OWN_TYPE = f"{roles.FORWARDER} Invoice"
 
 
-def _texts(spark, sf):
-    return roles.table(spark, sf, "documents").select("doc_id", F.upper("text").alias("content"))
+def _texts(r):
+    return r.table("documents").select("doc_id", F.upper("text").alias("content"))
 
 
-def _changes(spark, sf):
-    typed = sorting.typed_documents(roles.documents(spark, sf), RULES, OWN_TYPE)
+def _changes(r):
+    typed = sorting.typed_documents(r.documents(), RULES, OWN_TYPE)
     return documents.type_changes(typed, "new_type")
 
 
 @query
-def page_concat(spark, sf):
+def page_concat(r):
     """The page texts of each document in every form."""
-    pages = roles.pages(spark, sf)
+    pages = r.pages()
     found = [documents.page_concat(pages, "doc_id", "page_no", "text", form).withColumn("form", F.lit(form))
              for form in ("lines", "upper", "plain")]
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query
-def content_rules(spark, sf):
-    return _texts(spark, sf).select(
+def content_rules(r):
+    return _texts(r).select(
         "doc_id", documents.content_type(F.col("content"), RULES).alias("new_type"))
 
 
 @query
-def name_equals_key(spark, sf):
+def name_equals_key(r):
     match = documents.name_equals_key(F.col("file_name"), F.col("house_no"))
-    return roles.documents(spark, sf).select("doc_id", match.alias("named_after_key"))
+    return r.documents().select("doc_id", match.alias("named_after_key"))
 
 
 @query
-def doc_cascade(spark, sf):
-    typed = sorting.typed_documents(roles.documents(spark, sf), RULES, OWN_TYPE)
+def doc_cascade(r):
+    typed = sorting.typed_documents(r.documents(), RULES, OWN_TYPE)
     return typed.select("doc_id", "house_no", "file_name", "new_type")
 
 
 @query
-def empty_text_skip(spark, sf):
+def empty_text_skip(r):
     """Documents and pages with a text, and how many have none, per language or role."""
-    docs = roles.table(spark, sf, "documents").select(F.col("lang").alias("part"), "text")
-    pages = roles.table(spark, sf, "conversations").select(
+    docs = r.table("documents").select(F.col("lang").alias("part"), "text")
+    pages = r.table("conversations").select(
         F.col("role").alias("part"), F.expr("CASE WHEN turn = 2 THEN ' \n' ELSE text END").alias("text"))
     empty = documents.is_empty(F.col("text")).cast("int")
     return docs.unionAll(pages).groupBy("part").agg(
@@ -529,24 +529,24 @@ def empty_text_skip(spark, sf):
 
 
 @query
-def name_prefix_rules(spark, sf):
-    return roles.table(spark, sf, "part").select(
+def name_prefix_rules(r):
+    return r.table("part").select(
         "p_partkey", documents.name_prefix_type(F.col("p_type"), "eco").alias("new_type"))
 
 
 @query
-def keyword_flags(spark, sf):
+def keyword_flags(r):
     """Types from keywords on any page, without joining the pages."""
     flags = documents.keyword_flags(
-        roles.pages(spark, sf), ["doc_id"], "text", {"own": "THE", "packing": "CH", "invoice": "IN"})
+        r.pages(), ["doc_id"], "text", {"own": "THE", "packing": "CH", "invoice": "IN"})
     found = documents.flag_type(F.col("own"), F.col("packing"), F.col("invoice"), OWN_TYPE)
     return flags.select("doc_id", "own", "packing", "invoice", found.alias("new_type"))
 
 
 @query
-def rules_with_default(spark, sf):
+def rules_with_default(r):
     """House-bill name, else content rules with a default, over the joined pages."""
-    whole = documents.page_concat(roles.pages(spark, sf), "doc_id", "page_no", "text", "upper")
+    whole = documents.page_concat(r.pages(), "doc_id", "page_no", "text", "upper")
     name = F.expr("'hawb' || (doc_id * 7) || '.pdf'")
     rules = documents.for_forwarder([("THE ", "Packing List"), ("ION", "Export Permit")], roles.FORWARDER)
     found = F.when(documents.numbered_name(name), "HAWB").otherwise(
@@ -555,40 +555,40 @@ def rules_with_default(spark, sf):
 
 
 @query
-def permit_check(spark, sf):
+def permit_check(r):
     permit = documents.content_type(F.col("content"), [("PERMIT", "Export Permit")])
     licence = documents.content_type(F.col("content"), [("LICENSE", "Export Permit")])
-    return _texts(spark, sf).select("doc_id", permit.alias("permit"), licence.alias("licence"))
+    return _texts(r).select("doc_id", permit.alias("permit"), licence.alias("licence"))
 
 
 @query
-def type_changes(spark, sf):
-    return _changes(spark, sf)
+def type_changes(r):
+    return _changes(r)
 
 
 # Whole reports
 
 
 @query
-def weight_report(spark, sf):
+def weight_report(r):
     return weight.weight_rows(
-        roles.tables(spark, sf), roles.START, roles.END, roles.listed_customers(spark, sf),
+        r.tables(), roles.START, roles.END, r.listed_customers(),
         roles.FORWARDER.upper())
 
 
 @query
-def invoice_report_range(spark, sf):
-    rows = invoices.invoice_rows(roles.tables(spark, sf), BILLING, roles.START, roles.END)
+def invoice_report_range(r):
+    rows = invoices.invoice_rows(r.tables(), BILLING, roles.START, roles.END)
     return contracts.to_strings(rows, invoices.COLUMNS)
 
 
 @query
-def invoice_report_all(spark, sf):
-    return invoices.invoice_rows(roles.tables(spark, sf), BILLING)
+def invoice_report_all(r):
+    return invoices.invoice_rows(r.tables(), BILLING)
 
 
 @query
-def doc_sort_report(spark, sf):
+def doc_sort_report(r):
     return sorting.doc_sort_report(
-        roles.shipments(spark, sf), roles.documents(spark, sf), roles.SORT_DAY, roles.FORWARDER,
+        r.shipments(), r.documents(), roles.SORT_DAY, roles.FORWARDER,
         roles.TEXT_RULES)
