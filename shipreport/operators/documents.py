@@ -80,17 +80,22 @@ def is_pdf(name: Column) -> Column:
     return F.upper(strip(name)).endswith(".PDF")
 
 
-def cascade(name: Column, key: Column, content: Column, rules: Rules, own_type: str,
-            house_type: str = "HAWB") -> Column:
-    """Exact name, else key slice, else content of a PDF, else none.
+def name_type(name: Column, key: Column, own_type: str, house_type: str = "HAWB") -> Column:
+    """The type by the file's name: the shipment's number, else a slice of it, else none."""
+    return first_match([(name_equals_key(name, key), house_type), (slice_match(name, key), own_type)])
 
-    An empty text gives no type, as no keyword is in it.
+
+def cascade(docs: DataFrame, rules: Rules, own_type: str) -> DataFrame:
+    """Documents with ``new_type``, by name or else by the content of a PDF, and without text.
+
+    An empty text gives no type, as no keyword is in it. Texts are turned to upper case
+    only where the name leaves the type open.
     """
-    return (
-        F.when(name_equals_key(name, key), F.lit(house_type))
-        .when(slice_match(name, key), F.lit(own_type))
-        .when(is_pdf(name), content_type(content, rules))
-    )
+    name, key = F.col("file_name"), F.col("house_no")
+    by_name = docs.withColumn("_by_name", name_type(name, key, own_type))
+    opened = by_name.withColumn("_content", F.when(F.col("_by_name").isNull() & is_pdf(name), F.upper("text")))
+    found = F.coalesce(F.col("_by_name"), content_type(F.col("_content"), rules))
+    return opened.withColumn("new_type", found).drop("_by_name", "_content", "text")
 
 
 def name_prefix_type(name: Column, own_prefix: str,
@@ -165,19 +170,22 @@ def page_concat(pages: DataFrame, key: str, page: str, text: str, form: str = "l
     return runs.groupBy(key).agg(joined("_piece", "_run").alias(text))
 
 
-def type_changes(docs: DataFrame, new: str) -> DataFrame:
+def type_changes(docs: DataFrame, new: str = "new_type") -> DataFrame:
     """A change row for each document whose new type differs from the stored one.
 
     Case and ``*`` marks of the stored type do not count. No new type, no change.
     """
-    differs = F.upper(F.col(new)) != clean_type(F.col("current_type"))
-    return docs.where(F.col(new).isNotNull() & differs).select(
+    change = F.struct(
         "house_no",
         F.lit("Done").alias("status"),
         strip(F.col("file_name")).alias("file_name"),
         strip(F.col("current_type")).alias("old_type"),
         F.col(new).alias("new_type"),
     )
+    differs = F.upper(F.col(new)) != clean_type(F.col("current_type"))
+    # Not a filter: the optimizer would move it below the joins and evaluate the rules
+    # there, over all texts and once per mention of the new type.
+    return docs.select(F.inline(F.when(differs, F.array(change))))
 
 
 def change_counts(shipments: DataFrame, docs: DataFrame, changes: DataFrame) -> DataFrame:

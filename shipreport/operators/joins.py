@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Reading this much to find out whether a side is small costs more than it saves.
 MEASURE_BYTES = 64 * 1024 * 1024 * 1024
-# Fewer rows than this on one key are no burden for one task.
+# Data of this size, or fewer rows than this on one key, are no burden for one task.
+TASK_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
 # Upper bound of the list of hot keys that is brought to the driver.
 MAX_HOT_KEYS = 1000
@@ -73,17 +74,21 @@ class Probe:
     """The hot keys of a frame, found when first asked for.
 
     ``key_lists`` are searched together in one scan of the key columns. A report
-    probes the scan its keys come from, not the joins on top of it.
+    probes the scan its keys come from, not the joins on top of it. ``within`` is a
+    frame that ``df`` was filtered from, if its size is easier to tell.
     """
 
-    def __init__(self, df: DataFrame, *key_lists: Sequence[str]):
+    def __init__(self, df: DataFrame, *key_lists: Sequence[str], within: DataFrame | None = None):
         self.df = df
+        self._within = df if within is None else within
         self._wanted = [tuple(k) for k in key_lists]
         self._found: dict[tuple[str, ...], list[tuple[int, int]]] = {}
 
     def hot(self, on: Sequence[str]) -> list[tuple[int, int]]:
         """(key hash, number of salts) of the keys with more than a fair share of rows."""
         on = tuple(on)
+        if on not in self._found and planned_bytes(self._within) <= TASK_BYTES:
+            self._found[on] = []
         if on not in self._found:
             self._search([on, *(k for k in self._wanted if k != on and k not in self._found)])
         return self._found[on]

@@ -211,14 +211,16 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
         F.col("mode").isin([m.code for m in modes]) & not_blank(F.col("invoice_no")))
     if start is not None:
         invoices = invoices.where(date_range("invoice_date", start, end))
+    numbered = invoices
     invoices = filter_by_code(invoices, customers, "customer_id", "bill_to",
                               code_eq(F.col("code"), billing.bill_to_code, ignore_case))
     invoices = invoices.select(*SHIPMENT, "invoice_key", "invoice_no", "invoice_date", "amount")
 
-    base = filter_by_code(houses_of(t, modes), customers, "customer_id", "customer_id",
+    bills = houses_of(t, modes)
+    base = filter_by_code(bills, customers, "customer_id", "customer_id",
                           code_eq(F.col("code"), billing.customer_code, ignore_case))
     times = any_milestones(t["milestone"], MILESTONES, MILESTONE_LINE, MILESTONE_STATUS)
-    of_houses = Probe(base, ["house_key"], SHIPMENT)
+    of_houses = Probe(base, ["house_key"], SHIPMENT, within=bills)
     houses = attach(base, times.withColumnRenamed("key", "house_key"), ["house_key"], probe=of_houses)
     houses = with_roles(houses, customers, "customer_id", {"shp": "shipper_id"},
                         ["name", "address1", "address2"], probe=of_houses)
@@ -237,7 +239,7 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
     sums = charge_pivot(t["invoice_line"], INVOICE, measures,
                         also={"Currency Exchange Rate": F.min("rate")})
 
-    of_invoices = Probe(invoices, INVOICE, SHIPMENT)
+    of_invoices = Probe(invoices, INVOICE, SHIPMENT, within=numbered)
     billed = attach(invoices, sums, INVOICE, probe=of_invoices)
     rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
     shipper_address = join_text(F.col("shp_address1"), F.col("shp_address2"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shipreport.functions.dates import last_week_of
 from shipreport.operators.documents import (
@@ -14,13 +13,6 @@ from shipreport.operators.filters import etd_window
 from shipreport.operators.joins import Probe, attach, fits_broadcast, lookup
 
 
-def typed_documents(docs: DataFrame, rules: Rules, own_type: str) -> DataFrame:
-    """Documents with their type by rules instead of their text."""
-    content = docs.withColumn("content", F.upper("text"))
-    new = cascade(F.col("file_name"), F.col("house_no"), F.col("content"), rules, own_type)
-    return content.withColumn("new_type", new).drop("content", "text")
-
-
 def sorted_documents(shipments: DataFrame, docs: DataFrame, day: dt.date, forwarder: str,
                      rules: Rules = CONTENT_RULES) -> tuple[DataFrame, DataFrame]:
     """Last week's shipments, and their documents with stored and new type."""
@@ -31,8 +23,8 @@ def sorted_documents(shipments: DataFrame, docs: DataFrame, day: dt.date, forwar
     # A small list of shipments is broadcast and spares reading the other texts. A
     # large one needs a shuffle, which is given types, not texts.
     if fits_broadcast(opened):
-        return opened, typed_documents(lookup(docs, opened, ["house_no"], "inner"), filled, own_type)
-    typed = typed_documents(docs, filled, own_type)
+        return opened, cascade(lookup(docs, opened, ["house_no"], "inner"), filled, own_type)
+    typed = cascade(docs, filled, own_type)
     return opened, attach(typed, opened, ["house_no"], "inner", probe=Probe(docs))
 
 
@@ -40,11 +32,11 @@ def doc_sort_report(shipments: DataFrame, docs: DataFrame, day: dt.date, forward
                     rules: Rules = CONTENT_RULES) -> DataFrame:
     """The change rows of a run on ``day``."""
     _, typed = sorted_documents(shipments, docs, day, forwarder, rules)
-    return type_changes(typed, "new_type")
+    return type_changes(typed)
 
 
 def doc_sort_counts(shipments: DataFrame, docs: DataFrame, day: dt.date, forwarder: str,
                     rules: Rules = CONTENT_RULES) -> DataFrame:
     """Documents and changes per shipment of a run on ``day``."""
     opened, typed = sorted_documents(shipments, docs, day, forwarder, rules)
-    return change_counts(opened, typed, type_changes(typed, "new_type"))
+    return change_counts(opened, typed, type_changes(typed))

@@ -102,6 +102,7 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
         & F.col("mode").isin([m.code for m in modes])
         & billable(ignore_case=ignore_case)
     )
+    of_headers = Probe(headers, INVOICE, SHIPMENT)
     headers = flag_in_list(headers, "customer_id", customers, "listed")
 
     def of_branch(m: Mode) -> Column:
@@ -115,9 +116,8 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
         {name: ("amount", codes) for name, codes in charges.items()},
         also={"Currency": F.min("currency")})
 
-    of_invoices = Probe(invoices, INVOICE, SHIPMENT)
-    billed = attach(invoices, sums, INVOICE, probe=of_invoices)
-    rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
+    billed = attach(invoices, sums, INVOICE, probe=of_headers)
+    rows = fan_out(billed, houses, SHIPMENT, "inner", of_headers, of_houses)
     report = rows.select(
         F.col("lot").alias("Lot"), F.col("mode").alias("Mode"), F.lit(forwarder).alias("Forwarder"),
         F.col("cnee_code").alias("CNEE"), F.col("shpr_code").alias("SHPR"),

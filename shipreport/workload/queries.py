@@ -486,8 +486,8 @@ def _texts(r):
 
 
 def _changes(r):
-    typed = sorting.typed_documents(r.documents(), RULES, OWN_TYPE)
-    return documents.type_changes(typed, "new_type")
+    typed = documents.cascade(r.documents(), RULES, OWN_TYPE)
+    return documents.type_changes(typed)
 
 
 @query
@@ -513,7 +513,7 @@ def name_equals_key(r):
 
 @query
 def doc_cascade(r):
-    typed = sorting.typed_documents(r.documents(), RULES, OWN_TYPE)
+    typed = documents.cascade(r.documents(), RULES, OWN_TYPE)
     return typed.select("doc_id", "house_no", "file_name", "new_type")
 
 
