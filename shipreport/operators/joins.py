@@ -29,8 +29,9 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Reading this much to find out whether a side is small costs more than it saves.
 MEASURE_BYTES = 64 * 1024 * 1024 * 1024
-# Data of this size, or fewer rows than this on one key, are no burden for one task.
-TASK_BYTES = 64 * 1024 * 1024
+# Data of this size (a file split), or fewer rows than this on one key, are no burden
+# for one task.
+TASK_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 1_000_000
 # Upper bound of the list of hot keys that is brought to the driver.
 MAX_HOT_KEYS = 1000
@@ -41,17 +42,22 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the rows: text by its length, other values by their width."""
+def _row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Bytes of a row: text by its length, other values by their width."""
     width = F.lit(16)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
-        elif isinstance(field.dataType, T.AtomicType):
+    for name in columns:
+        kind, col = df.schema[name].dataType, F.col(f"`{name}`")
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(col), F.lit(0)) + 16
+        elif isinstance(kind, T.AtomicType):
             width = width + 16
         else:
-            width = width + F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))) * 4
-    return df.select(F.sum(width.cast("bigint"))).first()[0] or 0
+            width = width + F.octet_length(F.to_json(F.struct(col))) * 4
+    return width.cast("bigint")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.select(F.sum(_row_bytes(df, df.columns))).first()[0] or 0
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -71,38 +77,56 @@ def _key_hash(on: Sequence[str]) -> Column:
 
 
 class Probe:
-    """The hot keys of a frame, found when first asked for.
+    """What is known of the keys of a frame: the hot ones, and whether they are few.
 
-    ``key_lists`` are searched together in one scan of the key columns. A report
-    probes the scan its keys come from, not the joins on top of it. ``within`` is a
-    frame that ``df`` was filtered from, if its size is easier to tell.
+    It is found in one scan of the key columns of all ``key_lists``, when first asked
+    for and only if the frame is not small anyway. A report probes the scan its keys
+    come from, not the joins on top of it. ``within`` is a frame that ``df`` was
+    filtered from, if its size is easier to tell.
     """
 
     def __init__(self, df: DataFrame, *key_lists: Sequence[str], within: DataFrame | None = None):
         self.df = df
-        self._within = df if within is None else within
+        self._planned = planned_bytes(df if within is None else within)
         self._wanted = [tuple(k) for k in key_lists]
-        self._found: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+        self._hot: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+        self._bytes: dict[tuple[str, ...], int] = {}
 
     def hot(self, on: Sequence[str]) -> list[tuple[int, int]]:
         """(key hash, number of salts) of the keys with more than a fair share of rows."""
-        on = tuple(on)
-        if on not in self._found and planned_bytes(self._within) <= TASK_BYTES:
-            self._found[on] = []
-        if on not in self._found:
-            self._search([on, *(k for k in self._wanted if k != on and k not in self._found)])
-        return self._found[on]
-
-    def _search(self, key_lists: list[tuple[str, ...]]) -> None:
+        if self._planned <= TASK_BYTES:
+            return []
+        self._search(tuple(on))
+        return self._hot[tuple(on)]
+
+    def surely_few(self) -> bool:
+        """The keys are small by Spark's own estimate."""
+        return self._planned <= _auto_broadcast_bytes(self.df)
+
+    def few(self, on: Sequence[str]) -> bool:
+        """All rows' keys together may be broadcast."""
+        if self.surely_few():
+            return True
+        self._search(tuple(on))
+        return self._bytes[tuple(on)] <= BROADCAST_BYTES
+
+    def _search(self, on: tuple[str, ...]) -> None:
+        if on in self._hot:
+            return
+        lists = [on, *(k for k in self._wanted if k != on and k not in self._hot)]
         partitions = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keep = max(1, min(partitions, MAX_HOT_KEYS))
-        hashes = self.df.select(*[_key_hash(k).alias(f"h{i}") for i, k in enumerate(key_lists)])
-        row = hashes.agg(F.count(F.lit(1)).alias("rows"), *[
-            F.expr(f"approx_top_k(h{i}, {keep}, {10 * keep})").alias(f"top{i}")
-            for i in range(len(key_lists))]).first()
+        keyed = self.df.select(
+            *[_key_hash(k).alias(f"h{i}") for i, k in enumerate(lists)],
+            *[_row_bytes(self.df, k).alias(f"b{i}") for i, k in enumerate(lists)])
+        row = keyed.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.expr(f"approx_top_k(h{i}, {keep}, {10 * keep})").alias(f"top{i}") for i in range(len(lists))],
+            *[F.sum(f"b{i}").alias(f"b{i}") for i in range(len(lists))]).first()
         floor = max(HOT_ROWS, row["rows"] / keep)
-        for i, keys in enumerate(key_lists):
-            self._found[keys] = [
+        for i, keys in enumerate(lists):
+            self._bytes[keys] = row[f"b{i}"] or 0
+            self._hot[keys] = [
                 (top["item"], math.ceil(top["count"] / row["rows"] * partitions))
                 for top in row[f"top{i}"] or [] if top["count"] > floor]
 
@@ -192,6 +216,20 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
+def restrict(df: DataFrame, probe: Probe, on: Sequence[str]) -> DataFrame:
+    """Leave out rows of ``df`` whose key the probed frame does not have, if that is cheap.
+
+    Meant for tables that are joined to the probed frame later on anyway. Few keys are
+    broadcast, so that ``df`` is thinned where it is read; to find out whether they are
+    few, a job is run only for the sake of a large ``df``. Otherwise it stays as it is.
+    """
+    on = list(on)
+    _check_key_types(df, probe.df, on)
+    if probe.surely_few() or (planned_bytes(df) > TASK_BYTES and probe.few(on)):
+        return df.join(F.broadcast(probe.df.select(*on)), on, "left_semi")
+    return df
+
+
 def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str],
                attributes: Sequence[str], probe: Probe | None = None) -> DataFrame:
     """Join one dimension several times under different roles.

@@ -34,23 +34,24 @@ def top1(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str]) ->
     return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
-def latest_milestones(milestones: DataFrame, wanted: Mapping[str, int]) -> DataFrame:
+def latest_milestones(milestones: DataFrame, wanted: Mapping[str, int],
+                      key: str = "key") -> DataFrame:
     """Per shipment, the time of the newest row (by id) of each wanted milestone."""
     rows = milestones.where(F.col("milestone_id").isin(list(wanted.values())))
-    return rows.groupBy("key").agg(*[
+    return rows.groupBy(key).agg(*[
         F.max(F.when(F.col("milestone_id") == m, F.struct("id", "time"))).getField("time").alias(name)
         for name, m in wanted.items()
     ])
 
 
 def any_milestones(milestones: DataFrame, wanted: Mapping[str, int], product_line: int,
-                   status: int) -> DataFrame:
+                   status: int, key: str = "key") -> DataFrame:
     """Per shipment, one time of each wanted milestone among rows of a line and status.
 
     Any row may be taken; the newest by id is, as in ``latest_milestones``.
     """
     rows = milestones.where((F.col("product_line") == product_line) & (F.col("status") == status))
-    return latest_milestones(rows, wanted)
+    return latest_milestones(rows, wanted, key)
 
 
 def any_of(df: DataFrame, keys: Sequence[str], column: str, name: str | None = None) -> DataFrame:

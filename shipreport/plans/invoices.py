@@ -14,7 +14,7 @@ from shipreport.functions.text import code_eq, join_text, not_blank, pieces_by_u
 from shipreport.operators.charges import charge_pivot
 from shipreport.operators.filters import date_range
 from shipreport.operators.joins import (
-    Probe, attach, fan_out, filter_by_code, with_country, with_roles)
+    Probe, attach, fan_out, filter_by_code, restrict, with_country, with_roles)
 from shipreport.operators.lookups import any_milestones, first_of
 from shipreport.plans.common import SHIPMENT, houses_of, with_join_keys
 from shipreport.plans.modes import AIR_MODES, Mode
@@ -216,12 +216,17 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
                               code_eq(F.col("code"), billing.bill_to_code, ignore_case))
     invoices = invoices.select(*SHIPMENT, "invoice_key", "invoice_no", "invoice_date", "amount")
 
+    of_invoices = Probe(invoices, INVOICE, SHIPMENT, within=numbered)
+
+    # Tables are thinned to what the invoices need, if their keys are few.
     bills = houses_of(t, modes)
     base = filter_by_code(bills, customers, "customer_id", "customer_id",
                           code_eq(F.col("code"), billing.customer_code, ignore_case))
-    times = any_milestones(t["milestone"], MILESTONES, MILESTONE_LINE, MILESTONE_STATUS)
+    base = restrict(base, of_invoices, SHIPMENT)
     of_houses = Probe(base, ["house_key"], SHIPMENT, within=bills)
-    houses = attach(base, times.withColumnRenamed("key", "house_key"), ["house_key"], probe=of_houses)
+    history = restrict(t["milestone"].withColumnRenamed("key", "house_key"), of_houses, ["house_key"])
+    times = any_milestones(history, MILESTONES, MILESTONE_LINE, MILESTONE_STATUS, "house_key")
+    houses = attach(base, times, ["house_key"], probe=of_houses)
     houses = with_roles(houses, customers, "customer_id", {"shp": "shipper_id"},
                         ["name", "address1", "address2"], probe=of_houses)
     houses = with_roles(houses, with_country(customers, t["country"]), "customer_id",
@@ -236,10 +241,9 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
     for code, (amount, local) in charges.items():
         measures[amount] = ("amount", (code,))
         measures[local] = ("local_equiv", (code,))
-    sums = charge_pivot(t["invoice_line"], INVOICE, measures,
+    sums = charge_pivot(restrict(t["invoice_line"], of_invoices, INVOICE), INVOICE, measures,
                         also={"Currency Exchange Rate": F.min("rate")})
 
-    of_invoices = Probe(invoices, INVOICE, SHIPMENT, within=numbered)
     billed = attach(invoices, sums, INVOICE, probe=of_invoices)
     rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
     shipper_address = join_text(F.col("shp_address1"), F.col("shp_address2"))

@@ -14,7 +14,7 @@ from shipreport.functions.dates import fmt_date, fmt_time
 from shipreport.functions.text import code_eq, code_in, left_chars, pieces_label, right_chars
 from shipreport.operators.charges import cached_charges
 from shipreport.operators.filters import billable, date_range, not_void
-from shipreport.operators.joins import Probe, attach, fan_out, flag_in_list, in_list, with_roles
+from shipreport.operators.joins import Probe, attach, fan_out, flag_in_list, in_list, restrict, with_roles
 from shipreport.operators.lookups import latest_by, latest_milestones
 from shipreport.operators.stacking import stack_modes
 from shipreport.plans.common import MASTER, SHIPMENT, houses_of, with_join_keys
@@ -51,36 +51,37 @@ INVOICE = ["invoice_key", "temp_seq", "station"]
 
 
 def shipments(tables: Mapping[str, DataFrame], modes: Sequence[Mode],
-              customers: DataFrame | Sequence[int], ignore_case: bool) -> tuple[DataFrame, DataFrame]:
-    """Live house bills of the listed customers, and the same with flight, times and master number."""
-
-    def live(some: Sequence[Mode]) -> DataFrame:
-        rows = houses_of(tables, some).where(not_void("status", ignore_case=ignore_case))
-        return in_list(rows, "customer_id", customers)
-
-    booked_modes = [m for m in modes if m.booked]
-    own_modes = [m for m in modes if not m.booked]
-    found = []
-    # Own-number modes are kept out of the master and booking joins: their empty master
-    # ids would all meet in one partition.
-    if booked_modes:
-        base = live(booked_modes)
-        masters = stack_modes({m.code: tables[f"master_{m.code}"] for m in booked_modes})
-        bookings = stack_modes({m.code: tables[f"booking_{m.code}"] for m in booked_modes})
-        flights = latest_by(bookings, MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
-        rows = base.drop("master_no", "flight")
-        probe = Probe(base, MASTER)
+              customers: DataFrame | Sequence[int], invoices: Probe,
+              ignore_case: bool) -> tuple[Probe, DataFrame]:
+    """Live house bills of the listed customers with flight, times and master number.
+
+    Tables are thinned to what the invoices need, if their keys are few.
+    """
+    bills = houses_of(tables, modes)
+    live = bills.where(not_void("status", ignore_case=ignore_case))
+    live = restrict(in_list(live, "customer_id", customers), invoices, SHIPMENT)
+    probe = Probe(live, SHIPMENT, MASTER, ["house_key"], within=bills)
+    pieces, unit = F.col("pcs"), F.col("pcs_uom")
+    parts = []
+    # Modes without bookings are kept out of the master and booking joins: their empty
+    # master ids would all meet in one partition.
+    booked = [m.code for m in modes if m.booked]
+    if booked:
+        masters = stack_modes({m: tables[f"master_{m}"] for m in booked})
+        bookings = stack_modes({m: tables[f"booking_{m}"] for m in booked})
+        flights = latest_by(restrict(bookings, probe, MASTER), MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
+        rows = live.where(F.col("mode").isin(booked)).drop("master_no", "flight")
         rows = attach(rows, masters.withColumnRenamed("id", "master_id"), MASTER, probe=probe)
         rows = attach(rows, flights, MASTER, probe=probe)
-        label = pieces_label(F.col("pcs"), F.col("pcs_uom"), F.col("sp_unit"), F.col("sp_unit_uom"))
-        found.append((base, rows.withColumn("pieces", label)))
-    if own_modes:
-        base = live(own_modes)
-        times = latest_milestones(tables["milestone"], MILESTONES).withColumnRenamed("key", "house_key")
-        rows = attach(base, times, ["house_key"])
-        found.append((base, rows.withColumn("pieces", pieces_label(F.col("pcs"), F.col("pcs_uom")))))
-    bases, enriched = zip(*found)
-    return reduce(DataFrame.unionByName, bases), reduce(DataFrame.unionByName, enriched)
+        label = pieces_label(pieces, unit, F.col("sp_unit"), F.col("sp_unit_uom"))
+        parts.append(rows.withColumn("pieces", label))
+    own = [m.code for m in modes if not m.booked]
+    if own:
+        history = restrict(tables["milestone"].withColumnRenamed("key", "house_key"), probe, ["house_key"])
+        times = latest_milestones(history, MILESTONES, "house_key")
+        rows = attach(live.where(F.col("mode").isin(own)), times, ["house_key"], probe=probe)
+        parts.append(rows.withColumn("pieces", pieces_label(pieces, unit)))
+    return probe, reduce(DataFrame.unionByName, parts)
 
 
 def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.datetime,
@@ -89,21 +90,13 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
                 ignore_case: bool = True) -> DataFrame:
     """The report on canonical tables."""
     t = with_join_keys(tables, ignore_case)
-    base, houses = shipments(t, modes, customers, ignore_case)
-    of_houses = Probe(base, SHIPMENT)
-    houses = with_roles(houses, t["customer"], "customer_id",
-                        {"cnee": "consignee_id", "shpr": "shipper_id"}, ["code"], probe=of_houses)
-    houses = with_roles(houses, t["city"], "id",
-                        {"org": "origin_city", "des": "dest_city"}, ["code"], probe=of_houses)
-
-    headers = t["invoice_header"].where(
+    numbered = t["invoice_header"].where(
         date_range("invoice_date", start, end)
         & code_in(F.col("product_line"), sorted({m.product_line for m in modes}), ignore_case)
         & F.col("mode").isin([m.code for m in modes])
         & billable(ignore_case=ignore_case)
     )
-    of_headers = Probe(headers, INVOICE, SHIPMENT)
-    headers = flag_in_list(headers, "customer_id", customers, "listed")
+    headers = flag_in_list(numbered, "customer_id", customers, "listed")
 
     def of_branch(m: Mode) -> Column:
         rule = (F.col("mode") == m.code) & code_eq(F.col("product_line"), m.product_line, ignore_case)
@@ -111,13 +104,20 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
 
     invoices = headers.where(reduce(or_, [of_branch(m) for m in modes])).select(
         *SHIPMENT, "invoice_key", "temp_seq", "invoice_no", "invoice_date", "amount", "lot")
+    of_invoices = Probe(invoices, INVOICE, SHIPMENT, within=numbered)
+
+    of_houses, houses = shipments(t, modes, customers, of_invoices, ignore_case)
+    houses = with_roles(houses, t["customer"], "customer_id",
+                        {"cnee": "consignee_id", "shpr": "shipper_id"}, ["code"], probe=of_houses)
+    houses = with_roles(houses, t["city"], "id",
+                        {"org": "origin_city", "des": "dest_city"}, ["code"], probe=of_houses)
+
     sums = cached_charges(
-        headers.where("listed"), t["invoice_line"], INVOICE,
+        headers.where("listed"), restrict(t["invoice_line"], of_invoices, INVOICE), INVOICE,
         {name: ("amount", codes) for name, codes in charges.items()},
         also={"Currency": F.min("currency")})
-
-    billed = attach(invoices, sums, INVOICE, probe=of_headers)
-    rows = fan_out(billed, houses, SHIPMENT, "inner", of_headers, of_houses)
+    billed = attach(invoices, sums, INVOICE, probe=of_invoices)
+    rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
     report = rows.select(
         F.col("lot").alias("Lot"), F.col("mode").alias("Mode"), F.lit(forwarder).alias("Forwarder"),
         F.col("cnee_code").alias("CNEE"), F.col("shpr_code").alias("SHPR"),

@@ -79,7 +79,20 @@ def test_nothing_is_salted_without_hot_keys(spark, shuffled):
 def test_small_data_is_not_probed(spark):
     probe = joins.Probe(spark.range(10).withColumnRenamed("id", "k"))
     probe._search = None
-    assert probe.hot(["k"]) == []
+    assert probe.hot(["k"]) == [] and probe.few(["k"])
+
+
+def test_restrict_keeps_what_a_later_join_needs(spark, measured, monkeypatch):
+    left, right, many = sides(spark, 3)
+    probe = joins.Probe(left, ["k", "s"])
+    thin = joins.restrict(many, probe, ["k", "s"])
+    keys = left.select("k", "s").distinct()
+    assert bag(thin) == bag(many.join(keys, ["k", "s"], "left_semi")) != bag(many)
+    assert bag(left.join(thin, ["k", "s"], "left")) == bag(left.join(many, ["k", "s"], "left"))
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    assert joins.restrict(many, joins.Probe(left), ["k", "s"]) is many
+    monkeypatch.setattr(joins, "TASK_BYTES", 1 << 60)
+    assert joins.restrict(many, joins.Probe(left), ["k", "s"]) is many
 
 
 def test_key_types_must_agree(spark):
