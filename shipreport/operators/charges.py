@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shipreport.operators.joins import attach, fan_out
+from shipreport.operators.joins import fan_out
 
 CODE = "charge_id"
 
@@ -43,6 +43,7 @@ def cached_charges(headers: DataFrame, lines: DataFrame, keys: Sequence[str],
     built.
     """
     copies = headers.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    sums = attach(charge_pivot(lines, keys, columns, also), copies, keys, "inner")
+    # Both sides hold one row per key.
+    sums = charge_pivot(lines, keys, columns, also).join(copies, list(keys))
     repeated = [(F.col(n) * F.col("_copies").cast("decimal(10,0)")).alias(n) for n in columns]
     return sums.select(*keys, *repeated, *(also or {}))

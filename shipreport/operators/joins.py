@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Reading this much to find out whether a side is small costs more than it saves.
-MEASURE_BYTES = 64 * 1024 * 1024 * 1024
 # Data of this size (a file split), or fewer rows than this on one key, are no burden
 # for one task.
 TASK_BYTES = 128 * 1024 * 1024
@@ -62,10 +60,7 @@ def measured_bytes(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Small by Spark's own estimate, or else by measuring its bytes."""
-    planned = planned_bytes(df)
-    if planned <= _auto_broadcast_bytes(df):
-        return True
-    return planned <= MEASURE_BYTES and measured_bytes(df) <= BROADCAST_BYTES
+    return planned_bytes(df) <= _auto_broadcast_bytes(df) or measured_bytes(df) <= BROADCAST_BYTES
 
 
 def _auto_broadcast_bytes(df: DataFrame) -> int:
@@ -94,11 +89,15 @@ class Probe:
 
     def hot(self, on: Sequence[str]) -> list[tuple[int, int]]:
         """(key hash, number of salts) of the keys with more than a fair share of rows."""
-        if self._planned <= TASK_BYTES:
+        if self.small():
             return []
         self._search(tuple(on))
         return self._hot[tuple(on)]
 
+    def small(self) -> bool:
+        """One task could take all rows, so no key of them needs care."""
+        return self._planned <= TASK_BYTES
+
     def surely_few(self) -> bool:
         """The keys are small by Spark's own estimate."""
         return self._planned <= _auto_broadcast_bytes(self.df)
@@ -178,13 +177,16 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-           probe: Probe | None = None) -> DataFrame:
-    """Join ``left`` to a dimension, i.e. a table that is cheap to read and may be small."""
+           probe: Probe | None = None, small: bool | None = None) -> DataFrame:
+    """Join ``left`` to a dimension, i.e. a table that is cheap to read and may be small.
+
+    ``small`` is what ``fits_broadcast`` has said of it, if it has been asked before.
+    """
     on = list(on)
     _check_key_types(left, right, on)
-    if planned_bytes(right) <= _auto_broadcast_bytes(right):
-        return left.join(right, on, how)
-    if fits_broadcast(right):
+    if small is None:
+        small = fits_broadcast(right)
+    if small:
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how, _probe(left, probe).hot(on))
 
@@ -194,9 +196,10 @@ def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "lef
     """Join ``left`` to a large table with one or few rows per key; its size is not measured."""
     on = list(on)
     _check_key_types(left, right, on)
-    if planned_bytes(right) <= _auto_broadcast_bytes(right):
+    probe = _probe(left, probe)
+    if probe.small() or planned_bytes(right) <= _auto_broadcast_bytes(right):
         return left.join(right, on, how)
-    return salted_join(left, right, on, how, _probe(left, probe).hot(on))
+    return salted_join(left, right, on, how, probe.hot(on))
 
 
 def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -204,11 +207,13 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
     """Left or inner join in which many rows of either side may share a key."""
     on = list(on)
     _check_key_types(left, right, on)
+    probe_left, probe_right = _probe(left, probe_left), _probe(right, probe_right)
+    if probe_left.small() and probe_right.small():
+        return left.join(right, on, how)
     limit = _auto_broadcast_bytes(right)
     if planned_bytes(right) <= limit or (how == "inner" and planned_bytes(left) <= limit):
         return left.join(right, on, how)
-    hot_left = _probe(left, probe_left).hot(on)
-    hot_right = _probe(right, probe_right).hot(on)
+    hot_left, hot_right = probe_left.hot(on), probe_right.hot(on)
     if how == "inner" or not hot_right:
         return salted_join(left, right, on, how, hot_left, hot_right)
     matched = salted_join(left, right, on, "inner", hot_left, hot_right)
@@ -237,10 +242,11 @@ def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, s
     ``roles`` maps a prefix to the column of ``df`` that holds that role's id; the
     attributes arrive as ``<prefix>_<attribute>``.
     """
+    small = fits_broadcast(dimension.select(key, *attributes))
     for prefix, column in roles.items():
         narrow = dimension.select(
             F.col(key).alias(column), *[F.col(a).alias(f"{prefix}_{a}") for a in attributes])
-        df = lookup(df, narrow, [column], probe=probe)
+        df = lookup(df, narrow, [column], probe=probe, small=small)
     return df
 
 

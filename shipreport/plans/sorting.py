@@ -23,7 +23,8 @@ def sorted_documents(shipments: DataFrame, docs: DataFrame, day: dt.date, forwar
     # A small list of shipments is broadcast and spares reading the other texts. A
     # large one needs a shuffle, which is given types, not texts.
     if fits_broadcast(opened):
-        return opened, cascade(lookup(docs, opened, ["house_no"], "inner"), filled, own_type)
+        return opened, cascade(
+            lookup(docs, opened, ["house_no"], "inner", small=True), filled, own_type)
     typed = cascade(docs, filled, own_type)
     return opened, attach(typed, opened, ["house_no"], "inner", probe=Probe(docs))
 

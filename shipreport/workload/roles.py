@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipreport.operators.joins import Probe, lookup
+from shipreport.operators.joins import Probe, attach
 from shipreport.sources.schemas import SCHEMAS
 from shipreport.sources.stations import Stations
 
@@ -214,7 +214,7 @@ class Roles:
         labels = self.table("labels").select("doc_id", "quality", "toxic")
         events = self.table("events").select("event_id", "event_type")
         probe = Probe(rows, ["doc_id"], ["event_id"])
-        rows = lookup(lookup(rows, labels, ["doc_id"], probe=probe), events, ["event_id"], probe=probe)
+        rows = attach(attach(rows, labels, ["doc_id"], probe=probe), events, ["event_id"], probe=probe)
         house = "'SHP' || upper(left(event_type, 3)) || event_id"
         return shaped(rows, "document", {
             "doc_id": "doc_id",
