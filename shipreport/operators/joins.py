@@ -98,13 +98,9 @@ class Probe:
         """One task could take all rows, so no key of them needs care."""
         return self._planned <= TASK_BYTES
 
-    def surely_few(self) -> bool:
-        """The keys are small by Spark's own estimate."""
-        return self._planned <= _auto_broadcast_bytes(self.df)
-
     def few(self, on: Sequence[str]) -> bool:
         """All rows' keys together may be broadcast."""
-        if self.surely_few():
+        if self._planned <= _auto_broadcast_bytes(self.df):
             return True
         self._search(tuple(on))
         return self._bytes[tuple(on)] <= BROADCAST_BYTES
@@ -224,13 +220,13 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
 def restrict(df: DataFrame, probe: Probe, on: Sequence[str]) -> DataFrame:
     """Leave out rows of ``df`` whose key the probed frame does not have, if that is cheap.
 
-    Meant for tables that are joined to the probed frame later on anyway. Few keys are
-    broadcast, so that ``df`` is thinned where it is read; to find out whether they are
-    few, a job is run only for the sake of a large ``df``. Otherwise it stays as it is.
+    Meant for large tables that are joined to the probed frame later on anyway. Few keys
+    are broadcast, so that ``df`` is thinned where it is read. A small ``df``, or one to
+    be thinned by many keys, stays as it is.
     """
     on = list(on)
     _check_key_types(df, probe.df, on)
-    if probe.surely_few() or (planned_bytes(df) > TASK_BYTES and probe.few(on)):
+    if planned_bytes(df) > TASK_BYTES and probe.few(on):
         return df.join(F.broadcast(probe.df.select(*on)), on, "left_semi")
     return df
 

@@ -491,7 +491,7 @@ def oracles() -> dict[str, str]:
         "charge_two_measures": direct_sums({"": "amount", "_local": "local_equiv"}),
         "charge_sum_cached": with_roles(
             " SELECT a.invoice_no, " + ", ".join(
-                line_sum("line_amount", codes, "cache", "a", LINE_KEYS) + f" AS {name}"
+                f"CAST({line_sum('line_amount', codes, 'cache', 'a', LINE_KEYS)} AS DECIMAL(38,2)) AS {name}"
                 for name, codes in {"freight": "13", "fuel": "14", "security": "15",
                                     "export_handling": "380", "import_handling": "5"}.items())
             + """, (SELECT min(t.currency) FROM cache t WHERE t.invoice_no = a.invoice_no
