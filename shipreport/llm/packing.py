@@ -11,7 +11,7 @@ powers of two, so that nothing is padded.
 
 A task's documents are those of one input split, so a task that is run again packs them in
 the same way. Windows never span tasks; ids of sequences are unique over all tasks. The
-pool holds at most ``pool`` remainders.
+pool holds at most ``pool`` remainders, or as many as fill one window.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipreport.llm.common import texts
+from shipreport.llm.words import byte_hashes, pieces
 
 CAPACITY = 2048
 #: Remainders that wait at once; windows are filled while half of them are there.
@@ -34,8 +36,8 @@ POOL = 1024
 CHOICES = 48
 #: The id that ends a document.
 END_ID = 1
-#: Distinct units whose ids a task remembers.
-REMEMBERED = 400_000
+#: Distinct units whose ids a worker remembers.
+REMEMBERED = 3_000_000
 
 PIECE_SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
                 "sequence_id bigint, offset bigint, ids array<int>")
@@ -71,13 +73,15 @@ def fullest(counts: dict[int, int], capacity: int) -> Counter:
 class Tokens:
     """Ids of texts by a public tokenizer, one distinct unit of text at a time.
 
-    A text may be cut before any space that is followed by no white space: there a new unit
-    of the tokenizer's splitting pattern begins in every case. Equal units have equal ids,
-    so only new ones are tokenised.
+    A unit ends where the tokenizer's splitting pattern ends a token in every case: before a
+    space that no white space follows; between an ASCII letter and an ASCII mark other than
+    an apostrophe; around a single line feed between an ASCII character that is no white
+    space and an ASCII letter. Equal units have equal ids, so only new ones are tokenised.
+    Units are told apart by 64-bit hashes of their bytes.
     """
 
     #: First bytes of white space outside ASCII; no cut is made before them.
-    WIDE = frozenset(b"\xc2\xe1\xe2\xe3")
+    WIDE = b"\xc2\xe1\xe2\xe3"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,28 +89,82 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[bytes, np.ndarray] = {}
-        white = np.zeros(256, bool)
-        white[[*range(0x09, 0x0E), *range(0x1C, 0x21), *self.WIDE]] = True
-        self.goes_on = ~white
-
-    def units(self, text: bytes) -> list[bytes]:
-        raw = np.frombuffer(text, np.uint8)
-        cuts = np.flatnonzero((raw[:-1] == 0x20) & self.goes_on[raw[1:]])
-        places = [0, *cuts.tolist(), len(text)] if not len(cuts) or cuts[0] else [*cuts.tolist(), len(text)]
-        return [text[a:b] for a, b in zip(places, places[1:])]
+        byte = np.arange(256)
+        self.goes_on = ~np.isin(byte, [0x00, *range(0x09, 0x0E), *range(0x1C, 0x21), *self.WIDE])
+        self.letter = ((byte >= 65) & (byte <= 90)) | ((byte >= 97) & (byte <= 122))
+        self.graphic = (byte >= 33) & (byte <= 126)
+        self.mark = self.graphic & ~self.letter & ~((byte >= 48) & (byte <= 57)) & (byte != ord("'"))
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def cuts(self, raw: np.ndarray) -> np.ndarray:
+        """The places in ``raw`` before which a unit begins, but for the first."""
+        cut = np.zeros(len(raw), bool)
+        before, here = raw[:-1], raw[1:]
+        cut[:-1] = (before == 0x20) & self.goes_on[here]
+        cut[1:] |= self.letter[before] & self.mark[here]
+        if len(raw) > 2:
+            line = np.flatnonzero((raw[1:-1] == 0x0A) & self.graphic[raw[:-2]] & self.letter[raw[2:]]) + 1
+            cut[line] = cut[line + 1] = True
+        return cut
+
+    def learn(self, units: list[bytes], hashes: np.ndarray) -> None:
+        """Tokenise new units and take them into the sorted table of hashes."""
+        ids, sizes = [], []
+        for start in range(0, len(units), 8192):
+            for found in self.tokenizer.encode_batch_fast([u.decode() for u in units[start:start + 8192]],
+                                                          add_special_tokens=False):
+                part = found.ids
+                ids.extend(part)
+                sizes.append(len(part))
+        sizes = np.array(sizes, np.int64)
+        places = len(self.ids) + np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64)
+        self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.places, self.sizes = (
+            np.insert(old, at, new) for old, new in
+            ((self.hashes, hashes), (self.places, places), (self.sizes, sizes)))
 
     def encode(self, many: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        split = [self.units(t) if t else [] for t in many]
-        new = list({u for units in split for u in units}.difference(self.known))
-        for start in range(0, len(new), 4096):
-            some = new[start:start + 4096]
-            found = self.tokenizer.encode_batch([u.decode() for u in some], add_special_tokens=False)
-            self.known.update((u, np.array(e.ids, np.uint32)) for u, e in zip(some, found))
-        end = [np.array([END_ID], np.uint32)]
-        return [np.concatenate([*map(self.known.__getitem__, units), *end]) for units in split]
+        """The ids of each text, with the id that ends it."""
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        ends = np.cumsum(np.fromiter((len(t) + 1 for t in many), np.int64, len(many)))
+        data = b"\0".join(many) + b"\0"  # no rule cuts next to this byte, so none looks into the next text
+        raw = np.frombuffer(data, np.uint8)
+        cut = self.cuts(raw)
+        between = np.zeros(len(raw), bool)
+        between[ends - 1] = True
+        cut |= between
+        cut[np.concatenate([[0], ends[:-1]])] = True
+        starts = np.flatnonzero(cut)
+        stops = np.append(starts[1:], len(raw))
+        own = ~between[starts]
+        starts, stops = starts[own], stops[own]
+        distinct, first, inverse = np.unique(byte_hashes(raw, starts, stops), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.hashes, distinct), max(len(self.hashes) - 1, 0))
+        new = np.ones(len(distinct), bool) if not len(self.hashes) else self.hashes[at] != distinct
+        if new.any():
+            chosen = first[new]
+            self.learn([data[a:b] for a, b in zip(starts[chosen].tolist(), stops[chosen].tolist())], distinct[new])
+            at = np.searchsorted(self.hashes, distinct)
+        sizes, sources = self.sizes[at][inverse], self.places[at][inverse]
+        owner = np.searchsorted(ends, starts, side="right")
+        total = np.bincount(owner, sizes, len(many)).astype(np.int64)
+        shift = sources - (np.cumsum(sizes) - sizes)
+        flat = self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+        stops = np.cumsum(total)
+        end = np.array([END_ID], np.uint32)
+        return [np.concatenate([flat[b - n:b], end]) for b, n in zip(stops.tolist(), total.tolist())]
+
+
+@lru_cache(maxsize=1)
+def _tokens(path: str) -> Tokens:
+    """One tokenizer for all tasks of a worker process; what it remembers changes no result."""
+    return Tokens(path)
 
 
 class Packer:
@@ -115,7 +173,7 @@ class Packer:
     def __init__(self, capacity: int, pool: int, first_id: int, with_ids: bool):
         self.capacity, self.pool, self.sequence, self.with_ids = capacity, pool, first_id, with_ids
         self.waiting: dict[int, list[tuple]] = defaultdict(list)
-        self.n = 0
+        self.n = self.total = 0
         self.out: list[tuple] = []
 
     def piece(self, doc, start, ids, total, offset):
@@ -130,12 +188,13 @@ class Packer:
             start += self.capacity
         if start < total:
             self.wait((doc, start, ids[start:].copy() if start else ids, total))
-            while self.n > self.pool:
+            while self.n > self.pool and self.total >= self.capacity:
                 self.fill(self.capacity)
 
     def wait(self, item):
         self.waiting[len(item[2])].append(item)
         self.n += 1
+        self.total += len(item[2])
 
     def take(self, length):
         bucket = self.waiting[length]
@@ -143,6 +202,7 @@ class Packer:
         if not bucket:
             del self.waiting[length]
         self.n -= 1
+        self.total -= length
         return item
 
     def fill(self, capacity: int) -> None:
@@ -174,11 +234,8 @@ class Packer:
         return fit[:CHOICES // 2] + fit[-(CHOICES // 2):]
 
     def finish(self) -> None:
-        left = sum(k * len(v) for k, v in self.waiting.items())
-        while left:
-            size = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-            self.fill(size)
-            left -= size
+        while self.total:
+            self.fill(self.capacity if self.total >= self.capacity else 1 << (self.total.bit_length() - 1))
 
 
 def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, pool: int = POOL,
@@ -193,7 +250,7 @@ def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, pool:
     def run(batches):
         from pyspark import TaskContext
 
-        tokens = Tokens(tokenizer)
+        tokens = _tokens(tokenizer)
         packer = Packer(capacity, pool, TaskContext.get().partitionId() << 36, with_ids)
 
         def batch():
@@ -207,9 +264,8 @@ def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, pool:
         for rows in batches:
             doc_ids = rows.column("doc_id").to_pylist()
             held = texts(rows)
-            for low in range(0, len(held), 64):
-                encoded = tokens.encode([t or b"" for t in held[low:low + 64]])
-                for doc, ids in zip(doc_ids[low:low + 64], encoded):
+            for low, high, some in pieces(held):
+                for doc, ids in zip(doc_ids[low:high], tokens.encode(some)):
                     packer.add(doc, ids)
                 if len(packer.out) >= 4096:
                     yield batch()

@@ -55,6 +55,14 @@ _LETTERS = _Powers(0xD1342543DE82EF95 | 3)
 _WINDOWS = (_Powers(0xAF251AF3B0F025B5 | 3), _Powers(0x2545F4914F6CDD1D | 3))
 
 
+def byte_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes."""
+    up, down = _LETTERS.to(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[raw] * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts], 1)
+
+
 @dataclass
 class Words:
     """The words of some texts: ``first[i]`` to ``first[i + 1]`` are those of text ``i``."""
@@ -70,11 +78,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        raw = np.frombuffer(self.data, np.uint8)
-        up, down = _LETTERS.to(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTE[raw] * up[:-1], out=sums[1:])
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts], 1)
+        return byte_hashes(np.frombuffer(self.data, np.uint8), self.starts, self.ends)
 
     def text_of(self) -> np.ndarray:
         """The number of the text each word is in."""

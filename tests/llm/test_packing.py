@@ -42,16 +42,22 @@ def test_units_give_the_tokenizers_ids(tokenizer):
         assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
 
 
-@given(st.text(alphabet=" \n\t  　aé'sd1!\x1f\x85", max_size=30))
-@settings(max_examples=300, deadline=None)
-def test_units_on_any_white_space(tokenizer, text):
-    tokens = packing.Tokens.__new__(packing.Tokens)
-    tokens.tokenizer, tokens.known, tokens.goes_on = tokenizer, {}, _goes_on()
-    assert tokens.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1]
+@pytest.fixture(scope="module")
+def tokens():
+    return packing.Tokens(tokenizer_path())
+
+
+@given(st.lists(st.text(alphabet=" \n\t\u00a0\u3000a\u00e9'sd1!.\x00\x1f\x85", max_size=20), min_size=1, max_size=4))
+@settings(max_examples=600, deadline=None)
+def test_units_on_any_white_space(tokenizer, tokens, many):
+    got = tokens.encode([t.encode() for t in many])
+    assert [g.tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in many]
 
 
-def _goes_on():
-    return packing.Tokens(tokenizer_path()).goes_on if not hasattr(_goes_on, "kept") else _goes_on.kept
+def test_a_worker_may_forget(tokenizer, tokens, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 0)
+    for _ in range(2):
+        assert tokens.encode([b"one two", b""])[0].tolist() == tokenizer.encode("one two").ids + [1]
 
 
 def check(rows, texts, tokenizer):
