@@ -6,9 +6,8 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shipreport.llm import chat, decontamination, packing
+from shipreport.llm import chat, decontamination, language, packing, quality, toxicity
 from shipreport.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +26,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_quality(spark, sf_dir):
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_decontamination(spark, sf_dir):
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -42,6 +46,16 @@ def op4_chat_formatting(spark, sf_dir):
     return chat.digest(rows.unionByName(extra))
 
 
+@query
+def op5_language(spark, sf_dir):
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_packing(spark, sf_dir):
     return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path())
