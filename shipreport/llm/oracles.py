@@ -89,6 +89,7 @@ FROM embeddings e LEFT JOIN n ON n.a = e.vec_id JOIN least_of l ON l.a = e.vec_i
 """
 
 ORACLES = {
+    "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op4_chat_formatting": CHAT_FORMATTING,
 }

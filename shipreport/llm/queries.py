@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shipreport.llm import chat, decontamination, language, packing, quality, toxicity
+from shipreport.llm import chat, decontamination, language, packing, quality, substring, toxicity
 from shipreport.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    return substring.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_quality(spark, sf_dir):
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
