@@ -92,4 +92,5 @@ ORACLES = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op4_chat_formatting": CHAT_FORMATTING,
+    "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shipreport.llm import chat, decontamination, language, packing, quality, substring, toxicity
+from shipreport.llm import chat, decontamination, embeddings, language, packing, quality, substring, toxicity
 from shipreport.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op7_embedding_near_dedup(spark, sf_dir):
+    return embeddings.digest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_packing(spark, sf_dir):
     return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path())
