@@ -93,4 +93,5 @@ ORACLES = {
     "op3_decontamination": DECONTAMINATION,
     "op4_chat_formatting": CHAT_FORMATTING,
     "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
+    "op9_ngram_jaccard": NGRAM_JACCARD,
 }
