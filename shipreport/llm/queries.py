@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shipreport.llm import chat, decontamination, embeddings, jaccard, language, packing, quality, substring, toxicity
+from shipreport.llm import chat, decontamination, embeddings, htmltext, jaccard, language, packing, quality, substring, toxicity
 from shipreport.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op7_embedding_near_dedup(spark, sf_dir):
     return embeddings.digest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_html_extraction(spark, sf_dir):
+    return htmltext.digest(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_ngram_jaccard(spark, sf_dir):
     return jaccard.digest(table(spark, sf_dir, "documents"))
