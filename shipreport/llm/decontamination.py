@@ -242,7 +242,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WIN
     letter; n_chars, where present, follows the text.
     """
     columns = documents.columns
-    marked = hits(documents, benchmark, window, **sizes)
+    marked = hits(documents.select(F.struct(*columns).alias("whole"), "text"), benchmark, window, **sizes)
     marked = marked.where(F.size("hit") <= F.lit(max_coverage) * F.col("n_words"))
 
     def run(batches):
@@ -255,11 +255,12 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WIN
                 [values if n == "text" else c for n, c in zip(batch.schema.names, batch.columns)],
                 names=batch.schema.names)
 
-    done = marked.mapInArrow(run, marked.schema)
+    new = {"text": F.col("text")}
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.when(F.size("hit") == 0, F.col("n_chars"))
-                               .otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))
-    return done.select(*columns)
+        new["n_chars"] = F.when(F.size("hit") == 0, F.col("whole.n_chars")).otherwise(F.length("text")).cast(
+            documents.schema["n_chars"].dataType)
+    return marked.mapInArrow(run, marked.schema).select(
+        *(new.get(c, F.col("whole").getField(c)).alias(c) for c in columns))
 
 
 def cut(text: bytes, places: list[int], max_span: int) -> bytes:

@@ -208,16 +208,13 @@ def parsed(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     found = windows.withColumn("source", earliest).where("settled or source < doc_id")
     # Rows of equal id and text are one row here: their places are the same.
     of_row = found.groupBy("row").agg(F.collect_list(F.struct("pos", "more", "source")).alias("found"))
-    schema = ("n_words bigint, n_removed bigint, kept string, "
-              "factors array<struct<first_word:int,n_words:int,source:bigint>>")
-    joined = rows.join(of_row, "row", "left").select("text", "rest", "found")
-    out = joined.select("text", "rest", "found").withColumns({
+    schema = rows.select("rest").withColumns({
         "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit(""),
-        "factors": F.lit(None).cast("array<struct<first_word:int,n_words:int,source:bigint>>")})
-    return _finished(out.drop("found").schema, joined, window).select("rest.*", *new)
+        "factors": F.lit(None).cast("array<struct<first_word:int,n_words:int,source:bigint>>")}).schema
+    return _finished(rows.join(of_row, "row", "left"), schema, window).select("rest.*", *new)
 
 
-def _finished(schema, joined: DataFrame, window: int) -> DataFrame:
+def _finished(joined: DataFrame, schema, window: int) -> DataFrame:
     def run(batches):
         kinds = pa.list_(pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("source", pa.int64())]))
         for batch in batches:
@@ -237,9 +234,9 @@ def _finished(schema, joined: DataFrame, window: int) -> DataFrame:
                     left.append(b" ".join([words.data[x:y] for x, y in zip(starts.tolist(), ends.tolist())]))
                     factors.append([dict(zip(("first_word", "n_words", "source"), f)) for f in parts])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("text"), batch.column("rest"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+                [batch.column("rest"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(left, pa.binary()).cast(pa.string()), pa.array(factors, kinds)],
-                names=["text", "rest", "n_words", "n_removed", "kept", "factors"])
+                names=["rest", "n_words", "n_removed", "kept", "factors"])
 
     return joined.mapInArrow(run, schema)
 
