@@ -129,10 +129,13 @@ def keyword_flags(pages: DataFrame, keys: Sequence[str], text: str,
     """Per document, which words occur on any of its pages.
 
     A keyword cannot cross a line break, so pages joined by line breaks hold it just
-    when one page does; the flags merge without building the document's text.
+    when one page does; the flags merge without building the document's text. Words with
+    a line break, which this would not hold for, are refused; letter case does not count.
     """
+    if any("\n" in word for word in words.values()):
+        raise ValueError("keywords must not hold line breaks")
     upper = F.upper(F.col(text))
-    seen = [F.coalesce(F.bool_or(upper.contains(word)), F.lit(False)).alias(name)
+    seen = [F.coalesce(F.bool_or(upper.contains(word.upper())), F.lit(False)).alias(name)
             for name, word in words.items()]
     return pages.groupBy(*keys).agg(*seen)
 
@@ -170,6 +173,10 @@ def page_concat(pages: DataFrame, key: str, page: str, text: str, form: str = "l
     return runs.groupBy(key).agg(joined("_piece", "_run").alias(text))
 
 
+def _differs(new: str) -> Column:
+    return F.upper(F.col(new)) != clean_type(F.col("current_type"))
+
+
 def type_changes(docs: DataFrame, new: str = "new_type") -> DataFrame:
     """A change row for each document whose new type differs from the stored one.
 
@@ -182,26 +189,24 @@ def type_changes(docs: DataFrame, new: str = "new_type") -> DataFrame:
         strip(F.col("current_type")).alias("old_type"),
         F.col(new).alias("new_type"),
     )
-    differs = F.upper(F.col(new)) != clean_type(F.col("current_type"))
+    differs = _differs(new)
     # Not a filter: the optimizer would move it below the joins and evaluate the rules
     # there, over all texts and once per mention of the new type.
     return docs.select(F.inline(F.when(differs, F.array(change))))
 
 
-def change_counts(shipments: DataFrame, docs: DataFrame, changes: DataFrame) -> DataFrame:
-    """Documents and changes of each shipment opened, also of those without any."""
-    def events(df: DataFrame, opened: int, doc: int, change: int) -> DataFrame:
-        return df.select("house_no", F.lit(opened).alias("opened"), F.lit(doc).alias("doc"),
-                         F.lit(change).alias("change"))
-
-    rows = events(shipments, 1, 0, 0).unionAll(events(docs, 0, 1, 0)).unionAll(
-        events(changes, 0, 0, 1))
-    return rows.groupBy("house_no").agg(
-        F.sum("opened").alias("opened"), F.sum("doc").alias("documents"),
-        F.sum("change").alias("changed"))
+def change_counts(shipments: DataFrame, docs: DataFrame, new: str = "new_type",
+                  total: str | None = None) -> DataFrame:
+    """Documents and changes of each shipment opened, also of those without any.
 
-
-def change_totals(counts: DataFrame) -> DataFrame:
-    """Shipments opened and documents changed in all."""
-    return counts.agg(F.sum("opened").alias("opened"), F.sum("documents").alias("documents"),
-                      F.sum("changed").alias("changed"))
+    Each document is read once and says itself whether it changes. With ``total`` one more
+    row of this name counts all.
+    """
+    changed = F.coalesce(_differs(new), F.lit(False)).cast("int")
+    rows = shipments.select("house_no", F.lit(1).alias("opened"), F.lit(0).alias("doc"), F.lit(0).alias("change")).unionAll(
+        docs.select("house_no", F.lit(0).alias("opened"), F.lit(1).alias("doc"), changed.alias("change")))
+    sums = [F.sum("opened").alias("opened"), F.sum("doc").alias("documents"), F.sum("change").alias("changed")]
+    if total is None:
+        return rows.groupBy("house_no").agg(*sums)
+    named = F.when(F.col("_all") == 1, F.lit(total)).otherwise(F.col("house_no"))
+    return rows.rollup("house_no").agg(*sums, F.grouping("house_no").alias("_all")).withColumn("house_no", named).drop("_all")

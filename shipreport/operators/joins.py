@@ -1,20 +1,15 @@
 """Joins that stay whole and balanced when one key holds much of the data.
 
-They choose in this order:
-
-1. Spark's own size check: a right side it estimates under
-   ``spark.sql.autoBroadcastJoinThreshold`` is left to Catalyst.
-2. A dimension over it (``lookup``) whose bytes, measured by a job, fit
-   ``BROADCAST_BYTES`` is broadcast.
-3. Otherwise both sides are shuffled. Keys that hold more rows than a fair
-   partition are found with a mergeable top-k sketch and spread over as many
-   salts as their share asks for. The other side is copied for those keys only,
-   so all copies together are about as many as there are shuffle partitions.
-
-``lookup`` joins a dimension, ``attach`` a large table with one or few rows per key,
-``fan_out`` two large tables of which either may hold many rows per key.
-
-The sketch only decides how rows are spread; every row is joined either way.
+A right side that Catalyst itself takes for small (``spark.sql.autoBroadcastJoinThreshold``)
+is left to Catalyst, without a hint, so that adaptive execution may still decide otherwise.
+Any other join is a shuffle. Keys that hold more rows than a fair partition are then found
+by an exact count with map-side partials, of which only those keys come back: fewer than
+the number of partitions, by definition. They are spread over as many salts as their share
+asks for, and the other side is copied for those keys only.
+
+``attach`` joins a dimension or a table with one or few rows per key, ``fan_out`` two large
+tables of which either may hold many rows per key, ``thinned`` leaves out rows that no key
+of another frame needs. The count only decides how rows are spread; every row is joined.
 """
 
 from __future__ import annotations
@@ -24,15 +19,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Data of this size (a file split), or fewer rows than this on one key, are no burden
-# for one task.
-TASK_BYTES = 128 * 1024 * 1024
-HOT_ROWS = 1_000_000
-# Upper bound of the list of hot keys that is brought to the driver.
-MAX_HOT_KEYS = 1000
+# A key of fewer rows than this is no burden for one task.
+HOT_ROWS = 100_000
+# Salts of a key whose frame is not counted.
+SPREAD = 16
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -40,31 +31,10 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _row_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Bytes of a row: text by its length, other values by their width."""
-    width = F.lit(16)
-    for name in columns:
-        kind, col = df.schema[name].dataType, F.col(f"`{name}`")
-        if isinstance(kind, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(col), F.lit(0)) + 16
-        elif isinstance(kind, T.AtomicType):
-            width = width + 16
-        else:
-            width = width + F.octet_length(F.to_json(F.struct(col))) * 4
-    return width.cast("bigint")
-
-
-def measured_bytes(df: DataFrame) -> int:
-    return df.select(F.sum(_row_bytes(df, df.columns))).first()[0] or 0
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Small by Spark's own estimate, or else by measuring its bytes."""
-    return planned_bytes(df) <= _auto_broadcast_bytes(df) or measured_bytes(df) <= BROADCAST_BYTES
-
-
-def _auto_broadcast_bytes(df: DataFrame) -> int:
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+def left_to_catalyst(df: DataFrame) -> bool:
+    """Catalyst's estimate is under its own broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return planned_bytes(df) <= limit
 
 
 def _key_hash(on: Sequence[str]) -> Column:
@@ -72,58 +42,40 @@ def _key_hash(on: Sequence[str]) -> Column:
 
 
 class Probe:
-    """What is known of the keys of a frame: the hot ones, and whether they are few.
+    """The hot keys of a frame, by hash, for all ``key_lists`` at once.
 
-    It is found in one scan of the key columns of all ``key_lists``, when first asked
-    for and only if the frame is not small anyway. A report probes the scan its keys
-    come from, not the joins on top of it. ``within`` is a frame that ``df`` was
-    filtered from, if its size is easier to tell.
+    They are looked for when first asked for: one job counts the rows, and only if a key
+    can be hot at all a second one counts the keys. A report probes a frame that is cheap
+    to read, not the joins on top of it, and names all key lists it will ask for.
     """
 
-    def __init__(self, df: DataFrame, *key_lists: Sequence[str], within: DataFrame | None = None):
+    def __init__(self, df: DataFrame, *key_lists: Sequence[str]):
         self.df = df
-        self._planned = planned_bytes(df if within is None else within)
         self._wanted = [tuple(k) for k in key_lists]
         self._hot: dict[tuple[str, ...], list[tuple[int, int]]] = {}
-        self._bytes: dict[tuple[str, ...], int] = {}
+        self._rows: int | None = None
 
     def hot(self, on: Sequence[str]) -> list[tuple[int, int]]:
         """(key hash, number of salts) of the keys with more than a fair share of rows."""
-        if self.small():
-            return []
-        self._search(tuple(on))
-        return self._hot[tuple(on)]
-
-    def small(self) -> bool:
-        """One task could take all rows, so no key of them needs care."""
-        return self._planned <= TASK_BYTES
-
-    def few(self, on: Sequence[str]) -> bool:
-        """All rows' keys together may be broadcast."""
-        if self._planned <= _auto_broadcast_bytes(self.df):
-            return True
-        self._search(tuple(on))
-        return self._bytes[tuple(on)] <= BROADCAST_BYTES
-
-    def _search(self, on: tuple[str, ...]) -> None:
-        if on in self._hot:
-            return
-        lists = [on, *(k for k in self._wanted if k != on and k not in self._hot)]
+        keys = tuple(on)
+        if keys not in self._hot:
+            self._search([keys, *(k for k in self._wanted if k != keys and k not in self._hot)])
+        return self._hot[keys]
+
+    def _search(self, lists: list[tuple[str, ...]]) -> None:
         partitions = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        keep = max(1, min(partitions, MAX_HOT_KEYS))
-        keyed = self.df.select(
-            *[_key_hash(k).alias(f"h{i}") for i, k in enumerate(lists)],
-            *[_row_bytes(self.df, k).alias(f"b{i}") for i, k in enumerate(lists)])
-        row = keyed.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.expr(f"approx_top_k(h{i}, {keep}, {10 * keep})").alias(f"top{i}") for i in range(len(lists))],
-            *[F.sum(f"b{i}").alias(f"b{i}") for i in range(len(lists))]).first()
-        floor = max(HOT_ROWS, row["rows"] / keep)
-        for i, keys in enumerate(lists):
-            self._bytes[keys] = row[f"b{i}"] or 0
-            self._hot[keys] = [
-                (top["item"], math.ceil(top["count"] / row["rows"] * partitions))
-                for top in row[f"top{i}"] or [] if top["count"] > floor]
+        if self._rows is None:
+            self._rows = self.df.count()
+        floor = max(HOT_ROWS, self._rows / partitions)
+        self._hot |= {keys: [] for keys in lists}
+        if self._rows <= floor:
+            return
+        hashes = F.explode(F.array(*[
+            F.struct(F.lit(i).alias("list"), _key_hash(k).alias("hash")) for i, k in enumerate(lists)]))
+        counts = self.df.select(hashes.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+        for row in counts.where(F.col("rows") > floor).collect():
+            salts = math.ceil(row["rows"] / self._rows * partitions)
+            self._hot[lists[row["key"]["list"]]].append((row["key"]["hash"], salts))
 
 
 def _probe(df: DataFrame, probe: Probe | None) -> Probe:
@@ -138,9 +90,9 @@ def _with_salts(df: DataFrame, on: Sequence[str], name: str,
     table = F.broadcast(df.sparkSession.createDataFrame(hot, "_hash bigint, _salts int"))
     out = df.withColumn("_hash", _key_hash(on)).join(table, "_hash", "left")
     if spread:
-        # The hash is over content and input partition, so a task that is run again
-        # after a lost executor gives each row the same salt.
-        mixed = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns])
+        # The row's place in its partition, and its content: equal rows of one partition get
+        # different salts. Which salt a row gets does not change the result.
+        mixed = F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in df.columns])
         salt = F.coalesce(F.pmod(mixed, F.col("_salts")).cast("int"), F.lit(0))
     else:
         salt = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
@@ -172,30 +124,14 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     return a.join(b, [*on, "_salt_l", "_salt_r"], how).drop("_salt_l", "_salt_r")
 
 
-def lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-           probe: Probe | None = None, small: bool | None = None) -> DataFrame:
-    """Join ``left`` to a dimension, i.e. a table that is cheap to read and may be small.
-
-    ``small`` is what ``fits_broadcast`` has said of it, if it has been asked before.
-    """
-    on = list(on)
-    _check_key_types(left, right, on)
-    if small is None:
-        small = fits_broadcast(right)
-    if small:
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how, _probe(left, probe).hot(on))
-
-
 def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
            probe: Probe | None = None) -> DataFrame:
-    """Join ``left`` to a large table with one or few rows per key; its size is not measured."""
+    """Join ``left`` to a dimension, or to a table with one or few rows per key."""
     on = list(on)
     _check_key_types(left, right, on)
-    probe = _probe(left, probe)
-    if probe.small() or planned_bytes(right) <= _auto_broadcast_bytes(right):
+    if left_to_catalyst(right):
         return left.join(right, on, how)
-    return salted_join(left, right, on, how, probe.hot(on))
+    return salted_join(left, right, on, how, _probe(left, probe).hot(on))
 
 
 def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -203,13 +139,9 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
     """Left or inner join in which many rows of either side may share a key."""
     on = list(on)
     _check_key_types(left, right, on)
-    probe_left, probe_right = _probe(left, probe_left), _probe(right, probe_right)
-    if probe_left.small() and probe_right.small():
+    if left_to_catalyst(right) or (how == "inner" and left_to_catalyst(left)):
         return left.join(right, on, how)
-    limit = _auto_broadcast_bytes(right)
-    if planned_bytes(right) <= limit or (how == "inner" and planned_bytes(left) <= limit):
-        return left.join(right, on, how)
-    hot_left, hot_right = probe_left.hot(on), probe_right.hot(on)
+    hot_left, hot_right = _probe(left, probe_left).hot(on), _probe(right, probe_right).hot(on)
     if how == "inner" or not hot_right:
         return salted_join(left, right, on, how, hot_left, hot_right)
     matched = salted_join(left, right, on, "inner", hot_left, hot_right)
@@ -217,18 +149,22 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
-def restrict(df: DataFrame, probe: Probe, on: Sequence[str]) -> DataFrame:
-    """Leave out rows of ``df`` whose key the probed frame does not have, if that is cheap.
+def thinned(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose key ``keys`` has.
 
-    Meant for large tables that are joined to the probed frame later on anyway. Few keys
-    are broadcast, so that ``df`` is thinned where it is read. A small ``df``, or one to
-    be thinned by many keys, stays as it is.
+    Meant for a large table that is aggregated by the key next. It is not counted first:
+    every key gets ``SPREAD`` salts, so a hot one is met by several tasks, and the partial
+    aggregates of these are all that is shuffled on.
     """
     on = list(on)
-    _check_key_types(df, probe.df, on)
-    if planned_bytes(df) > TASK_BYTES and probe.few(on):
-        return df.join(F.broadcast(probe.df.select(*on)), on, "left_semi")
-    return df
+    _check_key_types(df, keys, on)
+    wanted = keys.select(*on).distinct()
+    if left_to_catalyst(wanted):
+        return df.join(wanted, on, "left_semi")
+    mixed = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id())
+    salted = df.withColumn("_salt", F.pmod(mixed, F.lit(SPREAD)).cast("int"))
+    copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return salted.join(copies, [*on, "_salt"], "left_semi").drop("_salt")
 
 
 def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str],
@@ -238,35 +174,36 @@ def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, s
     ``roles`` maps a prefix to the column of ``df`` that holds that role's id; the
     attributes arrive as ``<prefix>_<attribute>``.
     """
-    small = fits_broadcast(dimension.select(key, *attributes))
+    if probe is None:
+        probe = Probe(df, *[[column] for column in roles.values()])
     for prefix, column in roles.items():
         narrow = dimension.select(
             F.col(key).alias(column), *[F.col(a).alias(f"{prefix}_{a}") for a in attributes])
-        df = lookup(df, narrow, [column], probe=probe, small=small)
+        df = attach(df, narrow, [column], probe=probe)
     return df
 
 
 def with_country(customers: DataFrame, countries: DataFrame) -> DataFrame:
     """Customers with the name of their country; dimensions are joined to each other first."""
     names = countries.select(F.col("id").alias("country_id"), F.col("name").alias("country_name"))
-    return lookup(customers, names, ["country_id"])
+    return attach(customers, names, ["country_id"])
 
 
 def country_of_city(df: DataFrame, cities: DataFrame, column: str, name: str = "country_code") -> DataFrame:
     """The country code of a city id, i.e. the first two letters of the city's code."""
     codes = cities.select(F.col("id").alias(column), F.left("code", F.lit(2)).alias(name))
-    return lookup(df, codes, [column])
+    return attach(df, codes, [column])
 
 
 def filter_by_code(df: DataFrame, dimension: DataFrame, key: str, column: str, keep: Column) -> DataFrame:
     """Rows of ``df`` whose dimension row satisfies ``keep``."""
-    return lookup(df, dimension.where(keep).select(F.col(key).alias(column)), [column], "inner")
+    return attach(df, dimension.where(keep).select(F.col(key).alias(column)), [column], "inner")
 
 
 def in_list(df: DataFrame, column: str, ids: DataFrame | Sequence[int]) -> DataFrame:
     """Rows whose id is in a list: literals, or the first column of a table."""
     if isinstance(ids, DataFrame):
-        return lookup(df, ids.select(F.col(ids.columns[0]).alias(column)), [column], "left_semi")
+        return attach(df, ids.select(F.col(ids.columns[0]).alias(column)), [column], "left_semi")
     return df.where(F.col(column).isin(list(ids)))
 
 
@@ -274,6 +211,6 @@ def flag_in_list(df: DataFrame, column: str, ids: DataFrame | Sequence[int], nam
     """``in_list`` as a true or false column, all rows kept."""
     if isinstance(ids, DataFrame):
         listed = ids.select(F.col(ids.columns[0]).alias(column)).distinct()
-        df = lookup(df, listed.withColumn(name, F.lit(True)), [column])
+        df = attach(df, listed.withColumn(name, F.lit(True)), [column])
         return df.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
     return df.withColumn(name, F.coalesce(F.col(column).isin(list(ids)), F.lit(False)))

@@ -15,16 +15,18 @@ from pyspark.sql import functions as F
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str],
-              also: Mapping[str, Column] | None = None) -> DataFrame:
+              greatest: Sequence[str] = ()) -> DataFrame:
     """The ``values`` of the row with the greatest ``order`` per key, NULL order last.
 
-    A struct compares field by field with NULL lowest, so a key whose orders are all
-    NULL still gives a row. ``also`` are further aggregates of the same pass.
+    Equal values of a key are first reduced to their greatest order, which a hash aggregate
+    can do; only what is left meets in structs. A struct compares field by field with NULL
+    lowest, so a key whose orders are all NULL still gives a row. ``greatest`` are further
+    columns of which the greatest value is given.
     """
+    reduced = df.groupBy(*keys, *values).agg(F.max(order).alias(order), *[F.max(c).alias(c) for c in greatest])
     top = F.max(F.struct(order, *values)).alias("_top")
-    more = [c.alias(n) for n, c in (also or {}).items()]
     picked = [F.col(f"_top.{c}").alias(c) for c in (order, *values)]
-    return df.groupBy(*keys).agg(top, *more).select(*keys, *picked, *(also or {}))
+    return reduced.groupBy(*keys).agg(top, *[F.max(c).alias(c) for c in greatest]).select(*keys, *picked, *greatest)
 
 
 def top1(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str]) -> DataFrame:
@@ -39,7 +41,7 @@ def latest_milestones(milestones: DataFrame, wanted: Mapping[str, int],
     """Per shipment, the time of the newest row (by id) of each wanted milestone."""
     rows = milestones.where(F.col("milestone_id").isin(list(wanted.values())))
     return rows.groupBy(key).agg(*[
-        F.max(F.when(F.col("milestone_id") == m, F.struct("id", "time"))).getField("time").alias(name)
+        F.max_by("time", F.when(F.col("milestone_id") == m, F.col("id"))).alias(name)
         for name, m in wanted.items()
     ])
 
@@ -55,8 +57,10 @@ def any_milestones(milestones: DataFrame, wanted: Mapping[str, int], product_lin
 
 
 def any_of(df: DataFrame, keys: Sequence[str], column: str, name: str | None = None) -> DataFrame:
-    """One value per key where any would do: the least."""
-    return df.groupBy(*keys).agg(F.min(column).alias(name or column))
+    """One value per key where any would do: the least. Repeats are left out by hash first."""
+    # The count is used, so that Catalyst does not take the two aggregates for one.
+    reduced = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    return reduced.groupBy(*keys).agg(F.min(column).alias(name or column))
 
 
 def first_of(*cols: Column) -> Column:

@@ -14,11 +14,12 @@ from shipreport.functions.text import code_eq, join_text, not_blank, pieces_by_u
 from shipreport.operators.charges import charge_pivot
 from shipreport.operators.filters import date_range
 from shipreport.operators.joins import (
-    Probe, attach, fan_out, filter_by_code, restrict, with_country, with_roles)
+    Probe, attach, fan_out, filter_by_code, thinned, with_country, with_roles)
 from shipreport.operators.lookups import any_milestones, first_of
 from shipreport.plans.common import SHIPMENT, houses_of, with_join_keys
-from shipreport.plans.modes import AIR_MODES, Mode
+from shipreport.plans.modes import AIR_MODES, Mode, same_case
 from shipreport.sources.contracts import to_strings, with_constants
+from shipreport.sources.reuse import holding, shared
 from shipreport.sources.stations import Stations
 
 # Result columns in order, one per line.
@@ -204,48 +205,42 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
     """The report on canonical tables, in native types."""
     if (start is None) != (end is None):
         raise ValueError("give both ends of the date range, or neither")
-    t = with_join_keys(tables, ignore_case)
+    t, modes = with_join_keys(tables, ignore_case), same_case(modes, ignore_case)
     customers = t["customer"]
 
     invoices = t["invoice_header"].where(
         F.col("mode").isin([m.code for m in modes]) & not_blank(F.col("invoice_no")))
     if start is not None:
         invoices = invoices.where(date_range("invoice_date", start, end))
-    numbered = invoices
     invoices = filter_by_code(invoices, customers, "customer_id", "bill_to",
                               code_eq(F.col("code"), billing.bill_to_code, ignore_case))
     invoices = invoices.select(*SHIPMENT, "invoice_key", "invoice_no", "invoice_date", "amount")
 
-    of_invoices = Probe(invoices, INVOICE, SHIPMENT, within=numbered)
-
-    # Tables are thinned to what the invoices need, if their keys are few.
-    bills = houses_of(t, modes)
-    base = filter_by_code(bills, customers, "customer_id", "customer_id",
-                          code_eq(F.col("code"), billing.customer_code, ignore_case))
-    base = restrict(base, of_invoices, SHIPMENT)
-    of_houses = Probe(base, ["house_key"], SHIPMENT, within=bills)
-    history = restrict(t["milestone"].withColumnRenamed("key", "house_key"), of_houses, ["house_key"])
-    times = any_milestones(history, MILESTONES, MILESTONE_LINE, MILESTONE_STATUS, "house_key")
-    houses = attach(base, times, ["house_key"], probe=of_houses)
-    houses = with_roles(houses, customers, "customer_id", {"shp": "shipper_id"},
-                        ["name", "address1", "address2"], probe=of_houses)
-    houses = with_roles(houses, with_country(customers, t["country"]), "customer_id",
-                        {"cnee": "consignee_id"}, ["name", "address1", "address2", "country_name"],
-                        probe=of_houses)
-    houses = with_roles(houses, t["city"], "id",
-                        {"receipt": "receipt_city", "delivery": "delivery_city"}, ["name"], probe=of_houses)
-    houses = with_roles(houses, t["airport"], "id",
-                        {"origin": "origin_airport", "dest": "dest_airport"}, ["code"], probe=of_houses)
-
+    bills = filter_by_code(houses_of(t, modes), customers, "customer_id", "customer_id",
+                           code_eq(F.col("code"), billing.customer_code, ignore_case))
+    # The selective join comes first; all that follows is attached to its rows.
+    rows = survivors = shared(
+        fan_out(invoices, bills, SHIPMENT, "inner", Probe(invoices, SHIPMENT), Probe(bills, SHIPMENT)))
+    probe = Probe(rows, INVOICE, ["house_key"], ["shipper_id"], ["consignee_id"], ["receipt_city"],
+                  ["delivery_city"], ["origin_airport"], ["dest_airport"])
     measures = {}
     for code, (amount, local) in charges.items():
         measures[amount] = ("amount", (code,))
         measures[local] = ("local_equiv", (code,))
-    sums = charge_pivot(restrict(t["invoice_line"], of_invoices, INVOICE), INVOICE, measures,
-                        also={"Currency Exchange Rate": F.min("rate")})
-
-    billed = attach(invoices, sums, INVOICE, probe=of_invoices)
-    rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
+    sums = charge_pivot(thinned(t["invoice_line"], rows, INVOICE), INVOICE, measures,
+                        least={"Currency Exchange Rate": "rate"})
+    history = thinned(t["milestone"].withColumnRenamed("key", "house_key"), rows, ["house_key"])
+    times = any_milestones(history, MILESTONES, MILESTONE_LINE, MILESTONE_STATUS, "house_key")
+    rows = attach(rows, times, ["house_key"], probe=probe)
+    rows = with_roles(rows, customers, "customer_id", {"shp": "shipper_id"},
+                      ["name", "address1", "address2"], probe=probe)
+    rows = with_roles(rows, with_country(customers, t["country"]), "customer_id",
+                      {"cnee": "consignee_id"}, ["name", "address1", "address2", "country_name"], probe=probe)
+    rows = with_roles(rows, t["city"], "id",
+                      {"receipt": "receipt_city", "delivery": "delivery_city"}, ["name"], probe=probe)
+    rows = with_roles(rows, t["airport"], "id",
+                      {"origin": "origin_airport", "dest": "dest_airport"}, ["code"], probe=probe)
+    rows = attach(rows, sums, INVOICE, probe=probe)
     shipper_address = join_text(F.col("shp_address1"), F.col("shp_address2"))
     consignee_address = join_text(F.col("cnee_address1"), F.col("cnee_address2"))
     values: dict[str, Column] = {
@@ -284,12 +279,15 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
     report = with_constants(
         rows.select(*[value.alias(name) for name, value in values.items()]),
         {name: texts.get(name, "") for name in COLUMNS if name not in values})
-    return report.select(*[f"`{name}`" for name in COLUMNS])
+    return holding(report.select(*[f"`{name}`" for name in COLUMNS]), survivors)
 
 
 def invoice_report(spark: SparkSession, stations: Stations, station: str, billing: Billing,
                    start: dt.datetime | None = None, end: dt.datetime | None = None,
                    text: bool = True, **options) -> DataFrame:
     """The report of one station's database; all columns as text unless ``text`` is off."""
-    rows = invoice_rows(stations.tables(spark, station), billing, start, end, **options)
-    return to_strings(rows, COLUMNS) if text else rows
+    modes = same_case(options.get("modes", AIR_MODES), options.get("ignore_case", True))
+    names = ["invoice_header", "invoice_line", "milestone", "customer", "country", "city", "airport",
+             *(f"house_{m.code}" for m in modes)]
+    rows = invoice_rows(stations.tables(spark, station, names), billing, start, end, **options)
+    return holding(to_strings(rows, COLUMNS), rows) if text else rows

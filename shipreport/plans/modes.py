@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -20,6 +21,11 @@ class Mode:
     listed_headers: bool
 
 
+def same_case(modes: Sequence[Mode], ignore_case: bool) -> list[Mode]:
+    """Modes with their codes as the folded ``mode`` columns have them."""
+    return [replace(m, code=m.code.rstrip().upper()) if ignore_case else m for m in modes]
+
+
 # Mode codes and product lines.
 AIR_MODES = (
     Mode("AE", "AMS", booked=True, listed_headers=True),

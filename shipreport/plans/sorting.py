@@ -10,7 +10,7 @@ from shipreport.functions.dates import last_week_of
 from shipreport.operators.documents import (
     CONTENT_RULES, Rules, cascade, change_counts, for_forwarder, type_changes)
 from shipreport.operators.filters import etd_window
-from shipreport.operators.joins import Probe, attach, fits_broadcast, lookup
+from shipreport.operators.joins import attach
 
 
 def sorted_documents(shipments: DataFrame, docs: DataFrame, day: dt.date, forwarder: str,
@@ -19,14 +19,8 @@ def sorted_documents(shipments: DataFrame, docs: DataFrame, day: dt.date, forwar
     first, last = last_week_of(day)
     opened = etd_window(shipments, "etd", first, last).select("house_no").distinct()
     filled = for_forwarder(rules, forwarder)
-    own_type = f"{forwarder} Invoice"
-    # A small list of shipments is broadcast and spares reading the other texts. A
-    # large one needs a shuffle, which is given types, not texts.
-    if fits_broadcast(opened):
-        return opened, cascade(
-            lookup(docs, opened, ["house_no"], "inner", small=True), filled, own_type)
-    typed = cascade(docs, filled, own_type)
-    return opened, attach(typed, opened, ["house_no"], "inner", probe=Probe(docs))
+    # The week always comes first: rules read the texts of its documents only.
+    return opened, cascade(attach(docs, opened, ["house_no"], "left_semi"), filled, f"{forwarder} Invoice")
 
 
 def doc_sort_report(shipments: DataFrame, docs: DataFrame, day: dt.date, forwarder: str,
@@ -37,7 +31,7 @@ def doc_sort_report(shipments: DataFrame, docs: DataFrame, day: dt.date, forward
 
 
 def doc_sort_counts(shipments: DataFrame, docs: DataFrame, day: dt.date, forwarder: str,
-                    rules: Rules = CONTENT_RULES) -> DataFrame:
-    """Documents and changes per shipment of a run on ``day``."""
+                    rules: Rules = CONTENT_RULES, total: str | None = None) -> DataFrame:
+    """Documents and changes per shipment of a run on ``day``, and of all under the name ``total``."""
     opened, typed = sorted_documents(shipments, docs, day, forwarder, rules)
-    return change_counts(opened, typed, type_changes(typed))
+    return change_counts(opened, typed, total=total)

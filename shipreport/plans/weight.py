@@ -14,12 +14,13 @@ from shipreport.functions.dates import fmt_date, fmt_time
 from shipreport.functions.text import code_eq, code_in, left_chars, pieces_label, right_chars
 from shipreport.operators.charges import cached_charges
 from shipreport.operators.filters import billable, date_range, not_void
-from shipreport.operators.joins import Probe, attach, fan_out, flag_in_list, in_list, restrict, with_roles
+from shipreport.operators.joins import Probe, attach, fan_out, flag_in_list, in_list, thinned, with_roles
 from shipreport.operators.lookups import latest_by, latest_milestones
 from shipreport.operators.stacking import stack_modes
 from shipreport.plans.common import MASTER, SHIPMENT, houses_of, with_join_keys
-from shipreport.plans.modes import AIR_MODES, Mode
+from shipreport.plans.modes import AIR_MODES, Mode, same_case
 from shipreport.sources.contracts import to_contract
+from shipreport.sources.reuse import holding, shared
 from shipreport.sources.stations import Stations
 
 # Charge codes of each charge column.
@@ -50,17 +51,11 @@ CONTRACT: tuple[tuple[str, str], ...] = (
 INVOICE = ["invoice_key", "temp_seq", "station"]
 
 
-def shipments(tables: Mapping[str, DataFrame], modes: Sequence[Mode],
-              customers: DataFrame | Sequence[int], invoices: Probe,
-              ignore_case: bool) -> tuple[Probe, DataFrame]:
-    """Live house bills of the listed customers with flight, times and master number.
+def with_times(rows: DataFrame, tables: Mapping[str, DataFrame], modes: Sequence[Mode], probe: Probe) -> DataFrame:
+    """``rows`` of house bills with flight, times, master number and pieces.
 
-    Tables are thinned to what the invoices need, if their keys are few.
+    Bookings and milestones are thinned to the keys of ``rows`` before they are aggregated.
     """
-    bills = houses_of(tables, modes)
-    live = bills.where(not_void("status", ignore_case=ignore_case))
-    live = restrict(in_list(live, "customer_id", customers), invoices, SHIPMENT)
-    probe = Probe(live, SHIPMENT, MASTER, ["house_key"], within=bills)
     pieces, unit = F.col("pcs"), F.col("pcs_uom")
     parts = []
     # Modes without bookings are kept out of the master and booking joins: their empty
@@ -69,19 +64,19 @@ def shipments(tables: Mapping[str, DataFrame], modes: Sequence[Mode],
     if booked:
         masters = stack_modes({m: tables[f"master_{m}"] for m in booked})
         bookings = stack_modes({m: tables[f"booking_{m}"] for m in booked})
-        flights = latest_by(restrict(bookings, probe, MASTER), MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
-        rows = live.where(F.col("mode").isin(booked)).drop("master_no", "flight")
-        rows = attach(rows, masters.withColumnRenamed("id", "master_id"), MASTER, probe=probe)
-        rows = attach(rows, flights, MASTER, probe=probe)
+        own = rows.where(F.col("mode").isin(booked)).drop("master_no", "flight")
+        flights = latest_by(thinned(bookings, own, MASTER), MASTER, "etd", ["flight"], greatest=["eta"])
+        own = attach(own, masters.withColumnRenamed("id", "master_id"), MASTER, probe=probe)
+        own = attach(own, flights, MASTER, probe=probe)
         label = pieces_label(pieces, unit, F.col("sp_unit"), F.col("sp_unit_uom"))
-        parts.append(rows.withColumn("pieces", label))
-    own = [m.code for m in modes if not m.booked]
-    if own:
-        history = restrict(tables["milestone"].withColumnRenamed("key", "house_key"), probe, ["house_key"])
-        times = latest_milestones(history, MILESTONES, "house_key")
-        rows = attach(live.where(F.col("mode").isin(own)), times, ["house_key"], probe=probe)
-        parts.append(rows.withColumn("pieces", pieces_label(pieces, unit)))
-    return probe, reduce(DataFrame.unionByName, parts)
+        parts.append(own.withColumn("pieces", label))
+    others = [m.code for m in modes if not m.booked]
+    if others:
+        own = rows.where(F.col("mode").isin(others))
+        history = thinned(tables["milestone"].withColumnRenamed("key", "house_key"), own, ["house_key"])
+        own = attach(own, latest_milestones(history, MILESTONES, "house_key"), ["house_key"], probe=probe)
+        parts.append(own.withColumn("pieces", pieces_label(pieces, unit)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.datetime,
@@ -89,7 +84,7 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
                 modes: Sequence[Mode] = AIR_MODES, charges: Mapping[str, Sequence[int]] = CHARGES,
                 ignore_case: bool = True) -> DataFrame:
     """The report on canonical tables."""
-    t = with_join_keys(tables, ignore_case)
+    t, modes = with_join_keys(tables, ignore_case), same_case(modes, ignore_case)
     numbered = t["invoice_header"].where(
         date_range("invoice_date", start, end)
         & code_in(F.col("product_line"), sorted({m.product_line for m in modes}), ignore_case)
@@ -104,20 +99,22 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
 
     invoices = headers.where(reduce(or_, [of_branch(m) for m in modes])).select(
         *SHIPMENT, "invoice_key", "temp_seq", "invoice_no", "invoice_date", "amount", "lot")
-    of_invoices = Probe(invoices, INVOICE, SHIPMENT, within=numbered)
-
-    of_houses, houses = shipments(t, modes, customers, of_invoices, ignore_case)
-    houses = with_roles(houses, t["customer"], "customer_id",
-                        {"cnee": "consignee_id", "shpr": "shipper_id"}, ["code"], probe=of_houses)
-    houses = with_roles(houses, t["city"], "id",
-                        {"org": "origin_city", "des": "dest_city"}, ["code"], probe=of_houses)
-
+    bills = houses_of(t, modes)
+    live = in_list(bills.where(not_void("status", ignore_case=ignore_case)), "customer_id", customers)
+    # The selective join comes first; all that follows is attached to its rows.
+    rows = survivors = shared(
+        fan_out(invoices, live, SHIPMENT, "inner", Probe(invoices, SHIPMENT), Probe(live, SHIPMENT)))
+    probe = Probe(rows, INVOICE, MASTER, ["house_key"], ["consignee_id"], ["shipper_id"],
+                  ["origin_city"], ["dest_city"])
     sums = cached_charges(
-        headers.where("listed"), restrict(t["invoice_line"], of_invoices, INVOICE), INVOICE,
-        {name: ("amount", codes) for name, codes in charges.items()},
-        also={"Currency": F.min("currency")})
-    billed = attach(invoices, sums, INVOICE, probe=of_invoices)
-    rows = fan_out(billed, houses, SHIPMENT, "inner", of_invoices, of_houses)
+        thinned(headers.where("listed"), rows, INVOICE), thinned(t["invoice_line"], rows, INVOICE), INVOICE,
+        {name: ("amount", codes) for name, codes in charges.items()}, least={"Currency": "currency"})
+    rows = with_times(rows, t, modes, probe)
+    rows = with_roles(rows, t["customer"], "customer_id",
+                      {"cnee": "consignee_id", "shpr": "shipper_id"}, ["code"], probe=probe)
+    rows = with_roles(rows, t["city"], "id",
+                      {"org": "origin_city", "des": "dest_city"}, ["code"], probe=probe)
+    rows = attach(rows, sums, INVOICE, probe=probe)
     report = rows.select(
         F.col("lot").alias("Lot"), F.col("mode").alias("Mode"), F.lit(forwarder).alias("Forwarder"),
         F.col("cnee_code").alias("CNEE"), F.col("shpr_code").alias("SHPR"),
@@ -136,11 +133,15 @@ def weight_rows(tables: Mapping[str, DataFrame], start: dt.datetime, end: dt.dat
         F.col("trade_term").alias("Trade Term"), "Currency", *charges,
         F.lit("").alias("PICKUP"), F.lit("").alias("Tax"), F.col("amount").alias("Total"),
     )
-    return to_contract(report.distinct(), CONTRACT)
+    return holding(to_contract(report.distinct(), CONTRACT), survivors)
 
 
 def weight_report(spark: SparkSession, stations: Stations, station: str, start: dt.datetime,
                   end: dt.datetime, customers: DataFrame | Sequence[int], forwarder: str,
                   **options) -> DataFrame:
     """The report of one station's database."""
-    return weight_rows(stations.tables(spark, station), start, end, customers, forwarder, **options)
+    modes = same_case(options.get("modes", AIR_MODES), options.get("ignore_case", True))
+    names = ["invoice_header", "invoice_line", "customer", "city", *(f"house_{m.code}" for m in modes)]
+    for m in modes:
+        names += [f"master_{m.code}", f"booking_{m.code}"] if m.booked else ["milestone"]
+    return weight_rows(stations.tables(spark, station, names), start, end, customers, forwarder, **options)

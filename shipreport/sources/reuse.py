@@ -1,22 +1,31 @@
-"""An intermediate that several results of one run share."""
+"""An intermediate that several parts of one report share."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import contextlib
+import weakref
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-@contextmanager
-def reused(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep ``df`` while the block runs, and let go of it afterwards.
+def shared(df: DataFrame) -> DataFrame:
+    """``df``, computed once for all its uses.
 
-    Lost blocks are recomputed from lineage.
+    It is kept in executor memory and on disk, and lost blocks are recomputed from lineage.
+    It is let go of when the returned frame is; a report holds it by ``holding``.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
+    weakref.finalize(kept, _let_go, kept._jdf).atexit = False
+    return kept
+
+
+def holding(out: DataFrame, *kept: DataFrame) -> DataFrame:
+    """``out``, which keeps ``kept`` alive."""
+    out._held = kept
+    return out
+
+
+def _let_go(jdf) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone
+        jdf.unpersist(False)

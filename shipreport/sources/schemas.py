@@ -1,7 +1,7 @@
 """Canonical table schemas and the physical tables and columns behind them.
 
-Reports use the canonical names only. ``PHYSICAL`` maps them to the tables of a
-station database or of the shared master database.
+Reports use the canonical names only. ``STATION_TABLES`` and ``MASTER_TABLES`` map them to
+the tables of a station database and of the shared master database.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ a path pattern (``/lake/sg/{table}.parquet``).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
@@ -63,12 +63,15 @@ class Stations:
     def shared(self, spark: SparkSession, name: str) -> DataFrame:
         return read_table(spark, self.master, name, self.file_format)
 
-    def tables(self, spark: SparkSession, station: str) -> dict[str, DataFrame]:
-        """All canonical tables a report of this station may use."""
+    def tables(self, spark: SparkSession, station: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        """The canonical tables ``names`` of this station, or all; others are not opened."""
+        wanted = set(names) if names is not None else {*STATION_TABLES, *MASTER_TABLES}
         own = {key: canonical(self.table(spark, station, physical), schema, columns)
-               for key, (schema, physical, columns) in STATION_TABLES.items()}
+               for key, (schema, physical, columns) in STATION_TABLES.items() if key in wanted}
         shared = {key: canonical(self.shared(spark, physical), schema, columns)
-                  for key, (schema, physical, columns) in MASTER_TABLES.items()}
+                  for key, (schema, physical, columns) in MASTER_TABLES.items() if key in wanted}
+        if missing := wanted - {*own, *shared}:
+            raise KeyError(f"unknown tables: {', '.join(sorted(missing))}")
         return own | shared
 
 

@@ -6,8 +6,156 @@ looked-up value, independently of how the operators work.
 
 from __future__ import annotations
 
-from shipreport.plans.invoices import COLUMNS, CONSTANTS
-from shipreport.workload.queries import BILLING
+# The columns of the invoice report in order, written out here as well so that
+# the report is checked against them.
+COLUMNS = (
+    "CarrierID",
+    "ClientID",
+    "InvoiceType",
+    "Invoice Number",
+    "Invoice Total",
+    "Invoice Date",
+    "Shipment Number",
+    "Ship Date",
+    "Bill To Account",
+    "Weight Unit",
+    "Billed Weight",
+    "Actual Weight",
+    "DIM Weight",
+    "Volume",
+    "PCS",
+    "Rejected Pieces",
+    "Package Type",
+    "Loading meters",
+    "Service Type",
+    "Service Zone",
+    "Direction",
+    "Mode",
+    "Payment Terms",
+    "Inco terms",
+    "Distance qualifier",
+    "Distance",
+    "Bill Of Lading",
+    "MAWB",
+    "HAWB",
+    "PO Number",
+    "Reference number",
+    "Delivery Date",
+    "Delivery Time",
+    "POD Name",
+    "Notes1 (Pallets)",
+    "Notes2 (Cartons)",
+    "Notes3",
+    "Notes4",
+    "Notes5",
+    "Notes6",
+    "Notes7",
+    "Notes8",
+    "Notes9",
+    "Notes10",
+    "Notes11",
+    "Notes12",
+    "Notes13",
+    "Notes14",
+    "Notes15",
+    "Notes16",
+    "Origin(Air)Port",
+    "Destination (Air)Port",
+    "Shipper Location",
+    "Shipper Name",
+    "Shipper Company",
+    "Shipper Address1",
+    "Shipper Address2",
+    "Shipper Address3",
+    "Shipper City",
+    "Shipper state",
+    "Shipper Postcode",
+    "Shipper Country",
+    "Consignee Location",
+    "Consignee Name",
+    "Consignee Company",
+    "Consignee Address1",
+    "Consignee Address2",
+    "Consignee Address3",
+    "Consignee City",
+    "Consignee State",
+    "Consignee Postcode",
+    "Consignee Country",
+    "Amount Billed",
+    "Freight Amount - FRT",
+    "Total Shipment VAT Amount",
+    "Accessorial Charge- FSC",
+    "Accessorial Charge-FSC Amount1 - Fuel Surcharge",
+    "VAT liable flag 1",
+    "Accessorial Charge-SSC",
+    "Accessorial Charge-SSC Amount2",
+    "VAT liable flag 2",
+    "Accessorial Charge-P/U Code3",
+    "Accessorial Charge- Amount3",
+    "VAT liable flag 3",
+    "Accessorial Charge-Origin Terminal Code4",
+    "Accessorial Charge-Origin Terminal Amount4",
+    "VAT liable flag 4",
+    "Accessorial Charge-CUS Code5",
+    "Accessorial Charge-CUS Amount5",
+    "VAT liable flag 5",
+    "Accessorial Charge-Dest Terminal Code6",
+    "Accessorial Charge-dest Terminal Amount6",
+    "VAT liable flag 6",
+    "Accessorial Charge Code7",
+    "Accessorial Charge Amount7",
+    "VAT liable flag 7",
+    "Accessorial Charge Code8",
+    "Accessorial Charge Amount8",
+    "VAT liable flag 8",
+    "Accessorial Charge Code9",
+    "Accessorial Charge Amount9",
+    "VAT liable flag 9",
+    "Accessorial Charge Code10",
+    "Accessorial Charge Amount10",
+    "Accessorial 10 VAT code",
+    "Currency",
+    "Bill to Location",
+    "Bill To Company",
+    "Bill To Address1",
+    "Bill To Address2",
+    "Bill To City",
+    "Bill To State",
+    "Bill To Postcode",
+    "Bill To Country",
+    "Equipment Type",
+    "Container number",
+    "Trailer/Car ID",
+    "carrier VAT number",
+    "CLIENT VAT NUMBER",
+    "VAT percentage",
+    "Currency Exchange Rate",
+    "Overtime hours",
+    "Waiting hours",
+    "Urgent fee location count",
+)
+# Texts that are the same in every row of the invoice report.
+CONSTANTS = {
+    "InvoiceType": "D",
+    "Weight Unit": "K",
+    "Service Type": "LTL",
+    "Direction": "I",
+    "Mode": "Air",
+    "Reference number": "Air",
+    "Accessorial Charge- FSC": "FSC",
+    "Accessorial Charge-SSC": "SSC",
+    "Accessorial Charge-Origin Terminal Code4": "H/C",
+    "Accessorial Charge-Dest Terminal Code6": "H/C",
+    "Accessorial Charge Code7": "DEL",
+    "Accessorial Charge Code8": "CUS",
+    "CarrierID": "CARR",
+    "ClientID": "CLNT",
+    "Bill To Account": "ACCT",
+    "Currency": "SGD",
+    "Bill To Company": "Example Pte Ltd",
+    "Bill To City": "Exampletown",
+    "Bill To Country": "SG",
+}
 
 # The test tables in their roles.
 ROLES = {
@@ -124,6 +272,10 @@ CONTENT_CASE = """CASE WHEN contains(content, 'APACHE LICENSE') THEN 'Export Cus
     WHEN contains(content, ' DER ') THEN 'Packing List'
     WHEN contains(content, ' QUE ') THEN 'Others'
     WHEN contains(content, 'ACME INVOICE') THEN 'Acme Invoice' END"""
+KEYWORDED = """SELECT doc_id, upper(text) || ' ' || words[1 + doc_id % 13] || ' ' || words[1 + doc_id // 13 % 13] AS content
+    FROM documents, (SELECT ['PERMIT NO', 'CONTRACT OF PURCHASE AND SALE', 'DECLARATION', 'COMMERCIAL INVOICE',
+        'TAX INVOICE', 'PACKING LIST', 'PACKING SLIP', 'PACKING', 'PACKLIST', 'INVOICE', 'ACME INVOICE', 'PERMIT',
+        'NOTHING'] AS words)"""
 ROLES["typed"] = f"""
     SELECT doc_id, house_no, file_name, current_type,
         CASE WHEN trim(replace(upper(trim(file_name)), '.PDF', '')) = upper(house_no) THEN 'HAWB'
@@ -281,7 +433,7 @@ def invoice_branches(ranged: bool) -> str:
         "Currency Exchange Rate": "(SELECT min(t.rate) FROM invoice_line t "
                                   "WHERE t.invoice_no = inv.invoice_no AND t.station = inv.station)",
     }
-    texts = CONSTANTS | dict(BILLING.texts)
+    texts = CONSTANTS
     columns = ", ".join(f"""{values.get(n, f"'{texts.get(n, '')}'")} AS "{n}\"""" for n in COLUMNS)
     within = ("AND inv.invoice_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1999-12-31'"
               if ranged else "")
@@ -529,6 +681,24 @@ def oracles() -> dict[str, str]:
                 page_form("plain", "upper(replace(coalesce(text, ''), 'ß', 'ss'))", "''")]), "page"),
         "content_rules": f"""SELECT doc_id, {CONTENT_CASE} AS new_type
             FROM (SELECT doc_id, upper(text) AS content FROM documents)""",
+        "content_rules_listed": f"""SELECT doc_id, CASE WHEN contains(content, 'PERMIT NO') THEN 'Export Customs'
+                WHEN contains(content, 'CONTRACT OF PURCHASE AND SALE') THEN 'Commercial Invoice'
+                WHEN contains(content, 'DECLARATION') THEN 'Others'
+                WHEN contains(content, 'COMMERCIAL INVOICE') THEN 'Commercial Invoice'
+                WHEN contains(content, 'TAX INVOICE') THEN 'Commercial Invoice'
+                WHEN contains(content, 'PACKING LIST') THEN 'Packing List'
+                WHEN contains(content, 'PACKING SLIP') THEN 'Packing List'
+                WHEN contains(content, 'PACKING') THEN 'Packing List'
+                WHEN contains(content, 'PACKLIST') THEN 'Packing List'
+                WHEN contains(content, 'INVOICE') THEN 'Commercial Invoice'
+                WHEN contains(content, 'ACME INVOICE') THEN 'Acme Invoice' END AS new_type
+            FROM ({KEYWORDED})""",
+        "older_rules_listed": f"""SELECT doc_id, CASE WHEN contains(content, 'COMMERCIAL INVOICE') THEN 'Commercial Invoice'
+                WHEN contains(content, 'PACKING LIST') THEN 'Packing List'
+                WHEN contains(content, 'PERMIT') THEN 'Export Permit'
+                WHEN contains(content, 'ACME INVOICE') THEN 'Acme Invoice'
+                WHEN contains(content, 'INVOICE') THEN 'Commercial Invoice' ELSE 'Others' END AS new_type
+            FROM ({KEYWORDED})""",
         "name_equals_key": with_roles(
             """ SELECT doc_id, coalesce(trim(replace(upper(trim(file_name)), '.PDF', '')) = upper(house_no),
                 false) AS named_after_key FROM document""", "document"),

@@ -14,6 +14,7 @@ from shipreport.plans.common import MASTER, SHIPMENT, houses_of
 from shipreport.plans.modes import AIR_MODES
 from shipreport.sources import contracts
 from shipreport.sources.changelog import change_log as log_rows
+from shipreport.sources.reuse import holding
 from shipreport.sources.stations import run_sql
 from shipreport.workload import roles
 
@@ -75,7 +76,7 @@ def master_scan(r):
     nations = r.stations.shared(r.spark, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("user_id"), F.col("n_name").alias("city"))
     events = r.stations.table(r.spark, roles.STATION, "events")
-    return joins.lookup(events.select("event_id", "user_id", "event_type"), nations, ["user_id"])
+    return joins.attach(events.select("event_id", "user_id", "event_type"), nations, ["user_id"])
 
 
 @query
@@ -362,7 +363,7 @@ def latest_booking(r):
 @query
 def latest_eta(r):
     """Latest departure and, from its own order, latest arrival in one aggregation."""
-    found = lookups.latest_by(_bookings(r), MASTER, "etd", ["flight"], also={"eta": F.max("eta")})
+    found = lookups.latest_by(_bookings(r), MASTER, "etd", ["flight"], greatest=["eta"])
     return found.select("mode", "master_id", "etd", "eta")
 
 
@@ -427,7 +428,7 @@ def charge_sum_cached(r):
         _eligible(r), _lines(r), LINE_KEYS,
         {"freight": ("amount", [13]), "fuel": ("amount", [14]), "security": ("amount", [15]),
          "export_handling": ("amount", [380]), "import_handling": ("amount", [5])},
-        also={"currency": F.min("currency")}).drop("station", "temp_seq")
+        least={"currency": "currency"}).drop("station", "temp_seq")
 
 
 @query
@@ -448,11 +449,8 @@ def distinct_countries(r):
 @query
 def change_counts(r):
     """Documents and changes of each shipment of the week, and in all."""
-    counts = sorting.doc_sort_counts(
-        r.shipments(), r.documents(), roles.SORT_DAY, roles.FORWARDER,
-        roles.TEXT_RULES)
-    total = documents.change_totals(counts).withColumn("house_no", F.lit("(all)"))
-    return counts.unionByName(total)
+    return sorting.doc_sort_counts(
+        r.shipments(), r.documents(), roles.SORT_DAY, roles.FORWARDER, roles.TEXT_RULES, total="(all)")
 
 
 # Set operations
@@ -505,6 +503,21 @@ def content_rules(r):
         "doc_id", documents.content_type(F.col("content"), RULES).alias("new_type"))
 
 
+@query
+def content_rules_listed(r):
+    """The content rules as they stand, over texts that hold their keywords."""
+    rules = documents.for_forwarder(documents.CONTENT_RULES, roles.FORWARDER)
+    return r.keyworded_texts().select("doc_id", documents.content_type(F.col("content"), rules).alias("new_type"))
+
+
+@query
+def older_rules_listed(r):
+    """The older content rules as they stand, with their default."""
+    rules = documents.for_forwarder(documents.OLDER_CONTENT_RULES, roles.FORWARDER)
+    found = documents.content_type(F.col("content"), rules, "Others")
+    return r.keyworded_texts().select("doc_id", found.alias("new_type"))
+
+
 @query
 def name_equals_key(r):
     match = documents.name_equals_key(F.col("file_name"), F.col("house_no"))
@@ -579,7 +592,7 @@ def weight_report(r):
 @query
 def invoice_report_range(r):
     rows = invoices.invoice_rows(r.tables(), BILLING, roles.START, roles.END)
-    return contracts.to_strings(rows, invoices.COLUMNS)
+    return holding(contracts.to_strings(rows, invoices.COLUMNS), rows)
 
 
 @query

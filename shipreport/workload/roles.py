@@ -36,6 +36,10 @@ TEXT_RULES = (
     ("{FORWARDER} INVOICE", "{Forwarder} Invoice"),
 )
 
+# Keywords that the rule lists look for, and what they do not look for.
+KEYWORDS = ("PERMIT NO", "CONTRACT OF PURCHASE AND SALE", "DECLARATION", "COMMERCIAL INVOICE", "TAX INVOICE",
+            "PACKING LIST", "PACKING SLIP", "PACKING", "PACKLIST", "INVOICE", "ACME INVOICE", "PERMIT", "NOTHING")
+
 
 def shaped(df: DataFrame, schema: str, columns: dict[str, str]) -> DataFrame:
     """Columns of a canonical schema from SQL expressions; the others are NULL."""
@@ -228,6 +232,13 @@ class Roles:
             "text": "text",
         })
 
+    def keyworded_texts(self) -> DataFrame:
+        """The test texts in upper case, each with two keywords of real documents at its end."""
+        words = ", ".join(f"'{w}'" for w in KEYWORDS)
+        return self.table("documents").selectExpr(
+            "doc_id", f"""upper(text) || ' ' || array({words})[cast(doc_id % 13 AS int)]
+                || ' ' || array({words})[cast(doc_id div 13 % 13 AS int)] AS content""")
+
     def pages(self) -> DataFrame:
         """Document pages: the turns of the conversations."""
         return shaped(self.table("conversations"), "document_page", {

@@ -25,21 +25,17 @@ def shuffled(spark, monkeypatch):
 
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(joins, "TASK_BYTES", -1)
     monkeypatch.setattr(joins, "HOT_ROWS", 0)
     yield joins
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.fixture
-def measured(spark, monkeypatch):
-    """Sizes are always found by measuring, and small sides then broadcast."""
+def even(spark):
+    """No side is small enough to broadcast, and no key is hot."""
     from shipreport.operators import joins
 
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    monkeypatch.setattr(joins, "TASK_BYTES", -1)
-    monkeypatch.setattr(joins, "HOT_ROWS", 0)
     yield joins
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

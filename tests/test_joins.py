@@ -32,7 +32,6 @@ def test_salted_lookup(spark, shuffled, how):
     left, right, _ = sides(spark, 1)
     want = bag(left.join(right, ["k", "s"], how))
     assert joins.Probe(left).hot(["k", "s"])
-    assert bag(joins.lookup(left, right, ["k", "s"], how)) == want
     assert bag(joins.attach(left, right, ["k", "s"], how)) == want
 
 
@@ -76,30 +75,41 @@ def test_nothing_is_salted_without_hot_keys(spark, shuffled):
     assert joins.Probe(left).hot(["k"]) == []
 
 
-def test_small_data_is_not_probed(spark):
+def test_few_rows_are_only_counted(spark):
+    probe = joins.Probe(spark.range(10).withColumnRenamed("id", "k"))
+    assert probe.hot(["k"]) == [] and probe._rows == 10
+
+
+def test_a_small_side_is_left_to_catalyst(spark):
     probe = joins.Probe(spark.range(10).withColumnRenamed("id", "k"))
     probe._search = None
-    assert probe.hot(["k"]) == [] and probe.few(["k"])
+    assert joins.attach(probe.df, probe.df, ["k"], probe=probe).count() == 10
+
+
+def test_a_key_of_a_small_share_is_split_where_partitions_are_many(spark, shuffled):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 2000 == 0, -1).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", "20000")
+    try:
+        hot = joins.Probe(rows).hot(["k"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert [salts for _, salts in hot] == [10]  # 20 of 40000 rows, ten fair partitions' worth
 
 
-def test_restrict_keeps_what_a_later_join_needs(spark, measured, monkeypatch):
+def test_thinned_keeps_what_a_later_join_needs(spark, request):
     left, right, many = sides(spark, 3)
-    probe = joins.Probe(left, ["k", "s"])
-    thin = joins.restrict(many, probe, ["k", "s"])
-    keys = left.select("k", "s").distinct()
-    assert bag(thin) == bag(many.join(keys, ["k", "s"], "left_semi")) != bag(many)
-    assert bag(left.join(thin, ["k", "s"], "left")) == bag(left.join(many, ["k", "s"], "left"))
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    assert joins.restrict(many, joins.Probe(left), ["k", "s"]) is many
-    monkeypatch.setattr(joins, "TASK_BYTES", 1 << 60)
-    assert joins.restrict(many, joins.Probe(left), ["k", "s"]) is many
+    want = bag(many.join(left.select("k", "s").distinct(), ["k", "s"], "left_semi"))
+    assert bag(joins.thinned(many, left, ["k", "s"])) == want != bag(many)
+    request.getfixturevalue("shuffled")
+    thin = joins.thinned(many, left, ["k", "s"])
+    assert bag(thin) == want and thin.columns == many.columns
 
 
 def test_key_types_must_agree(spark):
     left = spark.createDataFrame([(1,)], "k int")
     right = spark.createDataFrame([(1,)], "k bigint")
     with pytest.raises(TypeError):
-        joins.lookup(left, right, ["k"])
+        joins.attach(left, right, ["k"])
 
 
 def test_hot_right_side_needs_an_inner_join(spark):
@@ -108,21 +118,6 @@ def test_hot_right_side_needs_an_inner_join(spark):
         joins.salted_join(df, df, ["k"], "left", [], [(1, 2)])
 
 
-def test_a_side_is_broadcast_only_up_to_its_measured_size(spark, monkeypatch):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(5000).selectExpr("id AS k", "repeat('x', 1000) AS v")
-        size = joins.measured_bytes(big)
-        assert 5_000_000 < size < 5_500_000
-        monkeypatch.setattr(joins, "BROADCAST_BYTES", size)
-        assert joins.fits_broadcast(big)
-        monkeypatch.setattr(joins, "BROADCAST_BYTES", size - 1)
-        assert not joins.fits_broadcast(big)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 def test_list_as_literals_and_as_table(spark, shuffled):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (1, "d")], "id bigint, x string")
     table = spark.createDataFrame([(1,), (1,), (9,)], "ids bigint")

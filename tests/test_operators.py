@@ -65,7 +65,7 @@ def test_latest_booking(spark):
         dict(master_id=2, station="S", etd=None, eta=None, flight="A"),
         dict(master_id=3, station="S", etd=None, eta=None, flight="Z"),
         dict(master_id=3, station="S", etd=at("2020-01-01"), eta=None, flight=None)])
-    got = lookups.latest_by(df, ["master_id"], "etd", ["flight"], also={"eta": F.max("eta")})
+    got = lookups.latest_by(df, ["master_id"], "etd", ["flight"], greatest=["eta"])
     assert {r["master_id"]: tuple(r)[1:] for r in got.collect()} == {
         1: (at("2024-01-02"), "C", at("2024-01-09")), 2: (None, "A", None), 3: (at("2020-01-01"), None, None)}
 
@@ -131,7 +131,7 @@ def test_cached_charges_repeat_lines_per_header(spark):
         dict(source_id=4, invoice_no="I9", temp_seq=1, station="S"),
         dict(source_id=5, invoice_no="I2", temp_seq=None, station="S")])
     columns = {"freight": ("amount", [13]), "handling": ("amount", [5])}
-    got = charges.cached_charges(headers, lines, KEYS, columns, also={"currency": F.min("currency")})
+    got = charges.cached_charges(headers, lines, KEYS, columns, least={"currency": "currency"})
     want = charges.invoice_lines(headers.select(*KEYS), lines, KEYS).groupBy(*KEYS).agg(
         *[F.sum(F.when(F.col("charge_id").isin(c), F.col("amount"))).alias(n) for n, (_, c) in columns.items()],
         F.min("currency").alias("currency"))

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from shipreport.workload.queries import QUERIES
 from fixtures import at, money, tables
 from shipreport.plans.weight import weight_rows
 
@@ -20,7 +20,7 @@ def plan(df) -> str:
 def plans(spark):
     before = spark.conf.get("spark.sql.maxPlanStringLength")
     spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
-    yield {name: plan(query(spark, SF)) for name, query in entry.queries().items()}
+    yield {name: plan(query(spark, SF)) for name, query in QUERIES.items()}
     spark.conf.set("spark.sql.maxPlanStringLength", before)
 
 
@@ -31,8 +31,7 @@ def test_no_python_and_no_cross_join(plans):
 
 
 def test_nothing_is_gathered_in_one_task(plans):
-    # A total row is added up from one row per shipment; nothing else may need one task.
-    assert [n for n, text in plans.items() if "SinglePartition" in text] == ["change_counts"]
+    assert [n for n, text in plans.items() if "SinglePartition" in text] == []
 
 
 def test_charges_are_one_aggregate_over_one_scan(plans):
@@ -65,6 +64,31 @@ def test_document_rules_run_once_and_after_the_join(plans):
     assert text.index("ACME INVOICE") < text.index("BroadcastHashJoin")
 
 
+def test_change_counts_run_the_rules_once_over_one_scan(plans):
+    text = plans["change_counts"]
+    assert text.count("documents.parquet") == 1 and text.count("ACME INVOICE") == 1 and "Rollup" not in text
+
+
+def test_texts_are_reduced_by_hash_before_they_are_sorted(plans):
+    # The partial aggregate over all rows, which is the deepest one, is a hash aggregate.
+    for name in ("latest_booking", "latest_eta", "latest_milestone", "milestone_any", "delivery_date",
+                 "invoice_currency", "charge_sum_cached"):
+        deepest = re.findall(r"(\w+Aggregate)\(", plans[name])[-1]
+        assert deepest == "HashAggregate", name
+
+
+def shuffled_plan(spark, name):
+    return plan(QUERIES[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["weight_report", "invoice_report_range", "invoice_report_all"])
+def test_the_selective_join_of_a_report_lies_below_its_lookups(spark, even, name):
+    text = shuffled_plan(spark, name)
+    # Invoices and bills meet inside what is kept; everything else is joined to that.
+    above, _, kept = text.partition("InMemoryRelation")
+    assert kept and "orders.parquet" in kept and "InMemoryTableScan" in above
+
+
 def weight_tables(spark):
     header = dict(station="S", temp_seq=1, id_type="H", product_line="AMS", mode="AE", customer_id=1,
                   invoice_date=at("2024-03-05"), amount=money(100), lot="L")

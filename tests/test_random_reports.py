@@ -1,6 +1,6 @@
 """The reports on random edge-case tables, against SQL written branch by branch.
 
-Run with small tables as they are, with sizes measured and tables thinned by broadcast
+Run with small tables as they are, with sizes even and tables thinned by broadcast
 keys, and with every join shuffled and its hot keys salted.
 """
 
@@ -14,6 +14,7 @@ from fixtures import at, parquet_tables, random_rows, tables
 from shipreport.plans.invoices import COLUMNS, Billing, invoice_rows
 from shipreport.plans.weight import weight_rows
 from shipreport.workload import oracles
+from shipreport.workload.queries import BILLING
 
 START, END = at("2024-03-04"), at("2024-03-15")
 
@@ -66,7 +67,7 @@ def check_invoices(spark, tmp_path, seed, ranged):
            .replace("'A' || CAST(oa.n_nationkey AS VARCHAR)", "'AP' || CAST(oa.n_nationkey AS VARCHAR)")
            .replace("'A' || CAST(da.n_nationkey AS VARCHAR)", "'AP' || CAST(da.n_nationkey AS VARCHAR)"))
     want = oracle_bag(con, sql)
-    billing = Billing("code1 ", "CODE2", oracles.BILLING.texts)
+    billing = Billing("code1 ", "CODE2", BILLING.texts)
     dates = (START, END) if ranged else ()
     df = invoice_rows(frames, billing, *dates)
     assert df.columns == list(COLUMNS)
@@ -82,11 +83,11 @@ def test_weight_shuffled(spark, tmp_path, shuffled):
     check_weight(spark, tmp_path, 3, spark.createDataFrame([(1,), (2,)], "c_custkey bigint"))
 
 
-def test_weight_measured(spark, tmp_path, measured):
+def test_weight_even(spark, tmp_path, even):
     check_weight(spark, tmp_path, 7, [1, 2])
 
 
-def test_invoices_measured(spark, tmp_path, measured):
+def test_invoices_even(spark, tmp_path, even):
     check_invoices(spark, tmp_path, 8, ranged=True)
 
 

@@ -13,7 +13,7 @@ from fixtures import at, frame, money, random_rows
 from shipreport.plans.invoices import COLUMNS, Billing, invoice_report
 from shipreport.plans.weight import CONTRACT, weight_report, weight_rows
 from shipreport.sources import changelog, contracts
-from shipreport.sources.reuse import reused
+from shipreport.sources.reuse import holding, shared
 from shipreport.sources.schemas import MASTER_TABLES, SCHEMAS, STATION_TABLES
 from shipreport.sources.stations import Stations, canonical, run_sql
 
@@ -114,15 +114,33 @@ def test_change_log_round_trip(spark, tmp_path, file_format):
         dict(house_no="H1", status="Done", file_name="a, b.pdf", old_type="Others", new_type="HAWB"),
         dict(house_no="H2", status="Done", file_name='say "x".pdf', old_type=None, new_type="Packing List")])
     path = str(tmp_path / "log")
+    first = changelog.write_changes(changes.limit(0), path, file_format)
+    assert changelog.read_changes(spark, path, file_format).count() == 0
     for _ in range(2):
         changelog.write_changes(changes, path, file_format)
     assert bag(changelog.read_changes(spark, path, file_format)) == bag(changes)
+    assert changelog.read_changes(spark, path, file_format, first).count() == 0
     assert spark.read.option("header", True).format(file_format).load(path).columns == [
-        "HAWB No", "Status", "PDF Name", "Old Type", "New Type"]
+        "HAWB No", "Status", "PDF Name", "Old Type", "New Type", "run"]
 
 
-def test_reused_intermediate(spark):
+def test_a_failed_run_leaves_the_former_log(spark, tmp_path):
+    changes = frame(spark, "change_log", [
+        dict(house_no=f"H{i}", status="Done", file_name="a.pdf", old_type="Others", new_type="HAWB") for i in range(20)])
+    path = str(tmp_path / "log")
+    changelog.write_changes(changes, path)
+    broken = changes.repartition(4).withColumn("new_type", F.when(
+        F.col("house_no") == "H7", F.raise_error(F.lit("broken"))).otherwise(F.col("new_type")))
+    with pytest.raises(Exception, match="broken"):
+        changelog.write_changes(broken, path)
+    assert bag(changelog.read_changes(spark, path)) == bag(changes)
+
+
+def test_shared_intermediate(spark):
     df = spark.range(10)
-    with reused(df) as kept:
-        assert kept.count() == 10 and df.storageLevel.useMemory
-    assert not df.storageLevel.useMemory
+    kept = shared(df.where("id > 3"))
+    out = holding(kept.select("id"), kept)
+    del kept
+    assert out.count() == 6 and df.where("id > 3").storageLevel.useMemory
+    del out
+    assert not df.where("id > 3").storageLevel.useMemory
