@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +58,28 @@ def gathered(batches: Iterator[pa.RecordBatch], size: int, column: str = "text")
                 held, total = [], 0
     if held:
         yield from joined()
+
+
+def groups(batches, keys):
+    """Tables of rows with equal ``keys``, from rows sorted by them."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for v in values:
+            change[1:] |= v[1:] != v[:-1]
+        first = tuple(v[0] for v in values)
+        if held and first != last:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if a and held:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+        last = tuple(v[-1] for v in values)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -15,12 +15,16 @@ their Jaccard similarity reaches ``percent`` / 100. All steps are exact:
    that are large enough to be partners of heavy ones; they meet in the inverted lists. The
    size at which sets become heavy is chosen by the cost of both ways, from the histogram of
    sizes and the number of partners a token brings.
-5. **Check.** Pairs are checked on whole texts. First each class is checked with one of its
-   candidates, which joins up groups of copies. Then all candidates that are still in
-   different components are checked. A list of more than ``LONG`` classes gives only
-   neighbours and its middle in the first round; in the second, all pairs of its classes
-   that are not yet in one component. So large groups of near copies cost their size and not
-   its square, and no candidate is dropped.
+5. **Bound.** Each candidate set has a bitmap of at least two bits per token, in which every
+   token flips one bit. The bits in which two bitmaps differ are no more than the tokens that
+   only one set holds, so too many of them rule a pair out, exactly and without the texts.
+   Pairs of lists of up to ``LONG`` classes are listed and ruled out by a join; longer lists
+   are compared in squares of ``SIDE`` by ``SIDE`` bitmaps, which are tasks of their own and
+   give out only what they keep.
+6. **Check.** What is left is checked on whole texts in two rounds: first each class with the
+   candidate whose bitmap is nearest, which joins up groups of copies; then all candidates
+   that are still in different components. So texts are fetched about once per class however
+   large a group of near copies is, and no candidate is dropped.
 
 Shingles are told apart by 64-bit hashes, equal sets by 128 bits and their size.
 """
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipreport.llm.common import gathered, kept, partitions, texts
+from shipreport.llm.common import gathered, groups, kept, partitions, texts
 from shipreport.llm.components import components
 from shipreport.llm.words import SPACED, mix, pieces, window_starts, window_sums, words_of
 
@@ -45,6 +49,8 @@ LONG = 24
 NEAR_BYTES = 8 << 20
 #: Rows of inverted lists a task looks at together.
 ROWS = 1 << 20
+#: Classes of a long list that are compared with as many others by one task.
+SIDE = 2048
 
 
 def shingles(held: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,19 +236,14 @@ def _candidates(postings: DataFrame, percent: int, light: int) -> DataFrame:
         key, f1, n = key[new], f1[new], n[new]
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(heads, len(key)))
-        left, right = [], []
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for size in np.unique(sizes[(sizes > 1) & (sizes <= LONG)]).tolist():
             of = heads[sizes == size]
             i, j = np.triu_indices(size, 1)
             left.append((of[:, None] + i).ravel())
             right.append((of[:, None] + j).ravel())
-        for head, size in zip(heads[sizes > LONG].tolist(), sizes[sizes > LONG].tolist()):
-            every = np.arange(head, head + size)
-            left += [every[:-1], every[:-2], every]
-            right += [every[1:], every[2:], np.full(size, head + size // 2)]
-        if left:
-            a, b = pairs_of(key, f1, n, np.concatenate(left), np.concatenate(right))
-            yield batch_of(np.zeros(len(a), np.int64), a, b, np.zeros(len(a), np.int32))
+        a, b = pairs_of(key, f1, n, np.concatenate(left), np.concatenate(right))
+        yield batch_of(np.zeros(len(a), np.int64), a, b, np.zeros(len(a), np.int32))
         long = np.repeat(sizes > LONG, sizes)
         if long.any():
             yield batch_of(key[long], f1[long], [None] * int(long.sum()), n[long])
@@ -264,6 +265,11 @@ def _candidates(postings: DataFrame, percent: int, light: int) -> DataFrame:
     return spread.mapInArrow(run, "key bigint, a bigint, b bigint, n int")
 
 
+def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that ``wanted`` (a) names, without repeats."""
+    return documents.join(wanted.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+
+
 def _checked(pairs: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of documents that link; ``found``: doc_id, text."""
     one = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -302,7 +308,121 @@ def _to_documents(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
 
 
-def _roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+def _bitmaps(found: DataFrame, k: int) -> DataFrame:
+    """doc_id, n and the bitmap of each text's set."""
+    def run(batches):
+        for batch in batches:
+            for low, high, held in pieces(texts(batch)):
+                text, token = shingles(held, k)
+                n = np.bincount(text, minlength=high - low)
+                bits = []
+                for part in np.split(mix(token, 60), np.cumsum(n)[:-1]):
+                    size = max(256, 1 << (2 * len(part) - 1).bit_length()) if len(part) else 256
+                    flips = np.bincount((part & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+                    bits.append(np.packbits(flips.astype(np.uint8)).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(low, high - low), pa.array(n, pa.int32()), pa.array(bits, pa.binary())],
+                    names=["doc_id", "n", "bits"])
+
+    return found.mapInArrow(run, "doc_id bigint, n int, bits binary")
+
+
+def _matrix(bits: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, all folded to the length of the shortest."""
+    width = min(map(len, bits))
+    out = np.empty((len(bits), width // 8), np.uint64)
+    for i, one in enumerate(bits):
+        row = np.frombuffer(one, np.uint64)
+        while len(row) > width // 8:
+            row = row[:len(row) // 2] ^ row[len(row) // 2:]
+        out[i] = row
+    return out
+
+
+def _within(differ, n1, n2, percent):
+    """Sets of these sizes may still link if they differ in so many bits."""
+    return differ * (100 + percent) <= (n1 + n2) * (100 - percent)
+
+
+def _bounded(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their bitmaps do not rule out, with the bits they differ in."""
+    one = pairs.join(bitmaps.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a")
+    two = one.join(bitmaps.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+
+    def run(batches):
+        for batch in batches:
+            differ = np.empty(batch.num_rows, np.int64)
+            bits_a, bits_b = batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()
+            for i, pair in enumerate(zip(bits_a, bits_b)):
+                x, y = _matrix(pair)
+                differ[i] = int(np.bitwise_count(x ^ y).sum())
+            near = pa.array(_within(differ, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(near), batch.column("b").filter(near), pa.array(differ).filter(near)],
+                names=["a", "b", "differ"])
+
+    return two.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint, differ bigint")
+
+
+def _squares(members: DataFrame, bitmaps: DataFrame, percent: int, light: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b, differ) of long lists that bitmaps do not rule out, from (key, a, root).
+
+    ``nearest``: of each class only the nearest one in a square. Else all pairs of different
+    roots; lists of one root are left out before anything is compared.
+    """
+    if not nearest:
+        mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        members = members.join(mixed, "key")
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts"))
+    rows = members.join(bitmaps.withColumnRenamed("doc_id", "a"), "a").join(sizes, "key")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "root", "n", "bits")
+    keys = ["key", "i", "j"]
+    spread = rows.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, "own", "a")
+
+    def run(batches):
+        for part in groups(batches, keys):
+            own, doc, root = (part[c].to_numpy() for c in ("own", "a", "root"))
+            n, bits = part["n"].to_numpy().astype(np.int64), _matrix(part["bits"].to_pylist())
+            light_only = part["key"][0].as_py() & 1 == 1  # under single tokens, pairs of light sets are not needed
+            left, right = np.flatnonzero(own == part["i"][0].as_py()), np.flatnonzero(own == part["j"][0].as_py())
+            out = []
+            best = {} if nearest else None
+            for x in left.tolist():
+                other = right[right > x] if part["i"][0] == part["j"][0] else right
+                other = other[_fits(n[x], n[other], percent)]
+                if light_only:
+                    other = other[np.maximum(n[x], n[other]) > light]
+                if not nearest:
+                    other = other[root[other] != root[x]]
+                if not len(other):
+                    continue
+                differ = np.bitwise_count(bits[other] ^ bits[x]).sum(1, dtype=np.int64)
+                near = _within(differ, n[x], n[other], percent)
+                other, differ = other[near], differ[near]
+                if not nearest:
+                    out += [(x, y, d) for y, d in zip(other.tolist(), differ.tolist())]
+                    continue
+                for y, d in zip(other.tolist(), differ.tolist()):
+                    if d < best.get(y, (1 << 60,))[0]:
+                        best[y] = (d, x)
+                if len(other):
+                    at = int(differ.argmin())
+                    if differ[at] < best.get(x, (1 << 60,))[0]:
+                        best[x] = (int(differ[at]), int(other[at]))
+            if nearest:
+                out = [(x, y, d) for x, (d, y) in best.items()]
+            if out:
+                x, y, d = map(np.array, zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(doc[x], doc[y])), pa.array(np.maximum(doc[x], doc[y])), pa.array(d, pa.int64())],
+                    names=["a", "b", "differ"])
+
+    return spread.mapInArrow(run, "a bigint, b bigint, differ bigint")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """``pairs`` whose ends are in different components."""
     a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
@@ -310,20 +430,6 @@ def _roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _across(members: DataFrame, percent: int, light: int) -> DataFrame:
-    """All pairs of a long list's classes in different components, from (key, a, n, root).
-
-    Lists of one component vanish before anything is paired.
-    """
-    mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    rows = members.join(mixed, "key")
-    other = rows.select("key", F.col("a").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    near = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (
-        (F.pmod(F.col("key"), F.lit(2)) == 0) | (F.greatest("n", "m") > light))
-    return rows.join(other, "key").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near).select(
-        "a", "b").distinct()
-
-
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of ``documents``.
 
@@ -341,21 +447,25 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     light = boundary(sizes, float(hot[1].sum()) / tokens, percent)
     found = kept(_candidates(_postings(own, shingle, percent, light, hot), percent, light))
     pairs = kept(_to_documents(found.where("b is not null").select("a", "b").distinct(), classes).distinct())
-    members = found.where("b is null").select("key", F.col("a").alias("f1"), "n").join(
-        classes.select("f1", "rep"), "f1").select("key", F.col("rep").alias("a"), "n")
+    members = kept(found.where("b is null").select("key", F.col("a").alias("f1")).join(
+        classes.select("f1", "rep"), "f1").select("key", F.col("rep").alias("a")))
     wanted = pairs.select("a").union(pairs.select("b")).union(members.select("a")).distinct()
-    some = kept(own.join(wanted.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
-    # First round: each class with the least of its candidates.
-    ends = pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a")))
-    chosen = ends.groupBy("a").agg(F.min("b").alias("b"))
-    chosen = chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    some = kept(_texts_of(own, wanted))
+    bitmaps = kept(_bitmaps(some, shingle))
+    near = kept(_bounded(pairs, bitmaps, percent))
+    # First round: each class with the nearest of its candidates.
+    rooted = members.withColumn("root", F.col("a"))
+    first = near.union(_squares(rooted, bitmaps, percent, light, nearest=True))
+    ends = first.union(first.select("b", "a", "differ"))
+    chosen = ends.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
+    chosen = kept(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links = kept(_checked(chosen, some, shingle, percent))
     roots = components(links)
     # Second round: whatever is still apart.
-    rest = _roots(pairs, roots)
-    of = members.join(roots.withColumnRenamed("node", "a"), "a", "left").select(
-        "key", "a", "n", F.coalesce("root", "a").alias("root"))
-    rest = kept(rest.union(_across(of, percent, light)).distinct())
+    rooted = members.join(roots.withColumnRenamed("node", "a"), "a", "left").select(
+        "key", "a", F.coalesce("root", "a").alias("root"))
+    rest = _apart(near, roots).union(_squares(rooted, bitmaps, percent, light, nearest=False).select("a", "b"))
+    rest = kept(rest.distinct().join(chosen, ["a", "b"], "left_anti"))
     links = links.union(kept(_checked(rest, some, shingle, percent)))
     # Ids that stand for several sets join their classes.
     placed = sized.join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", "rep")
