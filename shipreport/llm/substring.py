@@ -9,7 +9,7 @@ least one window long, and all words of factors are removed.
    Neighbouring windows share their anchor, so a document has some 18 times fewer anchors
    than windows. Anchors that two documents hold stand for the indexed blocks in which a
    match can lie; a window whose anchor is in one document only is new text.
-2. **Probe.** Of the other windows, each distinct one of a document is looked up by 128 bits
+2. **Probe.** Of the other windows, each distinct one of a document is looked up by 96 bits
    of its hash. Within a few megabytes of text all but the first document of a window are
    settled at once, so a passage that a third of all documents share leaves a task as one
    row and no key is hot.
@@ -21,7 +21,7 @@ Texts are shuffled once, by row, and read from there in steps 2 and 3. Whether a
 touched depends on the input only, never on what is left of others.
 
 NULL texts have no words. Rows with a NULL id neither lose words nor take any. Rows with
-equal ids never remove from each other. Hash collisions (128 bits) are not checked.
+equal ids never remove from each other. Hash collisions (96 bits) are not checked.
 """
 
 from __future__ import annotations
@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipreport.llm.common import kept, texts
-from shipreport.llm.words import SPACED, pieces, window_starts, window_sums, words_of
+from shipreport.llm.words import SPACED, mix, pieces, window_starts, window_sums, words_of
 
 WINDOW = 50
 #: Words in the runs that anchors are taken from.
-_GRAM = 16
+_GRAM = 12
 #: Bytes of text among which repeats are settled without a shuffle.
 _NEAR_BYTES = 4 << 20
 
@@ -67,7 +67,7 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
     """The distinct anchors of each row."""
     def run(batches):
         for batch in batches:
-            ids, keys = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
+            ids, variants = batch.column("doc_id").to_numpy(), batch.column("variant").to_numpy()
             for low, _, held in pieces(texts(batch)):
                 _, _, _, text, anchors = _windows(held, window)
                 new = np.ones(len(text), bool)
@@ -78,25 +78,25 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
                 new = np.ones(len(text), bool)
                 new[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[text[new]], pa.int64()), pa.array(keys[text[new]], pa.int64()), pa.array(anchors[new])],
-                    names=["doc_id", "row", "anchor"])
+                    [pa.array(ids[text[new]], pa.int64()), pa.array(variants[text[new]]), pa.array(anchors[new])],
+                    names=["doc_id", "variant", "anchor"])
 
-    return rows.where("doc_id is not null and text is not null").select("doc_id", "row", "text").mapInArrow(
-        run, "doc_id bigint, row bigint, anchor bigint")
+    return rows.where("doc_id is not null and text is not null").select("doc_id", "variant", "text").mapInArrow(
+        run, "doc_id bigint, variant int, anchor bigint")
 
 
 def _candidates(joined: DataFrame, window: int) -> DataFrame:
     """Windows with a shared anchor: one row for each distinct one of a document.
 
-    ``more`` holds further places of the same window in its document. Rows that are
-    ``settled`` say, for places in ``more``, that a document nearby with a smaller id,
-    ``source``, has the window.
+    ``more`` holds further places of the same window in its document. Rows with a ``source``
+    are settled: they say, for places in ``more``, that this document nearby, of a smaller
+    id, has the window.
     """
-    schema = ("h1 bigint, h2 bigint, doc_id bigint, row bigint, pos int, more binary, settled boolean")
+    schema = ("h1 bigint, h2 int, doc_id bigint, variant int, pos int, more binary, source bigint")
 
     def run(batches):
         for batch in batches:
-            ids, keys = batch.column("doc_id").to_pylist(), batch.column("row").to_numpy()
+            ids, variants = batch.column("doc_id").to_pylist(), batch.column("variant").to_numpy()
             shared = batch.column("anchors")
             bounds, values = shared.offsets.to_numpy(), shared.values.to_numpy()
             bounds, values = bounds - bounds[0], values[bounds[0]:bounds[-1]]
@@ -118,17 +118,17 @@ def _candidates(joined: DataFrame, window: int) -> DataFrame:
                     continue
                 starts, text = starts[found], text[found]
                 h1 = window_sums(hashes, window, 0)[starts]
-                h2 = window_sums(hashes, window, 1)[starts]
+                h2 = (window_sums(hashes, window, 1)[starts] >> np.uint64(32)).astype(np.uint32)
                 pos = starts - words.first[text]
                 doc = np.array([-1 if i is None else i for i in ids[low:high]], np.int64)[text]
-                yield from _settled_and_open(h1, h2, doc, keys[text + low], pos)
+                yield from _settled_and_open(h1, h2, doc, variants[text + low], pos)
 
     return joined.mapInArrow(run, schema)
 
 
-def _settled_and_open(h1, h2, doc, row, pos):
-    order = np.lexsort((pos, row, doc, h2, h1))
-    h1, h2, doc, row, pos = h1[order], h2[order], doc[order], row[order], pos[order]
+def _settled_and_open(h1, h2, doc, variant, pos):
+    order = np.lexsort((pos, variant, doc, h2, h1))
+    h1, h2, doc, variant, pos = h1[order], h2[order], doc[order], variant[order], pos[order]
     new_window = np.ones(len(h1), bool)
     new_window[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     first = np.maximum.accumulate(np.where(new_window, np.arange(len(h1)), 0))
@@ -136,33 +136,34 @@ def _settled_and_open(h1, h2, doc, row, pos):
     # Open windows: one row per window and row, with the places of its repeats.
     at = np.flatnonzero(~late)
     group = np.ones(len(at), bool)
-    group[1:] = new_window[at][1:] | (row[at][1:] != row[at][:-1])
+    group[1:] = new_window[at][1:] | (variant[at][1:] != variant[at][:-1])
     heads = np.flatnonzero(group)
     sizes = np.diff(np.append(heads, len(at)))
     more = [None] * len(heads)
     for i in np.flatnonzero(sizes > 1).tolist():
         more[i] = pos[at[heads[i] + 1:heads[i] + sizes[i]]].astype("<i4").tobytes()
     lead = at[heads]
-    names = ["h1", "h2", "doc_id", "row", "pos", "more", "settled"]
+    names = ["h1", "h2", "doc_id", "variant", "pos", "more", "source"]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(h1[lead].view(np.int64)), pa.array(h2[lead].view(np.int64)), pa.array(doc[lead]), pa.array(row[lead]),
-         pa.array(pos[lead].astype(np.int32)), pa.array(more, pa.binary()), pa.array(np.zeros(len(lead), bool))], names=names)
+        [pa.array(h1[lead].view(np.int64)), pa.array(h2[lead].view(np.int32)), pa.array(doc[lead]), pa.array(variant[lead]),
+         pa.array(pos[lead].astype(np.int32)), pa.array(more, pa.binary()), pa.nulls(len(lead), pa.int64())], names=names)
     # Settled windows: one row per row and source, under keys of their own.
     gone = np.flatnonzero(late)
     if len(gone):
         source = doc[first[gone]]
-        order = np.lexsort((pos[gone], source, row[gone]))
+        order = np.lexsort((pos[gone], source, variant[gone], doc[gone]))
         gone, source = gone[order], source[order]
         group = np.ones(len(gone), bool)
-        group[1:] = (row[gone][1:] != row[gone][:-1]) | (source[1:] != source[:-1])
+        group[1:] = ((doc[gone][1:] != doc[gone][:-1]) | (variant[gone][1:] != variant[gone][:-1])
+                     | (source[1:] != source[:-1]))
         heads = np.flatnonzero(group)
         ends = np.append(heads[1:], len(gone))
         lead = gone[heads]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(row[lead]), pa.array(pos[lead].astype(np.int64)), pa.array(source[heads]), pa.array(row[lead]),
-             pa.array(np.full(len(heads), -1, np.int32)),
+            [pa.array(mix(doc[lead].view(np.uint64), 70).view(np.int64)), pa.array(pos[lead].astype(np.int32)),
+             pa.array(doc[lead]), pa.array(variant[lead]), pa.array(np.full(len(heads), -1, np.int32)),
              pa.array([pos[gone[a:b]].astype("<i4").tobytes() for a, b in zip(heads.tolist(), ends.tolist())], pa.binary()),
-             pa.array(np.ones(len(heads), bool))], names=names)
+             pa.array(source[heads])], names=names)
 
 
 def _factors(places: np.ndarray, sources: np.ndarray, n_words: int, window: int):
@@ -196,22 +197,24 @@ def parsed(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     own = [c for c in documents.columns if c not in new]
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
-        F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row"), F.struct(*own).alias("rest"))
+        F.hash("text").alias("variant"), F.struct(*own).alias("rest"))
+    # A row is known by its id and a hash of its text, which tells rows that repeat an id apart.
+    row = ["doc_id", "variant"]
     anchors = _anchors(rows, window)
     shared = kept(anchors.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                   .where("a < b").select("anchor"))
-    of_row = anchors.join(shared, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+    of_row = anchors.join(shared, "anchor").groupBy(*row).agg(F.collect_set("anchor").alias("anchors"))
     # Both joins shuffle the same columns of the same rows, so Spark shuffles them once.
-    probes = rows.join(of_row, "row", "left").withColumn("anchors", F.coalesce("anchors", F.array().cast("array<bigint>")))
+    probes = rows.join(of_row, row, "left").withColumn("anchors", F.coalesce("anchors", F.array().cast("array<bigint>")))
     windows = _candidates(probes, window)
-    earliest = F.min("doc_id").over(Window.partitionBy("h1", "h2"))
-    found = windows.withColumn("source", earliest).where("settled or source < doc_id")
+    earliest = F.min(F.coalesce("source", "doc_id")).over(Window.partitionBy("h1", "h2"))
+    found = windows.withColumn("source", earliest).where("source < doc_id")
     # Rows of equal id and text are one row here: their places are the same.
-    of_row = found.groupBy("row").agg(F.collect_list(F.struct("pos", "more", "source")).alias("found"))
+    of_row = found.groupBy(*row).agg(F.collect_list(F.struct("pos", "more", "source")).alias("found"))
     schema = rows.select("rest").withColumns({
         "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit(""),
         "factors": F.lit(None).cast("array<struct<first_word:int,n_words:int,source:bigint>>")}).schema
-    return _finished(rows.join(of_row, "row", "left"), schema, window).select("rest.*", *new)
+    return _finished(rows.join(of_row, row, "left"), schema, window).select("rest.*", *new)
 
 
 def _finished(joined: DataFrame, schema, window: int) -> DataFrame:
