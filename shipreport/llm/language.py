@@ -147,7 +147,7 @@ class Model:
         total = share.sum(1)
         best = share.argmax(1)
         # How much better the language explains the text's words than the next one does.
-        sums = np.column_stack([np.bincount(found.text, scores[:, j], n) for j in range(width)])
+        sums = np.column_stack([np.bincount(found.text, scores[:, j], n) for j in range(width)]).astype(float)
         own = sums[np.arange(n), best]
         sums[np.arange(n), best] = -np.inf
         margin = np.clip(own - sums.max(1), -CLIP, CLIP) if width > 1 else np.full(n, CLIP)
