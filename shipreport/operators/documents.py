@@ -140,9 +140,20 @@ def keyword_flags(pages: DataFrame, keys: Sequence[str], text: str,
     return pages.groupBy(*keys).agg(*seen)
 
 
-def page_concat(pages: DataFrame, key: str, page: str, text: str, form: str = "lines",
-                chunk: int = 64) -> DataFrame:
-    """The pages of each document as one text.
+def _page_piece(text: str, form: str) -> tuple[Column, str]:
+    """What a page adds to its document's text, and what stands between two pages."""
+    present = F.coalesce(F.col(text), F.lit(""))
+    if form == "lines":
+        return present, "\n"
+    if form == "upper":
+        return F.when(present != "", F.concat(F.upper(present), F.lit(" "))).otherwise(""), ""
+    if form == "plain":
+        return F.upper(present), ""
+    raise ValueError(f"unknown form: {form}")
+
+
+def page_forms(pages: DataFrame, key: str, page: str, text: str, forms: Sequence[str], chunk: int = 64) -> DataFrame:
+    """The pages of each document as one text in each of several forms, from one pass.
 
     ``lines`` joins them by line breaks with a missing page as empty text; ``upper``
     puts a blank after each non-empty page and turns all to upper case; ``plain``
@@ -150,27 +161,21 @@ def page_concat(pages: DataFrame, key: str, page: str, text: str, form: str = "l
     numbers, so that a long document is spread over tasks and its last step sorts
     runs, not pages.
     """
-    present = F.coalesce(F.col(text), F.lit(""))
-    if form == "lines":
-        piece, between = present, "\n"
-    elif form == "upper":
-        piece = F.when(present != "", F.concat(F.upper(present), F.lit(" "))).otherwise("")
-        between = ""
-    elif form == "plain":
-        piece, between = F.upper(present), ""
-    else:
-        raise ValueError(f"unknown form: {form}")
-
-    def joined(part: str, order: str) -> Column:
-        ordered = F.array_sort(F.collect_list(F.struct(order, part)))
-        return F.array_join(ordered.getField(part), between)
-
-    runs = (
-        pages.select(key, F.floor(F.col(page) / chunk).alias("_run"), F.col(page).alias("_page"),
-                     piece.alias("_piece"))
-        .groupBy(key, "_run").agg(joined("_piece", "_page").alias("_piece"))
-    )
-    return runs.groupBy(key).agg(joined("_piece", "_run").alias(text))
+    pieces = {form: _page_piece(text, form) for form in forms}
+
+    def joined(order: str) -> list[Column]:
+        return [F.array_join(F.array_sort(F.collect_list(F.struct(order, form))).getField(form), between).alias(form)
+                for form, (_, between) in pieces.items()]
+
+    rows = pages.select(key, F.floor(F.col(page) / chunk).alias("_run"), F.col(page).alias("_page"),
+                        *[piece.alias(form) for form, (piece, _) in pieces.items()])
+    return rows.groupBy(key, "_run").agg(*joined("_page")).groupBy(key).agg(*joined("_run"))
+
+
+def page_concat(pages: DataFrame, key: str, page: str, text: str, form: str = "lines",
+                chunk: int = 64) -> DataFrame:
+    """``page_forms`` with one form, as the column ``text``."""
+    return page_forms(pages, key, page, text, [form], chunk).withColumnRenamed(form, text)
 
 
 def _differs(new: str) -> Column:

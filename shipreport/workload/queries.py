@@ -491,10 +491,10 @@ def _changes(r):
 @query
 def page_concat(r):
     """The page texts of each document in every form."""
-    pages = r.pages()
-    found = [documents.page_concat(pages, "doc_id", "page_no", "text", form).withColumn("form", F.lit(form))
-             for form in ("lines", "upper", "plain")]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    forms = ("lines", "upper", "plain")
+    whole = documents.page_forms(r.pages(), "doc_id", "page_no", "text", forms)
+    each = F.explode(F.array(*[F.struct(F.col(f).alias("text"), F.lit(f).alias("form")) for f in forms]))
+    return whole.select("doc_id", each.alias("found")).select("doc_id", "found.text", "found.form")
 
 
 @query
