@@ -22,8 +22,9 @@ their Jaccard similarity reaches ``percent`` / 100. All steps are exact:
    are compared in squares of ``SIDE`` by ``SIDE`` bitmaps, which are tasks of their own and
    give out only what they keep.
 6. **Check.** What is left is checked on whole texts in two rounds: first each class with the
-   candidate whose bitmap is nearest, which joins up groups of copies; then all candidates
-   that are still in different components. So texts are fetched about once per class however
+   candidate whose bitmap is nearest, and of each square a spanning forest of the nearest
+   candidates, which joins up groups of copies; then all candidates that are still in
+   different components. So texts are fetched about once per class however
    large a group of near copies is, and no candidate is dropped.
 
 Shingles are told apart by 64-bit hashes, equal sets by 128 bits and their size.
@@ -50,7 +51,7 @@ NEAR_BYTES = 8 << 20
 #: Rows of inverted lists a task looks at together.
 ROWS = 1 << 20
 #: Classes of a long list that are compared with as many others by one task.
-SIDE = 2048
+SIDE = 1024
 
 
 def shingles(held: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -364,13 +365,59 @@ def _bounded(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint, differ bigint")
 
 
-def _squares(members: DataFrame, bitmaps: DataFrame, percent: int, light: int, nearest: bool) -> DataFrame:
+class _Square:
+    """Bitmaps of one square: those of its first side against those of its second."""
+
+    def __init__(self, rows: pa.Table, percent: int, light: int):
+        self.n = rows["n"].to_numpy().astype(np.int64)
+        self.bits = _matrix(rows["bits"].to_pylist())
+        self.root = rows["root"].to_numpy()
+        own, i, j = rows["own"].to_numpy(), rows["i"][0].as_py(), rows["j"][0].as_py()
+        self.first, self.second, self.same = own == i, own == j, i == j
+        # Under single tokens, pairs of light sets are not needed.
+        self.least = light if rows["key"][0].as_py() & 1 else 0
+        self.percent = percent
+
+    def partners(self, x: int) -> tuple[np.ndarray, np.ndarray]:
+        """The candidates of ``x`` that bitmaps do not rule out, and the bits they differ in."""
+        other = np.flatnonzero(self.second if self.first[x] else self.first)
+        other = other[(other != x) & _fits(self.n[x], self.n[other], self.percent)
+                      & (np.maximum(self.n[x], self.n[other]) > self.least)]
+        differ = np.bitwise_count(self.bits[other] ^ self.bits[x]).sum(1, dtype=np.int64)
+        near = _within(differ, self.n[x], self.n[other], self.percent)
+        return other[near], differ[near]
+
+    def forest(self) -> list[tuple[int, int, int]]:
+        """A spanning forest of nearest candidates, grown one class at a time."""
+        size, out = len(self.n), []
+        best, link, open_ = np.full(size, 1 << 60), np.full(size, -1), np.ones(size, bool)
+        for _ in range(size):
+            x = int(np.where(open_, best, 1 << 61).argmin())
+            open_[x] = False
+            if link[x] >= 0:
+                out.append((x, int(link[x]), int(best[x])))
+            other, differ = self.partners(x)
+            closer = open_[other] & (differ < best[other])
+            best[other[closer]], link[other[closer]] = differ[closer], x
+        return out
+
+    def apart(self) -> list[tuple[int, int, int]]:
+        """All pairs of candidates with different roots."""
+        out = []
+        for x in np.flatnonzero(self.first).tolist():
+            other, differ = self.partners(x)
+            new = (self.root[other] != self.root[x]) & ((other > x) | (not self.same))
+            out += [(x, y, d) for y, d in zip(other[new].tolist(), differ[new].tolist())]
+        return out
+
+
+def _squares(members: DataFrame, bitmaps: DataFrame, percent: int, light: int, spanning: bool) -> DataFrame:
     """Pairs (a, b, differ) of long lists that bitmaps do not rule out, from (key, a, root).
 
-    ``nearest``: of each class only the nearest one in a square. Else all pairs of different
-    roots; lists of one root are left out before anything is compared.
+    ``spanning``: a forest of each square. Else all pairs of different roots; lists of one
+    root are left out before anything is compared.
     """
-    if not nearest:
+    if not spanning:
         mixed = members.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
         members = members.join(mixed, "key")
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / SIDE).cast("int").alias("parts"))
@@ -383,36 +430,8 @@ def _squares(members: DataFrame, bitmaps: DataFrame, percent: int, light: int, n
 
     def run(batches):
         for part in groups(batches, keys):
-            own, doc, root = (part[c].to_numpy() for c in ("own", "a", "root"))
-            n, bits = part["n"].to_numpy().astype(np.int64), _matrix(part["bits"].to_pylist())
-            light_only = part["key"][0].as_py() & 1 == 1  # under single tokens, pairs of light sets are not needed
-            left, right = np.flatnonzero(own == part["i"][0].as_py()), np.flatnonzero(own == part["j"][0].as_py())
-            out = []
-            best = {} if nearest else None
-            for x in left.tolist():
-                other = right[right > x] if part["i"][0] == part["j"][0] else right
-                other = other[_fits(n[x], n[other], percent)]
-                if light_only:
-                    other = other[np.maximum(n[x], n[other]) > light]
-                if not nearest:
-                    other = other[root[other] != root[x]]
-                if not len(other):
-                    continue
-                differ = np.bitwise_count(bits[other] ^ bits[x]).sum(1, dtype=np.int64)
-                near = _within(differ, n[x], n[other], percent)
-                other, differ = other[near], differ[near]
-                if not nearest:
-                    out += [(x, y, d) for y, d in zip(other.tolist(), differ.tolist())]
-                    continue
-                for y, d in zip(other.tolist(), differ.tolist()):
-                    if d < best.get(y, (1 << 60,))[0]:
-                        best[y] = (d, x)
-                if len(other):
-                    at = int(differ.argmin())
-                    if differ[at] < best.get(x, (1 << 60,))[0]:
-                        best[x] = (int(differ[at]), int(other[at]))
-            if nearest:
-                out = [(x, y, d) for x, (d, y) in best.items()]
+            square, doc = _Square(part, percent, light), part["a"].to_numpy()
+            out = square.forest() if spanning else square.apart()
             if out:
                 x, y, d = map(np.array, zip(*out))
                 yield pa.RecordBatch.from_arrays(
@@ -455,16 +474,17 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     near = kept(_bounded(pairs, bitmaps, percent))
     # First round: each class with the nearest of its candidates.
     rooted = members.withColumn("root", F.col("a"))
-    first = near.union(_squares(rooted, bitmaps, percent, light, nearest=True))
-    ends = first.union(first.select("b", "a", "differ"))
-    chosen = ends.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b"))
-    chosen = kept(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    spanning = kept(_squares(rooted, bitmaps, percent, light, spanning=True).where("a <> b").distinct())
+    ends = near.union(near.select("b", "a", "differ"))
+    chosen = ends.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    chosen = kept(chosen.union(spanning.select("a", "b")).distinct())
     links = kept(_checked(chosen, some, shingle, percent))
     roots = components(links)
     # Second round: whatever is still apart.
     rooted = members.join(roots.withColumnRenamed("node", "a"), "a", "left").select(
         "key", "a", F.coalesce("root", "a").alias("root"))
-    rest = _apart(near, roots).union(_squares(rooted, bitmaps, percent, light, nearest=False).select("a", "b"))
+    rest = _apart(near, roots).union(_squares(rooted, bitmaps, percent, light, spanning=False).select("a", "b"))
     rest = kept(rest.distinct().join(chosen, ["a", "b"], "left_anti"))
     links = links.union(kept(_checked(rest, some, shingle, percent)))
     # Ids that stand for several sets join their classes.

@@ -102,3 +102,35 @@ def test_empty_table(spark):
 def test_boundary_follows_the_cost():
     few, many = J.boundary({n: 10 for n in range(5, 200)}, 0.5, 80), J.boundary({n: 10 for n in range(5, 200)}, 50.0, 80)
     assert 4 <= few < many <= 128
+
+
+def test_a_square_gives_a_spanning_forest_of_its_candidates():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 120).astype(np.uint64)
+    sets = []
+    for i in range(40):
+        s = base.copy() if i % 2 else base[::-1] + np.uint64(7)
+        s[rng.integers(0, 120, 9)] = rng.integers(0, 2**63, 9)
+        sets.append(np.unique(s))
+    bits = []
+    for s in sets:
+        flips = np.bincount((J.mix(s, 60) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+        bits.append(np.packbits(flips.astype(np.uint8)).tobytes())
+    for own in (np.zeros(40, int), np.repeat([0, 1], 20)):
+        table = pa.table({"n": [len(s) for s in sets], "bits": pa.array(bits, pa.binary()), "root": list(range(40)),
+                          "own": own, "i": [0] * 40, "j": [int(own.max())] * 40, "key": [0] * 40})
+        square = J._Square(table, 80, 4)
+        every, forest = square.apart(), square.forest()
+        links = lambda pairs: _groups(40, [(x, y) for x, y, _ in pairs])
+        assert links(every) == links(forest) and len(forest) == 40 - len(set(links(every)))
+
+
+def _groups(n, pairs):
+    at = list(range(n))
+    for x, y in pairs:
+        a, b = at[x], at[y]
+        at = [min(a, b) if g in (a, b) else g for g in at]
+    return at
