@@ -200,7 +200,8 @@ def parsed(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     own = [c for c in documents.columns if c not in new]
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
-        F.hash("text").alias("variant"), F.struct(*own).alias("rest"))
+        F.hash("text").alias("variant"),
+        F.struct(*[c for c in own if c != "text"]).alias("rest"))
     # A row is known by its id and a hash of its text, which tells rows that repeat an id apart.
     row = ["doc_id", "variant"]
     anchors = _anchors(rows, window)
@@ -218,10 +219,11 @@ def parsed(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     found = windows.withColumn("source", earliest).where("source < doc_id")
     # Rows of equal id and text are one row here: their places are the same.
     of_row = found.groupBy(*row).agg(F.collect_list(F.struct("pos", "more", "source")).alias("found"))
-    schema = rows.select("rest").withColumns({
+    schema = rows.select("text", "rest").withColumns({
         "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit(""),
         "factors": F.lit(None).cast("array<struct<first_word:int,n_words:int,source:bigint>>")}).schema
-    return _finished(rows.join(of_row, row, "left"), schema, window).select("rest.*", *new)
+    done = _finished(rows.join(of_row, row, "left"), schema, window)
+    return done.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in own], *new)
 
 
 def _finished(joined: DataFrame, schema, window: int) -> DataFrame:
@@ -244,9 +246,9 @@ def _finished(joined: DataFrame, schema, window: int) -> DataFrame:
                     left.append(b" ".join([words.data[x:y] for x, y in zip(starts.tolist(), ends.tolist())]))
                     factors.append([dict(zip(("first_word", "n_words", "source"), f)) for f in parts])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rest"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+                [batch.column("text"), batch.column("rest"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array(left, pa.binary()).cast(pa.string()), pa.array(factors, kinds)],
-                names=["rest", "n_words", "n_removed", "kept", "factors"])
+                names=["text", "rest", "n_words", "n_removed", "kept", "factors"])
 
     return joined.mapInArrow(run, schema)
 
@@ -273,9 +275,10 @@ def deduplicated(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     n_chars, where present, follows the text. Documents that lose all words stay, empty.
     """
     columns = documents.columns
-    found = parsed(documents.select(F.struct(*columns).alias("whole"), "doc_id", "text"), window)
+    whole = F.struct(*[c for c in columns if c != "text"])
+    found = parsed(documents.select(whole.alias("whole"), "doc_id", "text"), window)
     changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("whole.text"))}
+    new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in columns:
         new["n_chars"] = F.when(changed, F.length("kept")).otherwise(F.col("whole.n_chars")).cast(
             documents.schema["n_chars"].dataType)
