@@ -242,7 +242,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WIN
     letter; n_chars, where present, follows the text.
     """
     columns = documents.columns
-    marked = hits(documents.select(F.struct(*columns).alias("whole"), "text"), benchmark, window, **sizes)
+    marked = hits(documents.select(F.struct(*[c for c in columns if c != "text"]).alias("whole"), "text"), benchmark, window, **sizes)
     marked = marked.where(F.size("hit") <= F.lit(max_coverage) * F.col("n_words"))
 
     def run(batches):

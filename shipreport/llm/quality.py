@@ -241,8 +241,10 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
 
 def good_documents(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches ``threshold``, with their own columns only."""
-    marked = documents.select(F.struct(*documents.columns).alias("row"), "text")
-    return scored(marked, model).where(F.col("score") >= threshold).select("row.*")
+    columns = documents.columns
+    marked = documents.select(F.struct(*[c for c in columns if c != "text"]).alias("row"), "text")
+    good = scored(marked, model).where(F.col("score") >= threshold)
+    return good.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
 
 
 def digest(documents: DataFrame, labels: DataFrame) -> DataFrame:
