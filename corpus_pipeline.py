@@ -13,32 +13,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from shipreport.llm import decontamination, jaccard, packing, quality, substring
-from shipreport.llm.common import table
+from shipreport.llm.common import small_batches, table
 from shipreport.llm.queries import tokenizer_path
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of the labelled ones rejects go."""
+    small_batches(spark)
     return quality.good_documents(docs, quality.learnt(docs, table(spark, sf_dir, "labels")))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id stays."""
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document holds are cut out."""
+    small_batches(spark)
     return substring.deduplicated(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of benchmark items are cut out; a document that is hardly anything else goes."""
+    small_batches(spark)
     return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences, with the ids of each piece."""
+    small_batches(spark)
     return packing.packed(docs, tokenizer_path())
 
 

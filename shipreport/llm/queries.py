@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shipreport.llm import chat, decontamination, embeddings, htmltext, jaccard, language, packing, quality, substring, toxicity
-from shipreport.llm.common import table
+from shipreport.llm.common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,7 +22,11 @@ def tokenizer_path() -> str:
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    def run(spark, sf_dir):
+        small_batches(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -39,7 +39,7 @@ WINDOW = 50
 _GRAM = 12
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 #: Bytes of text among which repeats are settled without a shuffle.
-_NEAR_BYTES = 4 << 20
+_NEAR_BYTES = 2 << 20
 
 
 def _least(values: np.ndarray, span: int) -> np.ndarray:

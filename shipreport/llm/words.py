@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes of text handled at a time; a longer text is handled alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _ALL = np.arange(256)
 #: Words between white space: ``[^\\x20\\x09-\\x0D]+``.
