@@ -37,7 +37,7 @@ CHOICES = 48
 #: The id that ends a document.
 END_ID = 1
 #: Distinct units whose ids a worker remembers.
-REMEMBERED = 3_000_000
+REMEMBERED = 1_000_000
 
 PIECE_SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
                 "sequence_id bigint, offset bigint, ids array<int>")

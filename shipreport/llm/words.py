@@ -8,11 +8,14 @@ that every window of k words costs a few vector operations whatever k is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 #: Bytes of text handled at a time; a longer text is handled alone.
 CHUNK_BYTES = 1 << 19
 
@@ -130,3 +133,11 @@ def pieces(texts: list[bytes | None], size: int = CHUNK_BYTES) -> Iterator[tuple
             low, held, total = i + 1, [], 0
     if held:
         yield low, len(texts), held
+    _give_back()
+
+
+def _give_back() -> None:
+    """Memory that is free goes back to the system: a worker process lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
