@@ -2,7 +2,9 @@
 
 A language's model counts hashed letter trigrams of words. A word's score for a language is
 the mean log likelihood of its trigrams. The script of a word's first letter narrows the
-candidates to languages that were learnt with that script; if there are none, all stay. The
+candidates to languages that were learnt with that script; if there are none, all stay, and
+so they do for scripts that are not listed here. Letters are those of Unicode, with the marks
+that follow them. The
 Viterbi path through a text's words pays a penalty for each switch of language, which gives
 the spans. The language with the most letters is that of the text; the score is its share of
 the letters, weighed by how much better it explains them than the next candidate does.
@@ -14,6 +16,7 @@ steps together.
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,14 +40,27 @@ CLIP = 6.0
 #: The languages that are learnt, the most frequent first.
 LANGUAGES = 200
 
-#: First code points of scripts, in order; 0 is not a letter of any.
+#: First code points of scripts, in order; letters where there is 0 are of OTHER.
 SCRIPTS = ((0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xAB, 0), (0xB5, 1), (0xB6, 0),
            (0xBA, 1), (0xBB, 0), (0xC0, 1), (0xD7, 0), (0xD8, 1), (0xF7, 0), (0xF8, 1), (0x370, 2), (0x400, 3),
            (0x530, 4), (0x590, 5), (0x600, 6), (0x700, 0), (0x900, 7), (0xE00, 8), (0xE80, 0), (0x10A0, 9),
            (0x1100, 10), (0x1200, 0), (0x1E00, 1), (0x1F00, 2), (0x2000, 0), (0x3040, 11), (0x3100, 0),
            (0x3400, 12), (0xA000, 0), (0xAC00, 10), (0xD7B0, 0))
-N_SCRIPTS = 13
-_FROM, _SCRIPT = np.array([s[0] for s in SCRIPTS]), np.array([s[1] for s in SCRIPTS])
+#: The script of letters of all other scripts, which keeps all candidates.
+OTHER = 13
+N_SCRIPTS = 14
+
+
+def _scripts() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point the script of letters and marks, 0 for all else; and whether it is a mark."""
+    kind = np.array([unicodedata.category(chr(i))[0] for i in range(0x110000)])
+    listed = np.array([s[1] for s in SCRIPTS])[
+        np.searchsorted([s[0] for s in SCRIPTS], np.arange(0x110000), side="right") - 1]
+    script = np.where(np.isin(kind, ["L", "M"]), np.where(listed > 0, listed, OTHER), 0)
+    return script.astype(np.int8), kind == "M"
+
+
+_SCRIPT, _MARK = _scripts()
 
 
 @dataclass
@@ -67,8 +83,11 @@ def letters_of(held: list[bytes]) -> Letters:
     raw = np.frombuffer(words.data, np.uint8)
     place = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     starts, ends = place[words.starts], place[words.ends]
-    script = _SCRIPT[np.searchsorted(_FROM, points, side="right") - 1]
+    script, mark = _SCRIPT[points], _MARK[points]
     is_letter = script > 0
+    if mark.any():  # a mark belongs to the letter before it
+        base = np.maximum.accumulate(np.where(mark, 0, np.arange(len(points))))
+        is_letter &= ~mark | is_letter[base] & ~mark[base]
     folded = np.where(is_letter, points, 32)
     gram = np.zeros(len(points), np.int64)
     gram[1:-1] = ((folded[:-2] * 0x9E3779B1 + folded[1:-1] * 0x85EBCA6B + folded[2:] * 0xC2B2AE35) >> 7) & (2 ** BITS - 1)
@@ -96,7 +115,7 @@ class Model:
         np.cumsum(self.table[found.grams], axis=0, out=sums[1:])
         first = found.first_gram
         scores = sums[first[:-1] + found.letters] - sums[first[:-1]]
-        allowed = self.scripts[found.script]
+        allowed = self.scripts[found.script] | (found.script == OTHER)[:, None]
         allowed = allowed | ~allowed.any(1)[:, None]
         scores = np.where(allowed, scores, -np.inf)
         scores -= scores.max(1, initial=-np.inf)[:, None] if len(scores) else 0

@@ -117,6 +117,22 @@ def test_scripts_narrow_the_candidates():
     assert [x[0] for x in model.predict([greek.encode(), latin.encode(), "мир".encode()])][:2] == ["el", "en"]
 
 
+OTHERS = {"my": "မြန်မာ ဘာသာ စကား သည် ဖြစ်သည်", "km": "ភាសា ខ្មែរ គឺ ជា ភាសា", "am": "አማርኛ የኢትዮጵያ ቋንቋ ነው",
+          "lo": "ພາສາ ລາວ ເປັນ ພາສາ", "bo": "བོད་སྐད་ ནི་ སྐད་ཡིག", "chr": "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ ᏗᎧᏁᎢᏍᏗ", "mn": "ᠮᠣᠩᠭᠣᠯ ᠬᠡᠯᠡ",
+          "dv": "ދިވެހި ބަސް އަކީ", "syr": "ܠܫܢܐ ܣܘܪܝܝܐ ܐܝܬ", "ar": "ﺍﻟﻌﺮﺑﻴﺔ ﻟﻐﺔ", "wide": "ｆｕｌｌ ｗｉｄｔｈ", "zh": "𠀀𠀁𠀂 𠀃𠀄", "en": "plain words of it"}
+
+
+def test_language_of_scripts_that_are_not_listed(spark):
+    rows = [(i, OTHERS[lang], lang) for i, lang in enumerate(sorted(OTHERS) * 12)]
+    found = language.digest(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {(rows[r.doc_id][2], r.lang_pred) for r in found} == {(x, x) for x in OTHERS} and all(r.score > 0.5 for r in found)
+
+
+def test_marks_and_signs_without_a_letter_are_no_letters():
+    assert language.letters_of(["\u0301 1\u0301 \u0966\u0967 \u0964 \u00d7".encode()]).letters.sum() == 0
+    assert language.letters_of(["e\u0301\u0302 \u0301x".encode()]).letters.tolist() == [3, 1]
+
+
 def test_language_of_odd_rows(spark):
     df = spark.createDataFrame([(a, b, "en" if a else None, 1) for a, b in ODD], "doc_id bigint, text string, lang string, spans int")
     found = language.digest(df).collect()
