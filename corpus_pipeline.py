@@ -44,7 +44,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences, with the ids of each piece."""
     small_batches(spark)
-    return packing.packed(docs, tokenizer_path())
+    return packing.packed(docs, tokenizer_path(), added=True)
 
 
 STAGES = [

@@ -17,6 +17,7 @@ pool holds at most ``pool`` remainders, or as many as fill one window.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
@@ -78,17 +79,25 @@ class Tokens:
     an apostrophe; around a single line feed between an ASCII character that is no white
     space and an ASCII letter. Equal units have equal ids, so only new ones are tokenised.
     Units are told apart by 64-bit hashes of their bytes.
+
+    With ``added``, the strings of the tokenizer's added tokens have those tokens' ids, as they
+    have when it is loaded and not changed; without, they are ordinary text.
     """
 
     #: First bytes of white space outside ASCII; no cut is made before them.
     WIDE = b"\xc2\xe1\xe2\xe3"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
+        self.added = {t.content.encode(): i for i, t in tokens.items()}
+        self.alone = not any(t.lstrip or t.rstrip or t.single_word for t in tokens.values())
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")") if longest_first else None
         byte = np.arange(256)
         self.goes_on = ~np.isin(byte, [0x00, *range(0x09, 0x0E), *range(0x1C, 0x21), *self.WIDE])
         self.letter = ((byte >= 65) & (byte <= 90)) | ((byte >= 97) & (byte <= 122))
@@ -130,6 +139,22 @@ class Tokens:
 
     def encode(self, many: list[bytes]) -> list[np.ndarray]:
         """The ids of each text, with the id that ends it."""
+        if self.pattern is None or not any(map(self.pattern.search, many)):
+            return self.encode_plain(many)
+        if not self.alone:  # tokens that depend on what is around them: their texts as a whole
+            return [np.array([*self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, END_ID], np.uint32)
+                    if self.pattern.search(t) else self.encode_plain([t])[0] for t in many]
+        split = [self.pattern.split(t) for t in many]
+        between = iter(self.encode_plain([part for parts in split for part in parts[::2]]))
+        out = []
+        for parts in split:  # text, token, text, ...; only the last text keeps its end
+            ids = [np.array([self.added[part]], np.uint32) if i % 2 else
+                   next(between)[:None if i == len(parts) - 1 else -1] for i, part in enumerate(parts)]
+            out.append(np.concatenate(ids))
+        return out
+
+    def encode_plain(self, many: list[bytes]) -> list[np.ndarray]:
+        """``encode`` for texts without added tokens."""
         if len(self.hashes) > REMEMBERED:
             self.forget()
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in many), np.int64, len(many)))
@@ -162,9 +187,9 @@ class Tokens:
 
 
 @lru_cache(maxsize=1)
-def _tokens(path: str) -> Tokens:
+def _tokens(path: str, added: bool) -> Tokens:
     """One tokenizer for all tasks of a worker process; what it remembers changes no result."""
-    return Tokens(path)
+    return Tokens(path, added)
 
 
 class Packer:
@@ -239,18 +264,19 @@ class Packer:
 
 
 def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, pool: int = POOL,
-           with_ids: bool = True) -> DataFrame:
+           with_ids: bool = True, added: bool = False) -> DataFrame:
     """One row per piece: where it comes from, where it lies, and its ids.
 
     Every row of ``documents`` is packed; a NULL text is empty and gives only the end id.
     Rows with equal or NULL ids are packed one by one. Sequences are full, but for the
     powers of two that end each task. ``capacity`` must be a power of two. ``tokenizer`` is
-    a file that every executor can open.
+    a file that every executor can open. With ``added`` it is used as it was loaded, so that
+    the string of an added token in a text has that token's id.
     """
     def run(batches):
         from pyspark import TaskContext
 
-        tokens = _tokens(tokenizer)
+        tokens = _tokens(tokenizer, added)
         packer = Packer(capacity, pool, TaskContext.get().partitionId() << 36, with_ids)
 
         def batch():
@@ -278,5 +304,5 @@ def packed(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, pool:
 
 
 def digest(documents: DataFrame, tokenizer: str) -> DataFrame:
-    """Pieces without their ids."""
-    return packed(documents, tokenizer, with_ids=False).drop("ids")
+    """Pieces without their ids, by the tokenizer as it was loaded."""
+    return packed(documents, tokenizer, with_ids=False, added=True).drop("ids")

@@ -102,3 +102,33 @@ def test_empty_null_and_repeated_rows(spark):
     assert packing.packed(spark.createDataFrame([], schema), tokenizer_path()).count() == 0
     rows = packing.packed(spark.createDataFrame([(None, None), (1, "a"), (1, "a")], schema), tokenizer_path()).collect()
     assert sorted(r.length for r in rows) == [1, 2, 2] and sum(r.doc_id is None for r in rows) == 1
+
+
+@pytest.fixture(scope="module")
+def as_loaded():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+E = "<|endoftext|>"
+ADDED = [*TEXTS, E, E + E, f"a  {E}  b", f"x\n{E}\ny", f"don{E}'t <|endoftext| {E[1:]} {E}", f"{E} a", f"a {E}", "<|endof" + E + "text|>"]
+
+
+@given(st.lists(st.lists(st.sampled_from([E, E[:5], E[5:], " ", "  ", "\n", "a", "'s", "\u00a0", "1", "."]), max_size=10).map("".join),
+                min_size=1, max_size=4))
+@settings(max_examples=300, deadline=None)
+def test_added_tokens_as_loaded(as_loaded, many):
+    many = many + ADDED
+    got = packing._tokens(tokenizer_path(), True).encode([(t or "").encode() for t in many])
+    assert [g.tolist() for g in got] == [as_loaded.encode(t or "", add_special_tokens=False).ids + [1] for t in many]
+
+
+def test_digest_uses_the_tokenizer_as_loaded(spark, as_loaded):
+    texts = dict(enumerate(ADDED))
+    rows = packing.digest(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), tokenizer_path()).collect()
+    want = {k: as_loaded.encode(t or "", add_special_tokens=False).ids + [1] for k, t in texts.items()}
+    assert {r.doc_id for r in rows} == set(texts)
+    for r in rows:
+        assert r.doc_tokens == len(want[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes())
