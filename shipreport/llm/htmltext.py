@@ -28,6 +28,8 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 
 #: Elements whose content is no text of the page.
 SILENT = frozenset(("script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "object", "select"))
+#: Those of them that hold no tags; without an end they go on to the end of the page.
+RAW = frozenset(("script", "style", "title", "textarea", "iframe"))
 #: Elements that begin and end a block.
 BLOCK = frozenset(
     ("address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "div",
@@ -91,6 +93,50 @@ class _Open:
         self.item = (above.item if above else False) or tag in ("li", "td", "th", "dt", "dd")
 
 
+def _close(page: str, tag: str, at: int) -> int | None:
+    close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+    return close.end() if close else None
+
+
+def _after_silent(page: str, tag: str, at: int, stack: list[_Open]) -> int:
+    """Where the page goes on after a silent element that begins before ``at``.
+
+    Without its end tag an element that is not RAW ends where the block around it does; an
+    svg then ends before the first block inside it, as in browsers.
+    """
+    if tag in RAW:
+        return _close(page, tag, at) or len(page)
+    around = {o.tag for o in stack}
+    inside: list[str] = []
+    depth, drawn, first = 1, 0, None
+    for_html = ("foreignobject", "desc", "title")
+    while found := _TOKEN.search(page, at):
+        at = found.end()
+        if found[2] is None:
+            continue
+        name, closed = found[2].lower(), found[3].rstrip().endswith("/")
+        if name == tag and not (tag == "svg" and closed):
+            depth += -1 if found[1] else tag != "select"
+            if not depth:
+                return at
+        elif found[1]:
+            if name in inside:
+                while inside.pop() != name:
+                    pass
+            elif name in around:
+                return first if first is not None else found.start()
+            drawn -= name in for_html and drawn > 0
+        elif name in ("script", "style", "textarea", "iframe") and not (tag == "svg" and closed):
+            at = _close(page, name, at) or len(page)
+        elif name in BLOCK and name not in VOID:
+            if tag == "svg" and first is None and not drawn:
+                first = found.start()
+            inside.append(name)
+        elif name in for_html:
+            drawn += not closed
+    return first if first is not None else len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order; blocks without text are left out."""
     out: list[Block] = []
@@ -139,8 +185,8 @@ def blocks(page: str) -> list[Block]:
                         break
             continue
         if tag in SILENT:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = close.end() if close else end
+            if tag != "svg" or not found[3].rstrip().endswith("/"):
+                at = _after_silent(page, tag, at, stack)
             if tag == "select":
                 say(" ")
             continue

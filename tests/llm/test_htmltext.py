@@ -45,6 +45,22 @@ def test_layouts(page, want):
     assert one(page) == [" ".join(w.split()) for w in want]
 
 
+@pytest.mark.parametrize("page,want", [
+    (f"<article><h1>T <svg class='i'/></h1><p>{TEXT}</p></article>", ["T", TEXT]),
+    (f"<article><svg viewBox='0 0 1 1' /><p>{TEXT}</p><p>b <svg><path d='M0'/><text>no</text></svg>c</p></article>", [TEXT, "b c"]),
+    (f"<article><div><object data=x></div><p>{TEXT}</p><p>b <object>no</object>c</p></article>", [TEXT, "b c"]),
+    (f"<article><p><object data=x><p>no</p></object>b</p><p>{TEXT}</p></article>", ["b", TEXT]),
+    (f"<article><div><select><option>no</div><p>{TEXT}</p></article>", [TEXT]),
+    (f"<article><div><svg><path></div><p>{TEXT}</p></article>", [TEXT]),
+    (f"<article><svg><path><p>{TEXT}</p></article>", [TEXT]),
+    (f"<article><p>{TEXT}<svg><svg/><style>a::after {{ content: '</p>' }}</style><svg><g>no</g></svg>no</svg></p><p>b</p></article>", [TEXT, "b"]),
+    (f"<article><p>{TEXT}<svg><foreignObject><div>no</div></foreignObject><title>no</title></svg></p></article>", [TEXT]),
+    (f"<article><p>{TEXT}</p></article><textarea><p>{TEXT}</p>", [TEXT]),
+])
+def test_silent_elements_without_an_end(page, want):
+    assert one(page) == [" ".join(w.split()) for w in want]
+
+
 def test_odd_rows(spark):
     long = f"<article><p>{TEXT * 20000}</p></article>"
     df = spark.createDataFrame([(1, "u", None, 5), (1, "u", "", 5), (None, None, f"<article><p>{TEXT}</p></article>", 5), (3, "v", long, 5)],
