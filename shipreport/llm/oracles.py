@@ -88,10 +88,30 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, l.component AS component_id, vec_id
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id JOIN least_of l ON l.a = e.vec_id
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+         FROM embeddings
+         WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+     scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                       CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+                FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+     pos AS (SELECT anchor_id, id, score FROM scored WHERE same
+             QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+     neg AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS rank
+             FROM pos p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+                  AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5
+"""
+
 ORACLES = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_decontamination": DECONTAMINATION,
     "op4_chat_formatting": CHAT_FORMATTING,
     "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op9_ngram_jaccard": NGRAM_JACCARD,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shipreport.llm import chat, decontamination, embeddings, htmltext, jaccard, language, packing, quality, substring, toxicity
+from shipreport.llm import (
+    chat, decontamination, embeddings, htmltext, jaccard, language, negatives, packing, quality, substring, toxicity)
 from shipreport.llm.common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +84,8 @@ def op9_ngram_jaccard(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    return negatives.digest(table(spark, sf_dir, "embeddings"))
