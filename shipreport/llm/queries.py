@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shipreport.llm import (
-    chat, decontamination, embeddings, htmltext, jaccard, language, negatives, packing, quality, substring, toxicity)
+    alignment, chat, decontamination, embeddings, htmltext, jaccard, language, negatives, packing, quality, substring, toxicity)
 from shipreport.llm.common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def tokenizer_path() -> str:
     return os.environ.get("TOKENIZER_FILE") or public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The piece model, on every machine at the same place; PIECE_MODEL_FILE names another."""
+    import public_tokenizers
+
+    return os.environ.get("PIECE_MODEL_FILE") or public_tokenizers.path("piece_bpe_32k.model")
+
+
 def query(fn: Query) -> Query:
     def run(spark, sf_dir):
         small_batches(spark)
@@ -89,3 +96,8 @@ def op10_packing(spark, sf_dir):
 @query
 def op11_hard_negatives(spark, sf_dir):
     return negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    return alignment.digest(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
