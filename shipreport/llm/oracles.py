@@ -107,6 +107,29 @@ WITH v AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 5
 """
 
+SUFFIX_ARRAY_DEDUP = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     -- Strides of 4,096 bytes, as DuckDB reads a text from its beginning to each place.
+     c AS (SELECT doc_id, h, 4096 * unnest(range(0, len(h) // 8192 + 1)) AS base FROM h),
+     s AS (SELECT doc_id, base, substr(h, 2 * base + 1, 8192 + 198) AS part FROM c),
+     wins AS (SELECT doc_id, base + o AS p, md5(substr(part, 2 * o + 1, 200)) AS win
+              FROM (SELECT doc_id, base, part, unnest(range(0, least(4096, len(part) // 2 - 99))) AS o FROM s)),
+     gone AS (SELECT doc_id, p FROM wins
+              QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, p) > 1),
+     starts AS (SELECT doc_id, p, p > coalesce(max(p) OVER before, -200) + 100 AS new FROM gone
+                WINDOW before AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+     numbered AS (SELECT doc_id, p, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS i FROM starts),
+     spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, i),
+     around AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS b0 FROM spans),
+     left_over AS (SELECT doc_id, string_agg(substr(h, 2 * b0 + 1, 2 * (a - b0)), '' ORDER BY a) AS k, max(b) AS e,
+                          sum(b - a) AS n_removed, count(*) AS n_spans
+                   FROM around JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(e, 0) + 1))) AS kept_sha256
+FROM h LEFT JOIN left_over USING (doc_id)
+"""
+
 ORACLES = {
     "op1_substring_dedup": SUBSTRING_DEDUP,
     "op3_decontamination": DECONTAMINATION,
@@ -114,4 +137,5 @@ ORACLES = {
     "op7_embedding_near_dedup": EMBEDDING_NEAR_DEDUP,
     "op9_ngram_jaccard": NGRAM_JACCARD,
     "op11_hard_negatives": HARD_NEGATIVES,
+    "op13_suffix_array_dedup": SUFFIX_ARRAY_DEDUP,
 }

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shipreport.llm import (
-    alignment, chat, decontamination, embeddings, htmltext, jaccard, language, negatives, packing, quality, substring, toxicity)
+    alignment, chat, decontamination, embeddings, htmltext, jaccard, language, negatives, packing, quality, substring, suffixes,
+    toxicity)
 from shipreport.llm.common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +102,8 @@ def op11_hard_negatives(spark, sf_dir):
 @query
 def op12_cross_tokenizer_alignment(spark, sf_dir):
     return alignment.digest(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())
+
+
+@query
+def op13_suffix_array_dedup(spark, sf_dir):
+    return suffixes.digest(table(spark, sf_dir, "documents"))
