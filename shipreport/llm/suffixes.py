@@ -8,7 +8,7 @@ repeat covers is removed; windows are judged on the input.
    hash is its anchor. Equal windows have equal anchors at equal places, and neighbouring
    windows share theirs, so a text has about one run of windows with one anchor in 40 bytes. A
    run is the suffix that starts at its first window, as long as its windows reach. Only
-   anchors that occur twice matter; they are counted by Spark with map-side partials.
+   anchors that occur twice matter: they are range-partitioned and neighbours compared.
 2. **Buckets.** Runs are range-partitioned by their anchor's leading bytes, then its hash, the
    document and the place, with splitters that Spark samples. Document and place are part of
    the key, so an anchor that a third of all rows share is dealt over many buckets.
@@ -20,7 +20,7 @@ repeat covers is removed; windows are judged on the input.
    anchors that begin or end a block, or fill more than one, may have their first occurrence in
    another: those not yet found to be repeats become suffixes of their own, range-partitioned by
    all their bytes, document and place. A bucket then compares neighbours again, and its first
-   and last windows are compared with those of all other buckets through one row a bucket.
+   windows are compared with the last window of each other bucket, one row a bucket.
 
 Texts are shuffled once, by row, and read from there for steps 2 and 4. A NULL text is empty. Rows
 with a NULL id neither lose bytes nor take any. Rows that repeat an id are different documents
@@ -32,10 +32,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shipreport.llm.common import kept, partitions, texts
+from shipreport.llm.common import partitions, texts
 from shipreport.llm.words import mix, pieces
 
 WINDOW = 100
@@ -141,12 +142,14 @@ def multikey(chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray, apart:
     """Multikey quicksort of strings, for those that are not alone.
 
     String i is the ``lengths[i]`` bytes from ``starts[i]`` on; strings with different ``apart``
-    or lengths are different. Returns the numbers of the strings that equal another, equal ones
-    together, and the class of each.
+    (a hash, which only saves work) or lengths are different. Returns the numbers of the strings
+    that equal another, equal ones together, and the class of each.
     """
-    order = np.lexsort((lengths, apart))
-    of = _classes(apart[order], lengths[order])
-    order, of = _shared(order, of)
+    order = np.argsort(apart, kind="stable")
+    order, of = _many(order, _classes(apart[order]))
+    by = np.lexsort((lengths[order], of))
+    order, of = order[by], of[by]
+    order, of = _many(order, _classes(of, lengths[order]))
     done_order, done_of, depth, shift = [], [], 0, 0
     while len(order):
         # The last character overlaps the one before it, so no byte beyond the string is read.
@@ -166,7 +169,7 @@ def multikey(chars: np.ndarray, starts: np.ndarray, lengths: np.ndarray, apart:
             key = np.where(short, key >> ((8 - np.minimum(lengths[order], 8)) * 8).astype(np.uint64), key)
         by = np.lexsort((key, of))
         order, key, of = order[by], key[by], of[by]
-        order, of = _shared(order, _classes(of, key))
+        order, of = _many(order, _classes(of, key))
         depth += 8
     if not done_order:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -181,7 +184,7 @@ def _classes(*columns: np.ndarray) -> np.ndarray:
     return np.cumsum(new)
 
 
-def _shared(order: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _many(order: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Without those that are alone in their class."""
     many = np.bincount(of)[of] > 1 if len(of) else np.empty(0, bool)
     return order[many], of[many]
@@ -203,7 +206,7 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
     """The distinct anchors of each row, with whether the row has them more than once."""
     def run(batches):
         for batch in batches:
-            ids, variants = batch.column("doc_id").to_numpy(), batch.column("variant").to_numpy()
+            ids = batch.column("doc_id").to_numpy()
             for low, _, held in pieces(texts(batch), _TEXT_BYTES):
                 found = Runs(held, window)
                 by = np.lexsort((found.anchor, found.text))
@@ -211,26 +214,57 @@ def _anchors(rows: DataFrame, window: int) -> DataFrame:
                 new = np.ones(len(text), bool)
                 new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
                 at = np.flatnonzero(new)
-                twice = (np.diff(np.append(at, len(text))) > 1) | inner[at]
-                text = text[at] + low
+                twice = np.logical_or.reduceat(inner, at) if len(at) else inner
+                twice |= np.diff(np.append(at, len(text))) > 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[text], pa.int64()), pa.array(variants[text]), pa.array(anchor[at]), pa.array(twice)],
-                    names=["doc_id", "variant", "anchor", "twice"])
+                    [pa.array(ids[text[at] + low], pa.int64()), pa.array(anchor[at]), pa.array(twice)],
+                    names=["doc_id", "anchor", "twice"])
 
-    return rows.mapInArrow(run, "doc_id bigint, variant int, anchor bigint, twice boolean")
+    return rows.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "doc_id bigint, anchor bigint, twice boolean")
+
+
+def _shared(anchors: DataFrame) -> DataFrame:
+    """Of anchors in order, those that occur twice, or may: a bucket's first and last could go on in others."""
+    def run(batches):
+        held, before = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            doc, anchor, twice = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "anchor", "twice"))
+            if held:
+                doc, anchor, twice = (np.concatenate([x, y]) for x, y in zip(held, (doc, anchor, twice)))
+            same = anchor[1:] == anchor[:-1]
+            found = twice[:-1] | same
+            found[1:] |= same[:-1]
+            if len(found):
+                found[0] |= before is None or before == anchor[0]
+                before = anchor[-2]
+            yield rows(doc[:-1][found], anchor[:-1][found])
+            held = (doc[-1:], anchor[-1:], twice[-1:])
+        if held:
+            yield rows(held[0], held[1])
+
+    def rows(doc, anchor):
+        return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(anchor, pa.int64())], names=["doc_id", "anchor"])
+
+    return anchors.mapInArrow(run, "doc_id bigint, anchor bigint")
 
 
 def _suffixes(probes: DataFrame, window: int) -> DataFrame:
     """The runs with an anchor that occurs elsewhere: where they are, and their bytes."""
     def run(batches):
         for batch in batches:
-            ids, variants = batch.column("doc_id").to_numpy(), batch.column("variant").to_numpy()
+            # Rows without an id have a key that may be another's id, but no anchors of their own.
+            ids, variants = batch.column("doc_id").to_pylist(), batch.column("variant").to_numpy()
+            named = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            ids = np.array([0 if i is None else i for i in ids], np.int64)
             shared = batch.column("anchors")
             bounds, values = shared.offsets.to_numpy(), shared.values.to_numpy()
             bounds, values = bounds - bounds[0], values[bounds[0]:bounds[-1]]
             for low, high, held in pieces(texts(batch), _TEXT_BYTES):
                 own = np.diff(bounds[low:high + 1])
-                found = Runs([t if k else b"" for t, k in zip(held, own)], window)
+                known = own * named[low:high]
+                found = Runs([t if k else b"" for t, k in zip(held, known)], window)
                 if not len(found.text):
                     continue
                 every, inverse = np.unique(values[bounds[low]:bounds[high]], return_inverse=True)
@@ -275,8 +309,12 @@ def _block(rows: pa.Table, window: int, open_anchors: set[int]):
     column = lambda c: rows.column(c).to_numpy()
     anchor, doc, variant, place = column("anchor"), column("doc_id"), column("variant").astype(np.int64), column("place").astype(np.int64)
     chars = characters(data)
+    up, down = _Powers.to(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[np.frombuffer(data, np.uint8)] * up[:-1], out=sums[1:])
+    hashes = lambda a, b: mix((sums[b] - sums[a]) * down[a], 31)
     gone = np.zeros(len(anchor), bool)
-    order, of = multikey(chars, starts, lengths, anchor)
+    order, of = multikey(chars, starts, lengths, hashes(starts, starts + lengths))
     if len(order):
         by, late = _late(of, doc[order], variant[order], place[order])
         gone[order[by[late]]] = True
@@ -292,7 +330,7 @@ def _block(rows: pa.Table, window: int, open_anchors: set[int]):
     step = np.arange(len(of_run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     run = stay[of_run]
     begin = starts[run] + step
-    order, of = multikey(chars, begin, np.full(len(begin), window, np.int64), anchor[run])
+    order, of = multikey(chars, begin, np.full(len(begin), window, np.int64), hashes(begin, begin + window))
     repeat = np.zeros(len(begin), bool)
     if len(order):
         by, late = _late(of, doc[run[order]], variant[run[order]], place[run[order]] + step[order])
@@ -333,70 +371,74 @@ def _bucket(suffixes: DataFrame, window: int) -> DataFrame:
     return suffixes.mapInArrow(run, _FOUND + ", bytes binary")
 
 
-def _across(opened: DataFrame) -> DataFrame:
-    """Step 4: of single windows in order, the repeats (no bytes), and what other buckets must know.
+def _across(found: DataFrame) -> DataFrame:
+    """Step 4: of ranges and single windows in order, the ranges that are repeats, and what other
+    buckets must know.
 
     Rows with bytes and no ``head`` are windows of the bucket's first class that no window before
     them in the bucket settles. The row with bytes and ``head`` is the bucket's last window,
     with the first document of its class in the bucket.
     """
-    def batch(found):
-        columns = list(zip(*found)) or [[]] * 5
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                          names=["doc_id", "variant", "first", "bytes", "head"])
+    names = ["doc_id", "variant", "first", "last", "bytes", "head"]
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
+
+    def batch(rows):
+        columns = list(zip(*rows)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     def run(batches):
         text = head = before = None
         n_classes = 0
         for rows in batches:
-            out = []
+            out, single = [], rows.column("bytes").is_valid()
+            ranges = rows.filter(pc.invert(single))
+            if ranges.num_rows:
+                yield ranges.select(names[:5]).append_column("head", pa.nulls(ranges.num_rows, pa.int64()))
+            rows = rows.filter(single)
             for raw, doc, variant, place in zip(*(rows.column(c).to_pylist() for c in ("bytes", "doc_id", "variant", "first"))):
                 if raw != text:
                     text, head, before = raw, doc, None
                     n_classes += 1
                 if doc > head or before == (doc, variant):
-                    out.append((doc, variant, place, None, None))
+                    out.append((doc, variant, place, place, None, None))
                 elif n_classes == 1:
-                    out.append((doc, variant, place, raw, None))
+                    out.append((doc, variant, place, place, raw, None))
                 before, last = (doc, variant), place
             yield batch(out)
         if text is not None:
-            yield batch([(*before, last, text, head)])
-
-    return opened.mapInArrow(run, "doc_id bigint, variant int, first int, bytes binary, head bigint")
-
-
-def repeats(named: DataFrame, window: int) -> DataFrame:
-    """Windows that are repeats, of (doc_id, variant, text): ranges of first to last."""
-    row = ["doc_id", "variant"]
-    n = partitions(named.sparkSession)
-    anchors = _anchors(named, window)
-    shared = kept(anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.max("twice").alias("twice"))
-                  .where("n > 1 OR twice").select("anchor"))
-    of_row = anchors.select(*row, "anchor").join(shared, "anchor").groupBy(*row).agg(F.collect_set("anchor").alias("anchors"))
-    # The caller joins these rows with what is found by the same columns, so Spark shuffles texts once.
-    probes = named.join(of_row, row, "left").withColumn("anchors", F.coalesce("anchors", F.array().cast("array<bigint>")))
-    keys = ["lead", "anchor", "doc_id", "place"]
-    suffixes = _suffixes(probes, window).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    found = _bucket(suffixes, window)
-    keys = ["bytes", "doc_id", "variant", "first"]
-    opened = found.where("bytes IS NOT NULL").select(*keys).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    # First by window, document and row, so that a class has one line a bucket and row; then by window.
-    lines = _across(opened).groupBy(F.col("bytes").isNull().alias("settled"), F.coalesce("bytes", F.lit(b"")).alias("bytes"), *row).agg(
-        F.collect_list(F.expr("CASE WHEN head IS NULL THEN first END")).alias("open"), F.min("head").alias("head"),
-        F.min(F.expr("CASE WHEN head IS NOT NULL THEN first END")).alias("before"))
-    apart = F.when(F.col("settled"), F.struct("doc_id", "variant"))
-    classes = lines.groupBy("settled", "bytes", apart.alias("apart")).agg(
-        F.min("head").alias("earliest"), F.collect_list(F.struct(*row, "open", "before")).alias("rows"))
-    single = classes.selectExpr("settled", "earliest", "inline(rows)").selectExpr(
-        "settled", "earliest", *row, "before", "explode(open) AS first").where(
-        "settled OR earliest < doc_id OR before < first").select(*row, "first")
-    return found.where("bytes IS NULL").drop("bytes").unionByName(single.withColumn("last", F.col("first")))
+            yield batch([(*before, last, last, text, head)])
+
+    return found.mapInArrow(run, _FOUND + ", bytes binary, head bigint")
+
+
+def repeats(rows: DataFrame, window: int) -> DataFrame:
+    """Windows that are repeats, by document: (key, found), a list of (variant, first, last).
+
+    ``rows`` has key, doc_id, variant, and text; what else it has is not looked at. The key is the
+    document's id where there is one.
+    """
+    n = partitions(rows.sparkSession)
+    in_order = lambda df, *keys: df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    of_row = _shared(in_order(_anchors(rows, window), "anchor", "doc_id")).groupBy(F.col("doc_id").alias("key")).agg(
+        F.collect_set("anchor").alias("anchors"))
+    # The caller joins the same rows by the same column, so that Spark shuffles texts once.
+    probes = rows.join(of_row, "key", "left").withColumn("anchors", F.coalesce("anchors", F.array().cast("array<bigint>")))
+    found = _bucket(in_order(_suffixes(probes, window), "lead", "anchor", "doc_id", "place"), window)
+    lines = _across(in_order(found, "bytes", "doc_id", "variant", "first"))
+    # Ranges are gathered by document, and what buckets must know of each other by window: at
+    # most a line for each bucket and row of the first document.
+    key = F.coalesce("bytes", F.concat(F.lit("doc"), F.col("doc_id").cast("string")).cast("binary"))
+    group = lines.groupBy(F.col("bytes").isNull().alias("settled"), key.alias("key")).agg(
+        F.min("head").alias("earliest"),
+        F.collect_list(F.expr("CASE WHEN head IS NULL THEN struct(doc_id, variant, first, last) END")).alias("rows"),
+        F.collect_list(F.expr("CASE WHEN head IS NOT NULL THEN struct(doc_id, variant, first) END")).alias("ends"))
+    late = F.expr("CASE WHEN settled THEN rows ELSE filter(rows, r -> earliest < r.doc_id OR exists(ends, "
+                  "e -> e.doc_id = r.doc_id AND e.variant = r.variant AND e.first < r.first)) END")
+    return group.select(F.inline(late)).groupBy(F.col("doc_id").alias("key")).agg(F.collect_list(F.struct("variant", "first", "last")).alias("found"))
 
 
 def _finished(joined: DataFrame, window: int) -> DataFrame:
-    schema = joined.drop("found").selectExpr(
+    schema = joined.select("text", "rest").selectExpr(
         "*", "0L AS n_bytes", "0L AS n_removed", "0L AS n_spans", "CAST('' AS BINARY) AS kept",
         "CAST(NULL AS array<struct<start:int,length:int>>) AS spans").schema
 
@@ -404,10 +446,9 @@ def _finished(joined: DataFrame, window: int) -> DataFrame:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
         for batch in batches:
             held = [t or b"" for t in texts(batch)]
-            found = batch.column("found")
             sizes, removed, left, spans = [], [], [], []
-            for text, ranges in zip(held, found):
-                own = _spans(ranges, window)
+            for text, found, variant, doc in zip(held, batch.column("found"), *(batch.column(c).to_pylist() for c in ("variant", "doc_id"))):
+                own = [] if doc is None else _spans(found, variant, window)
                 parts, at = [], 0
                 for start, end in own:
                     parts.append(text[at:start])
@@ -417,19 +458,22 @@ def _finished(joined: DataFrame, window: int) -> DataFrame:
                 left.append(b"".join([*parts, text[at:]]))
                 spans.append([{"start": a, "length": b - a} for a, b in own])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in schema.names[:-5]), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
+                [batch.column("text"), batch.column("rest"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
                  pa.array([len(s) for s in spans], pa.int64()), pa.array(left, pa.binary()), pa.array(spans, kind)],
                 names=schema.names)
 
     return joined.mapInArrow(run, schema)
 
 
-def _spans(ranges: pa.Scalar, window: int) -> list[tuple[int, int]]:
-    """The maximal stretches of bytes that ranges of windows cover."""
-    if not ranges.is_valid or not len(ranges.values):
+def _spans(found: pa.Scalar, variant: int, window: int) -> list[tuple[int, int]]:
+    """The maximal stretches of bytes that a row's windows cover."""
+    if not found.is_valid:
+        return []
+    of, first, last = (found.values.field(c).to_numpy() for c in ("variant", "first", "last"))
+    own = of == variant
+    if not own.any():
         return []
-    first = ranges.values.field("first").to_numpy().astype(np.int64)
-    end = ranges.values.field("last").to_numpy().astype(np.int64) + window
+    first, end = first[own].astype(np.int64), last[own].astype(np.int64) + window
     by = np.argsort(first, kind="stable")
     first, end = first[by], np.maximum.accumulate(end[by])
     new = np.flatnonzero(np.append(True, first[1:] > end[:-1]))
@@ -441,17 +485,13 @@ def parsed(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     length of what goes, in bytes). Columns of these names are replaced."""
     new = ("n_bytes", "n_removed", "n_spans", "kept", "spans")
     own = [c for c in documents.columns if c not in new]
+    # A row is known by its id and a hash of its text, which tells rows that repeat an id apart.
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("variant"), F.col("text").alias("text"),
-        F.struct(F.lit(0).alias("_"), *[c for c in own if c != "text"]).alias("rest"))
-    # A row is known by its id and a hash of its text, which tells rows that repeat an id apart.
-    row = ["doc_id", "variant"]
-    named = rows.where("doc_id IS NOT NULL")
-    found = repeats(named.where("text IS NOT NULL").select(*row, "text"), window)
-    of_row = found.groupBy(*row).agg(F.collect_list(F.struct("first", "last")).alias("found"))
-    joined = named.join(of_row, row, "left")
-    nameless = rows.where("doc_id IS NULL").withColumn("found", F.lit(None).cast(joined.schema["found"].dataType))
-    done = _finished(joined.unionByName(nameless).select("text", "rest", "found"), window)
+        F.struct(*[c for c in own if c != "text"]).alias("rest"))
+    # Rows without an id are dealt by their text, so that they are not one group.
+    rows = rows.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
+    done = _finished(rows.join(repeats(rows, window), "key", "left"), window)
     return done.select(*[F.col("text") if c == "text" else F.col("rest").getField(c).alias(c) for c in own], *new)
 
 
