@@ -193,13 +193,13 @@ def _many(order: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _late(of: np.ndarray, doc: np.ndarray, variant: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order by class, document and place, and which strings then have an earlier equal one."""
     by = np.lexsort((place, variant, doc, of))
-    of, doc, variant = of[by], doc[by], variant[by]
+    of, doc, variant, place = of[by], doc[by], variant[by], place[by]
     new = np.ones(len(of), bool)
     new[1:] = of[1:] != of[:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(len(of)), 0))
-    again = np.zeros(len(of), bool)
-    again[1:] = ~new[1:] & (doc[1:] == doc[:-1]) & (variant[1:] == variant[:-1])
-    return by, (doc > doc[head]) | again
+    new[1:] |= (doc[1:] != doc[:-1]) | (variant[1:] != variant[:-1])
+    own = np.maximum.accumulate(np.where(new, np.arange(len(of)), 0))
+    return by, (doc > doc[head]) | (place > place[own])  # equal rows have equal places
 
 
 def _anchors(rows: DataFrame, window: int) -> DataFrame:
@@ -377,7 +377,7 @@ def _across(found: DataFrame) -> DataFrame:
 
     Rows with bytes and no ``head`` are windows of the bucket's first class that no window before
     them in the bucket settles. The row with bytes and ``head`` is the bucket's last window,
-    with the first document of its class in the bucket.
+    with the first document of its class in the bucket and the first place of its own row.
     """
     names = ["doc_id", "variant", "first", "last", "bytes", "head"]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64())
@@ -387,7 +387,7 @@ def _across(found: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     def run(batches):
-        text = head = before = None
+        text = head = row = place = None
         n_classes = 0
         for rows in batches:
             out, single = [], rows.column("bytes").is_valid()
@@ -395,18 +395,19 @@ def _across(found: DataFrame) -> DataFrame:
             if ranges.num_rows:
                 yield ranges.select(names[:5]).append_column("head", pa.nulls(ranges.num_rows, pa.int64()))
             rows = rows.filter(single)
-            for raw, doc, variant, place in zip(*(rows.column(c).to_pylist() for c in ("bytes", "doc_id", "variant", "first"))):
+            for raw, doc, variant, at in zip(*(rows.column(c).to_pylist() for c in ("bytes", "doc_id", "variant", "first"))):
                 if raw != text:
-                    text, head, before = raw, doc, None
+                    text, head, row = raw, doc, None
                     n_classes += 1
-                if doc > head or before == (doc, variant):
-                    out.append((doc, variant, place, place, None, None))
+                if row != (doc, variant):
+                    row, place = (doc, variant), at
+                if doc > head or at > place:
+                    out.append((doc, variant, at, at, None, None))
                 elif n_classes == 1:
-                    out.append((doc, variant, place, place, raw, None))
-                before, last = (doc, variant), place
+                    out.append((doc, variant, at, at, raw, None))
             yield batch(out)
         if text is not None:
-            yield batch([(*before, last, last, text, head)])
+            yield batch([(*row, place, place, text, head)])
 
     return found.mapInArrow(run, _FOUND + ", bytes binary, head bigint")
 
