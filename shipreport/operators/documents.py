@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shipreport.functions.keywords import first_label, words_in
 from shipreport.functions.text import clean_type, norm_name, slice_match, strip
 
 Rules = Sequence[tuple[str, str]]
@@ -62,8 +63,14 @@ def first_match(conditions: Sequence[tuple[Column, str]], default: str | None =
     return result.otherwise(F.lit(default).cast("string"))
 
 
+# Up to so many rules one search a keyword is as fast as one pass for all.
+SINGLE_SEARCHES = 16
+
+
 def content_type(content: Column, rules: Rules, default: str | None = None) -> Column:
-    """The type by keywords in an upper-case text."""
+    """The type by keywords in an upper-case text; longer lists are looked for in one pass."""
+    if len(rules) > SINGLE_SEARCHES:
+        return first_label(content, rules, default)
     return first_match([(content.contains(word), label) for word, label in rules], default)
 
 
@@ -135,11 +142,24 @@ def keyword_flags(pages: DataFrame, keys: Sequence[str], text: str,
     if any("\n" in word for word in words.values()):
         raise ValueError("keywords must not hold line breaks")
     upper = F.upper(F.col(text))
-    seen = [F.coalesce(F.bool_or(upper.contains(word.upper())), F.lit(False)).alias(name)
-            for name, word in words.items()]
+    if len(words) > SINGLE_SEARCHES:
+        pages = pages.withColumn("_words", words_in(upper, [w.upper() for w in words.values()]))
+        holds = lambda word: F.array_contains("_words", word.upper())
+    else:
+        holds = lambda word: upper.contains(word.upper())
+    seen = [F.coalesce(F.bool_or(holds(word)), F.lit(False)).alias(name) for name, word in words.items()]
     return pages.groupBy(*keys).agg(*seen)
 
 
+def keyword_spread(docs: DataFrame, content: Column, words: Sequence[str]) -> DataFrame:
+    """How many documents hold each keyword, of those that any holds: (word, documents).
+
+    Each text is read once; the counts are partial before they are shuffled.
+    """
+    return docs.select(F.explode(words_in(content, words)).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("documents"))
+
+
 def _page_piece(text: str, form: str) -> tuple[Column, str]:
     """What a page adds to its document's text, and what stands between two pages."""
     present = F.coalesce(F.col(text), F.lit(""))

@@ -681,6 +681,21 @@ def oracles() -> dict[str, str]:
                 page_form("plain", "upper(replace(coalesce(text, ''), 'ß', 'ss'))", "''")]), "page"),
         "content_rules": f"""SELECT doc_id, {CONTENT_CASE} AS new_type
             FROM (SELECT doc_id, upper(text) AS content FROM documents)""",
+        # One search a word and text, whatever their number.
+        "keyword_list": """WITH letter AS (SELECT unnest(range(1, 11)) AS i),
+            word AS (SELECT 100 * (a.i - 1) + 10 * (b.i - 1) + c.i - 1 AS rule,
+                         substr('EISNRATULO', a.i, 1) || substr('EISNRATULO', b.i, 1) || substr('EISNRATULO', c.i, 1)
+                             || CASE c.i % 2 WHEN 1 THEN 'X' ELSE 'Q' END AS word
+                     FROM letter a, letter b, letter c),
+            content AS (SELECT doc_id, upper(replace(text, 'ß', 'ss')) AS content FROM documents)
+            SELECT d.doc_id, CAST(min(w.rule) AS INTEGER) AS rule,
+                CASE WHEN min(w.rule) IS NULL THEN 'Others' ELSE 'Type ' || (min(w.rule) % 7) END AS new_type
+            FROM content d LEFT JOIN word w ON contains(d.content, w.word) GROUP BY d.doc_id""",
+        "keyword_spread": """WITH letter AS (SELECT unnest(string_split('E,I,N,R,S,T', ',')) AS x),
+            word AS (SELECT a.x || b.x AS word FROM letter a, letter b
+                     UNION ALL SELECT a.x || b.x || c.x FROM letter a, letter b, letter c),
+            content AS (SELECT upper(replace(text, 'ß', 'ss')) AS content FROM documents)
+            SELECT word, count(*) AS documents FROM content JOIN word ON contains(content, word) GROUP BY word""",
         "content_rules_listed": f"""SELECT doc_id, CASE WHEN contains(content, 'PERMIT NO') THEN 'Export Customs'
                 WHEN contains(content, 'CONTRACT OF PURCHASE AND SALE') THEN 'Commercial Invoice'
                 WHEN contains(content, 'DECLARATION') THEN 'Others'

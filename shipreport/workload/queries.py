@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipreport.functions import dates, text
+from shipreport.functions import dates, keywords, text
 from shipreport.operators import charges, documents, filters, joins, lookups, stacking
 from shipreport.plans import invoices, sorting, weight
 from shipreport.plans.common import MASTER, SHIPMENT, houses_of
@@ -518,6 +518,20 @@ def older_rules_listed(r):
     return r.keyworded_texts().select("doc_id", found.alias("new_type"))
 
 
+@query
+def keyword_list(r):
+    """A list of 1,000 rules over every text, in one pass."""
+    content = F.col("content")
+    return _texts(r).select("doc_id", keywords.first_rule(content, roles.LONG_RULES).alias("rule"),
+                            documents.content_type(content, roles.LONG_RULES, "Others").alias("new_type"))
+
+
+@query
+def keyword_spread(r):
+    """How many documents hold each of 252 keywords, of which some begin others."""
+    return documents.keyword_spread(_texts(r), F.col("content"), roles.SHORT_WORDS)
+
+
 @query
 def name_equals_key(r):
     match = documents.name_equals_key(F.col("file_name"), F.col("house_no"))

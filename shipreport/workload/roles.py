@@ -8,6 +8,7 @@ masters and missing milestones, so that the filters have something to do.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ TEXT_RULES = (
 KEYWORDS = ("PERMIT NO", "CONTRACT OF PURCHASE AND SALE", "DECLARATION", "COMMERCIAL INVOICE", "TAX INVOICE",
             "PACKING LIST", "PACKING SLIP", "PACKING", "PACKLIST", "INVOICE", "ACME INVOICE", "PERMIT", "NOTHING")
 
+# Made-up keywords by rule: three letters and a fourth; two and three letters.
+LONG_RULES = tuple(("".join(letters) + "XQ"[i % 2], f"Type {i % 7}")
+                   for i, letters in enumerate(itertools.product("EISNRATULO", repeat=3)))
+SHORT_WORDS = tuple("".join(letters) for n in (2, 3) for letters in itertools.product("EINRST", repeat=n))
+
 
 def shaped(df: DataFrame, schema: str, columns: dict[str, str]) -> DataFrame:
     """Columns of a canonical schema from SQL expressions; the others are NULL."""
