@@ -14,8 +14,12 @@ from shipreport.plans.common import MASTER, SHIPMENT, houses_of
 from shipreport.plans.modes import AIR_MODES
 from shipreport.sources import contracts
 from shipreport.sources.changelog import change_log as log_rows
+from shipreport.sources.charge_store import ChargeStore
+from shipreport.sources.folders import shared_folder
+from shipreport.sources.layout import Laid, co_located, lay_out
 from shipreport.sources.reuse import holding
 from shipreport.sources.stations import run_sql
+from shipreport.streaming.sorting import document_stream, read_sorted, sort_stream
 from shipreport.workload import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -296,6 +300,33 @@ def house_bill_by_mode(r):
     return joins.fan_out(rows, bills, SHIPMENT)
 
 
+def _laid(r, rows, keys, date=None) -> Laid:
+    folder = shared_folder(r.spark, "laid")
+    name = "laid_" + folder.rsplit("-", 1)[1]
+    return lay_out(rows, name, folder, keys, int(r.spark.conf.get("spark.sql.shuffle.partitions")), date)
+
+
+@query
+def bucketed_header_lines(r):
+    """``header_lines`` over tables in buckets of the invoice key."""
+    headers = _laid(r, _headers(r).select(*LINE_KEYS, "source_id", "invoice_date"), LINE_KEYS, "invoice_date")
+    return co_located(headers, _laid(r, _lines(r).select(*LINE_KEYS, "charge_id", "amount", "local_equiv"), LINE_KEYS))
+
+
+@query
+def bucketed_house_bills(r):
+    """``house_bill_by_mode`` over tables in buckets of the shipment key."""
+    rows = _laid(r, _headers(r).select(*SHIPMENT, "invoice_no", "amount"), SHIPMENT)
+    return co_located(rows, _laid(r, _houses(r).select(*SHIPMENT, "house_no", "gross_wt", "pcs"), SHIPMENT))
+
+
+@query
+def partitioned_date_range(r):
+    """``invoice_date_range`` from the folders of its months."""
+    rows = _laid(r, _headers(r).select(*LINE_KEYS, "source_id", "invoice_date"), LINE_KEYS, "invoice_date")
+    return rows.between("invoice_date", roles.START, roles.END).select("source_id", "invoice_date")
+
+
 @query
 def on_condition_join(r):
     """House bills with those invoices that meet the conditions of the join."""
@@ -399,16 +430,36 @@ def top1_window(r):
 # Aggregations
 
 
+DIRECT_CHARGES = {
+    "freight": ("amount", [13]), "fuel": ("amount", [14]), "security": ("amount", [15]),
+    "origin_terminal": ("amount", [400]), "dest_terminal": ("amount", [5]),
+    "delivery": ("amount", [113]), "customs": ("amount", [1])}
+
+
 @query
 def charge_sum_direct(r):
-    sums = charges.charge_pivot(_lines(r), ["invoice_no", "station"], {
-        "freight": ("amount", [13]), "fuel": ("amount", [14]), "security": ("amount", [15]),
-        "origin_terminal": ("amount", [400]), "dest_terminal": ("amount", [5]),
-        "delivery": ("amount", [113]), "customs": ("amount", [1])})
+    sums = charges.charge_pivot(_lines(r), ["invoice_no", "station"], DIRECT_CHARGES)
     rows = _headers(r).select("source_id", "invoice_no", "station")
     return joins.attach(rows, sums, ["invoice_no", "station"]).drop("station")
 
 
+@query
+def charge_sum_stored(r):
+    """``charge_sum_direct`` from stored sums, brought up to date for the months that lines arrived in."""
+    headers = _headers(r).select("source_id", "invoice_no", "station", "invoice_date")
+    keys = ("invoice_no", "station")
+    lines = _lines(r).select(*keys, "charge_id", "amount")
+    early = headers.where(F.col("invoice_date") < roles.END).select(*keys)
+    # All lines of earlier invoices, and some of later ones, are there first.
+    first = joins.thinned(lines, early, keys).unionByName(
+        lines.join(early, list(keys), "left_anti").where("charge_id IN (13, 14)"))
+    store = ChargeStore(r.spark, shared_folder(r.spark, "charges"), keys, DIRECT_CHARGES)
+    store.refresh(headers, first)
+    arrived = lines.join(early, list(keys), "left_anti").where("charge_id NOT IN (13, 14)")
+    store.refresh(headers, lines, store.touched(headers, arrived))
+    return joins.attach(headers.select("source_id", *keys), store.read(), keys).drop("station")
+
+
 @query
 def charge_two_measures(r):
     measures = {}
@@ -619,3 +670,12 @@ def doc_sort_report(r):
     return sorting.doc_sort_report(
         r.shipments(), r.documents(), roles.SORT_DAY, roles.FORWARDER,
         roles.TEXT_RULES)
+
+
+@query
+def doc_sort_stream(r):
+    """``doc_sort_report`` as a stream over the document files."""
+    place = shared_folder(r.spark, "sorting")
+    sort_stream(document_stream(r.spark, r.path("documents")), r.documents, r.shipments(), roles.SORT_DAY, roles.FORWARDER,
+                f"{place}/log", f"{place}/checkpoint", "first", roles.TEXT_RULES)
+    return read_sorted(r.spark, f"{place}/log", "first")

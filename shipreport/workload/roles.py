@@ -68,6 +68,9 @@ class Roles:
             self._read[name] = self.stations.table(self.spark, STATION, name)
         return self._read[name]
 
+    def path(self, name: str) -> str:
+        return self.stations.master.replace("{table}", name)
+
     def invoice_header(self) -> DataFrame:
         return shaped(self.table("orders"), "invoice_header", {
             "source_id": "o_orderkey",
@@ -217,9 +220,9 @@ class Roles:
         return self.table("events").selectExpr(
             "'SHP' || upper(left(event_type, 3)) || event_id AS house_no", "ts AS etd")
 
-    def documents(self) -> DataFrame:
+    def documents(self, raw: DataFrame | None = None) -> DataFrame:
         """Documents of shipments, named after them, after a part of their number, or otherwise."""
-        rows = self.table("documents").selectExpr(
+        rows = (self.table("documents") if raw is None else raw).selectExpr(
             "doc_id", "7 * doc_id AS event_id", "text", "lang", "source")
         labels = self.table("labels").select("doc_id", "quality", "toxic")
         events = self.table("events").select("event_id", "event_type")
