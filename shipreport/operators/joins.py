@@ -2,10 +2,13 @@
 
 A right side that Catalyst itself takes for small (``spark.sql.autoBroadcastJoinThreshold``)
 is left to Catalyst, without a hint, so that adaptive execution may still decide otherwise.
-Any other join is a shuffle. Keys that hold more rows than a fair partition are then found
-by an exact count with map-side partials, of which only those keys come back: fewer than
-the number of partitions, by definition. They are spread over as many salts as their share
-asks for, and the other side is copied for those keys only.
+Any other join is a shuffle. Where the session lets adaptive execution split skewed
+partitions, it does so on every side that it can, and nothing is counted first. The rest,
+which is the inner side of an outer join, or every side without adaptive execution, is
+salted: keys that hold more rows than a fair partition are found by one exact count with
+map-side partials, of which only those keys come back: fewer than the number of partitions,
+by definition. They are spread over as many salts as their share asks for, and the other
+side is copied for those keys only.
 
 ``attach`` joins a dimension or a table with one or few rows per key, ``fan_out`` two large
 tables of which either may hold many rows per key, ``thinned`` leaves out rows that no key
@@ -17,10 +20,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A key of fewer rows than this is no burden for one task.
+# A key of fewer rows than this is no burden for one task. With 0 every side is counted.
 HOT_ROWS = 100_000
 # Salts of a key whose frame is not counted.
 SPREAD = 16
@@ -44,9 +47,9 @@ def _key_hash(on: Sequence[str]) -> Column:
 class Probe:
     """The hot keys of a frame, by hash, for all ``key_lists`` at once.
 
-    They are looked for when first asked for: one job counts the rows, and only if a key
-    can be hot at all a second one counts the keys. A report probes a frame that is cheap
-    to read, not the joins on top of it, and names all key lists it will ask for.
+    They are looked for when first asked for, by one job that counts rows and keys. A report
+    probes a frame that is cheap to read, not the joins on top of it, and names all key
+    lists it will ask for.
     """
 
     def __init__(self, df: DataFrame, *key_lists: Sequence[str]):
@@ -64,18 +67,33 @@ class Probe:
 
     def _search(self, lists: list[tuple[str, ...]]) -> None:
         partitions = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        if self._rows is None:
-            self._rows = self.df.count()
-        floor = max(HOT_ROWS, self._rows / partitions)
         self._hot |= {keys: [] for keys in lists}
-        if self._rows <= floor:
+        if self._rows is not None and self._rows <= max(HOT_ROWS, self._rows / partitions):
             return
+        # One job: the rows are counted on their way to the counts of the keys. No more keys than
+        # partitions can hold more than a partition's share, so no more come back.
+        seen = Observation()
         hashes = F.explode(F.array(*[
             F.struct(F.lit(i).alias("list"), _key_hash(k).alias("hash")) for i, k in enumerate(lists)]))
-        counts = self.df.select(hashes.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-        for row in counts.where(F.col("rows") > floor).collect():
-            salts = math.ceil(row["rows"] / self._rows * partitions)
-            self._hot[lists[row["key"]["list"]]].append((row["key"]["hash"], salts))
+        counts = (self.df.observe(seen, F.count(F.lit(1)).alias("rows")).select(hashes.alias("key"))
+                  .groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > HOT_ROWS))
+        found = counts.orderBy(F.desc("rows")).limit(partitions * len(lists)).collect()
+        self._rows = seen.get["rows"]
+        for row in found:
+            if row["rows"] > max(HOT_ROWS, self._rows / partitions):
+                salts = math.ceil(row["rows"] / self._rows * partitions)
+                self._hot[lists[row["key"]["list"]]].append((row["key"]["hash"], salts))
+
+
+def split_by_spark(df: DataFrame) -> bool:
+    """Adaptive execution splits what is hot on a side that a join may split, whatever joins follow.
+
+    It sees sizes when the rows are there, so nothing has to be counted first. It can split both
+    sides of an inner join, and the left one of a left, semi or anti join.
+    """
+    conf = df.sparkSession.conf
+    return HOT_ROWS > 0 and all(conf.get(f"spark.sql.adaptive.{name}", "false") == "true" for name in (
+        "enabled", "skewJoin.enabled", "forceOptimizeSkewedJoin"))
 
 
 def _probe(df: DataFrame, probe: Probe | None) -> Probe:
@@ -129,7 +147,7 @@ def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "lef
     """Join ``left`` to a dimension, or to a table with one or few rows per key."""
     on = list(on)
     _check_key_types(left, right, on)
-    if left_to_catalyst(right):
+    if split_by_spark(left) or left_to_catalyst(right):
         return left.join(right, on, how)
     return salted_join(left, right, on, how, _probe(left, probe).hot(on))
 
@@ -139,9 +157,12 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
     """Left or inner join in which many rows of either side may share a key."""
     on = list(on)
     _check_key_types(left, right, on)
-    if left_to_catalyst(right) or (how == "inner" and left_to_catalyst(left)):
+    by_spark = split_by_spark(left)
+    if (by_spark and how == "inner") or left_to_catalyst(right) or (how == "inner" and left_to_catalyst(left)):
         return left.join(right, on, how)
-    hot_left, hot_right = _probe(left, probe_left).hot(on), _probe(right, probe_right).hot(on)
+    # The inner side of a left join is the one that only a count can find hot.
+    hot_right = _probe(right, probe_right).hot(on)
+    hot_left = [] if by_spark else _probe(left, probe_left).hot(on)
     if how == "inner" or not hot_right:
         return salted_join(left, right, on, how, hot_left, hot_right)
     matched = salted_join(left, right, on, "inner", hot_left, hot_right)

@@ -35,13 +35,15 @@ def owned() -> Iterator[list[DataFrame]]:
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """``df``, computed once for all its uses.
+    """``df``, computed now and once for all its uses.
 
-    It is kept in executor memory and on disk, and lost blocks are recomputed from lineage.
+    Computing it first is no extra work, and gives the plans of all its uses its real size. It
+    is kept in executor memory and on disk, and lost blocks are recomputed from lineage.
     Inside ``owned`` the owner lets go of it; otherwise it goes when the returned frame does, and a
     report holds it by ``holding``.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
     owner = _OWNER.get()
     if owner is None:
         weakref.finalize(kept, _let_go, kept._jdf).atexit = False
