@@ -20,8 +20,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 # A key of fewer rows than this is no burden for one task. With 0 every side is counted.
 HOT_ROWS = 100_000
@@ -70,17 +71,16 @@ class Probe:
         self._hot |= {keys: [] for keys in lists}
         if self._rows is not None and self._rows <= max(HOT_ROWS, self._rows / partitions):
             return
-        # One job: the rows are counted on their way to the counts of the keys. No more keys than
+        # One job: all rows have one more key in common, whose count is theirs. No more keys than
         # partitions can hold more than a partition's share, so no more come back.
-        seen = Observation()
-        hashes = F.explode(F.array(*[
+        hashes = F.explode(F.array(F.struct(F.lit(-1).alias("list"), F.lit(0).cast("long").alias("hash")), *[
             F.struct(F.lit(i).alias("list"), _key_hash(k).alias("hash")) for i, k in enumerate(lists)]))
-        counts = (self.df.observe(seen, F.count(F.lit(1)).alias("rows")).select(hashes.alias("key"))
-                  .groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > HOT_ROWS))
-        found = counts.orderBy(F.desc("rows")).limit(partitions * len(lists)).collect()
-        self._rows = seen.get["rows"]
+        counts = self.df.select(hashes.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+        counts = counts.where((F.col("rows") > HOT_ROWS) | (F.col("key.list") < 0))
+        found = counts.orderBy(F.desc("rows"), "key.list").limit(partitions * len(lists) + 1).collect()
+        self._rows = found[0]["rows"] if found else 0
         for row in found:
-            if row["rows"] > max(HOT_ROWS, self._rows / partitions):
+            if row["key"]["list"] >= 0 and row["rows"] > max(HOT_ROWS, self._rows / partitions):
                 salts = math.ceil(row["rows"] / self._rows * partitions)
                 self._hot[lists[row["key"]["list"]]].append((row["key"]["hash"], salts))
 
@@ -204,6 +204,37 @@ def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, s
     return df
 
 
+def with_roles_once(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str],
+                    attributes: Sequence[str]) -> DataFrame:
+    """``with_roles`` by one join: for a dimension too large to broadcast and several roles.
+
+    Role ids are unpivoted, joined with the dimension together, and pivoted back, so that the
+    dimension is shuffled once and ``df`` twice, whatever the number of roles. Of the rows that
+    stand for one row only the first role's carries its columns. A row is known by 128 bits of
+    hashes of its columns, which a task that runs again gives it again; equal rows travel as
+    one and are counted. The dimension must hold an id once.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    ids = [F.col(f"`{c}`") for c in roles.values()]
+    # Spark's hashes pass over NULLs, so it is hashed as well where they are.
+    nested = {f.name for f in df.schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))}
+    content = [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if n in nested else c for n, c in zip(df.columns, columns)]
+    content += [c.isNull() for c in columns]
+    melted = df.select(
+        F.xxhash64(F.lit(1), *content).alias("_a"), F.xxhash64(F.lit(2), *content).alias("_b"), F.struct(*columns).alias("_row"),
+        F.posexplode(F.array(*ids)).alias("_role", key))
+    melted = melted.withColumn("_row", F.when(F.col("_role") == 0, F.col("_row")))
+    narrow = dimension.select(key, F.struct(*attributes).alias("_found"))
+    joined = attach(melted, narrow, [key])
+    first = F.col("_role") == 0
+    pivoted = joined.groupBy("_a", "_b").agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.count(F.when(first, 1)).alias("_copies"),
+        *[F.first(F.when(F.col("_role") == i, F.col("_found")), ignorenulls=True).alias(f"_found_{i}") for i in range(len(roles))])
+    found = [F.col(f"_found_{i}.{a}").alias(f"{prefix}_{a}") for i, prefix in enumerate(roles) for a in attributes]
+    each = pivoted.select("_row.*", *found, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+    return each.drop("_copy")
+
+
 def with_country(customers: DataFrame, countries: DataFrame) -> DataFrame:
     """Customers with the name of their country; dimensions are joined to each other first."""
     names = countries.select(F.col("id").alias("country_id"), F.col("name").alias("country_name"))

@@ -483,6 +483,7 @@ SAME_ROWS = {
     "bucketed_header_lines": "header_lines",
     "bucketed_house_bills": "house_bill_by_mode",
     "partitioned_date_range": "invoice_date_range",
+    "customer_roles_once": "customer_roles",
     "charge_sum_stored": "charge_sum_direct",
     "doc_sort_stream": "doc_sort_report",
 }

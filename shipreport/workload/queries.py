@@ -346,6 +346,15 @@ def customer_roles(r):
                        "shp_name", "cnee_code", "cnee_name")
 
 
+@query
+def customer_roles_once(r):
+    """``customer_roles`` by one join for all roles."""
+    rows = joins.with_roles_once(
+        _houses(r).select("mode", "source_id", "house_no", "customer_id", "shipper_id", "consignee_id"), r.customers(), "customer_id",
+        {"cus": "customer_id", "shp": "shipper_id", "cnee": "consignee_id"}, ["code", "name"])
+    return rows.drop("customer_id", "shipper_id", "consignee_id")
+
+
 @query
 def origin_destination(r):
     rows = joins.with_roles(_houses(r), r.cities(), "id",

@@ -125,3 +125,32 @@ def test_list_as_literals_and_as_table(spark, shuffled):
         assert bag(joins.in_list(df, "id", ids)) == bag(df.where("id = 1"))
         flagged = joins.flag_in_list(df, "id", ids, "listed")
         assert bag(flagged) == bag(df.withColumn("listed", F.coalesce(F.col("id") == 1, F.lit(False))))
+
+
+@pytest.mark.parametrize("fixture", [None, "shuffled", "even"])
+def test_roles_by_one_join(spark, request, fixture):
+    """Like one join a role: repeated rows, NULL and unknown ids, a hot id, odd names."""
+    if fixture:
+        request.getfixturevalue(fixture)
+    rng = random.Random(6)
+    ids = [None, 7, 7, 7, *range(20)]
+    rows = [(rng.choice(ids), rng.choice(ids), rng.choice("ab"), None) for _ in range(600)] + [(None, None, None, None)] * 3
+    rows = [(*r, [1, None] if i % 2 else [None, 1]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "`a id` bigint, b bigint, `x.y` string, z string, v array<int>")
+    dim = spark.createDataFrame([(i, f"n{i}", None if i % 3 else "c") for i in range(2, 30)], "id bigint, name string, code string")
+    roles = {"one": "a id", "two": "b"}
+    want = joins.with_roles(df, dim, "id", roles, ["name", "code"])
+    got = joins.with_roles_once(df, dim, "id", roles, ["name", "code"])
+    assert sorted(got.columns) == sorted(want.columns)
+    rows_of = lambda d: Counter(tuple(repr(r[c]) for c in sorted(d.columns)) for r in d.collect())
+    assert rows_of(got) == rows_of(want)
+    assert not joins.with_roles_once(df.limit(0), dim, "id", roles, ["name"]).count()
+
+
+def test_roles_by_one_join_shuffle_the_dimension_once(spark, even):
+    from shipreport.workload.queries import QUERIES
+    from test_plans import SF, plan
+
+    text = plan(QUERIES["customer_roles_once"](spark, SF))
+    assert text.count("customer.parquet") == 1 and text.count("Exchange hashpartitioning") == 3
+    assert plan(QUERIES["customer_roles"](spark, SF)).count("customer.parquet") == 3
