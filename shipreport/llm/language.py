@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shipreport.llm.common import fold, texts
-from shipreport.llm.samples import share_of
+from shipreport.llm.samples import in_share, share_of
 from shipreport.llm.words import SPACED, pieces, words_of
 
 SAMPLE = 20_000
@@ -192,7 +192,7 @@ def learnt(documents: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGE
     if not names:
         return Model([], np.zeros((2 ** BITS, 0)), np.zeros((N_SCRIPTS, 0), bool))
     share = share_of(rows.count(), sample)
-    rows = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(23)), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = rows.where(in_share("doc_id", 23, share))
     number = {name: i for i, name in enumerate(names)}
     width = 2 ** BITS + N_SCRIPTS
 
@@ -214,6 +214,9 @@ def learnt(documents: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGE
     total = np.zeros(len(names) * width)
     total[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     total = total.reshape(len(names), width)
+    # A language that the sample has no letter of would take all that the others have not seen.
+    trained = total[:, :2 ** BITS].any(1)
+    names, total = [name for name, t in zip(names, trained) if t], total[trained]
     grams, scripts = total[:, :2 ** BITS], total[:, 2 ** BITS:]
     table = np.log((grams + 0.1) / (grams.sum(1, keepdims=True) + 0.1 * 2 ** BITS))
     return Model(names, np.ascontiguousarray(table.T), (scripts > 0.01 * scripts.sum(1, keepdims=True)).T.copy())

@@ -156,3 +156,33 @@ def test_viterbi_is_the_best_path():
         own = np.flatnonzero(text == t)
         value = lambda p: sum(scores[w, s] for w, s in zip(own, p)) - language.PENALTY * sum(a != b for a, b in zip(p, p[1:]))
         assert np.isclose(value(path[own]), max(map(value, product(range(3), repeat=len(own)))))
+
+
+def test_a_share_does_not_vanish(spark):
+    """Shares under a millionth keep rows, larger shares contain smaller ones, and whole millionths are as before."""
+    from pyspark.sql import functions as F
+
+    from shipreport.llm.samples import in_share
+
+    ids = spark.range(4_000_000).withColumnRenamed("id", "doc_id")
+    shares = (4e-7, 2.5e-6, 1e-5, 0.25, 0.2500004)
+    row = ids.agg(*[F.count(F.when(in_share("doc_id", 17, s), 1)).alias(f"n{i}") for i, s in enumerate(shares)],
+                  F.count(F.when(in_share("doc_id", 17, shares[1]) & ~in_share("doc_id", 17, shares[2]), 1)).alias("outside"),
+                  F.count(F.when((F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < 250_000) != in_share("doc_id", 17, 0.25), 1)).alias("other")
+                  ).first()
+    assert row.outside == row.other == 0 and row.n3 <= row.n4
+    assert 1 <= row.n1 <= 40 and 10 <= row.n2 <= 90 and abs(row.n3 - 1_000_000) < 5_000
+
+
+def test_a_language_without_sampled_letters_is_no_candidate(spark):
+    rows = [(i, "the quick brown fox and the lazy dog " * 5, "en") for i in range(40)]
+    rows += [(100 + i, "der schnelle braune Fuchs und der faule Hund " * 5, "de") for i in range(40)]
+    rows += [(200 + i, "12 34 !!", "xx") for i in range(40)] + [(300, "สวัสดีชาวโลก", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learnt(docs)
+    assert model.languages == ["de", "en"] and model.table.shape[1] == model.scripts.shape[1] == 2
+    found = {r.doc_id: r.lang_pred for r in language.digest(docs).collect()}
+    assert found[300] in ("de", "en") and found[0] == "en" and found[100] == "de" and found[200] == "und"
+    letterless = language.learnt(docs.where("lang = 'xx'"))
+    assert letterless.languages == []
+    assert {r.lang_pred for r in language.predicted(docs.where("lang = 'xx'"), letterless).collect()} == {"und"}
