@@ -4,9 +4,10 @@ A document's set is its distinct runs of ``shingle`` lower-cased words; two sets
 their Jaccard similarity reaches ``percent`` / 100. All steps are exact:
 
 1. **Classes.** Equal sets are one class, whatever their number.
-2. **Order.** All tokens have one global order: those that repeat least first. Which tokens
-   repeat is counted over all documents; the ``HOT`` most frequent are kept as a bounded
-   list. The order decides the cost only, not the result. Of a set of n tokens every partner
+2. **Order.** All tokens have one global order: those that repeat least first. Repeats are
+   looked for within runs of ``NEAR_BYTES`` of every text and added up over all runs; the
+   ``HOT`` most frequent are kept as a bounded list, the others count as rare. The order
+   decides the cost only, not the result. Of a set of n tokens every partner
    holds at least ``need(n)``, so among the first n - need(n) + c tokens of both sets at
    least c are common.
 3. **Light sets** (few tokens) list all pairs of their first n - need(n) + 2 tokens, subsets
@@ -15,8 +16,8 @@ their Jaccard similarity reaches ``percent`` / 100. All steps are exact:
    that are large enough to be partners of heavy ones; they meet in the inverted lists. The
    size at which sets become heavy is chosen by the cost of both ways, from the histogram of
    sizes and the number of partners a token brings.
-5. **Bound.** Each candidate set has a bitmap of at least two bits per token, in which every
-   token flips one bit. The bits in which two bitmaps differ are no more than the tokens that
+5. **Bound.** Each set has a bitmap of at least two bits per token, made where the set is first
+   read, in which every token flips one bit. The bits in which two bitmaps differ are no more than the tokens that
    only one set holds, so too many of them rule a pair out, exactly and without the texts.
    Pairs of lists of up to ``LONG`` classes are listed and ruled out by a join; longer lists
    are compared in squares of ``SIDE`` by ``SIDE`` bitmaps, which are tasks of their own and
@@ -24,8 +25,10 @@ their Jaccard similarity reaches ``percent`` / 100. All steps are exact:
 6. **Check.** What is left is checked on whole texts in two rounds: first each class with the
    candidate whose bitmap is nearest, and of each square a spanning forest of the nearest
    candidates, which joins up groups of copies; then all candidates that are still in
-   different components. So texts are fetched about once per class however
-   large a group of near copies is, and no candidate is dropped.
+   different components. So texts are fetched only of classes that bitmaps leave a candidate,
+   about once per class however large a group of near copies is, and no candidate is dropped.
+   Up to ``IDS`` wanted ids are broadcast, so that no other text is shuffled; more are joined
+   by a shuffle.
 
 Shingles are told apart by 64-bit hashes, equal sets by 128 bits and their size.
 """
@@ -48,8 +51,10 @@ HOT = 1 << 18
 LONG = 24
 #: Bytes of text in which equal sets and repeated tokens are found without a shuffle.
 NEAR_BYTES = 8 << 20
-#: Rows of inverted lists a task looks at together.
+#: Rows of inverted lists a task looks at together; all classes of a longer list meet in squares.
 ROWS = 1 << 20
+#: Ids (8 bytes each) that are broadcast to fetch their texts.
+IDS = 1 << 21
 #: Classes of a long list that are compared with as many others by one task.
 SIDE = 1024
 
@@ -90,16 +95,26 @@ def need(n, percent: int):
     return -(-percent * n // 100)
 
 
+def _bitmap(tokens: np.ndarray) -> bytes:
+    """A set's bitmap: each token flips one of at least two bits per token."""
+    size = max(256, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else 256
+    flips = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
 def _sized(documents: DataFrame, k: int) -> DataFrame:
+    """Size, two sums and the bitmap of each row's set; no bitmap where the set is empty."""
     def run(batches):
         for batch in batches:
             for low, high, held in pieces(texts(batch)):
-                n, f1, f2 = _fingerprints(*shingles(held, k), high - low)
+                text, found = shingles(held, k)
+                n, f1, f2 = _fingerprints(text, found, high - low)
+                bits = [_bitmap(part) if len(part) else None for part in np.split(mix(found, 60), np.cumsum(n)[:-1])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array(n, pa.int64()), pa.array(f1), pa.array(f2)],
-                    names=["doc_id", "n", "f1", "f2"])
+                    [batch.column("doc_id").slice(low, high - low), pa.array(n, pa.int64()), pa.array(f1), pa.array(f2),
+                     pa.array(bits, pa.binary())], names=["doc_id", "n", "f1", "f2", "bits"])
 
-    return documents.mapInArrow(run, "doc_id bigint, n bigint, f1 bigint, f2 bigint")
+    return documents.mapInArrow(run, "doc_id bigint, n bigint, f1 bigint, f2 bigint, bits binary")
 
 
 def _distinct_sets(batch: pa.RecordBatch, k: int):
@@ -231,48 +246,54 @@ def _candidates(postings: DataFrame, percent: int, light: int) -> DataFrame:
         both = np.unique(np.stack([np.minimum(f1[i], f1[j]), np.maximum(f1[i], f1[j])]), axis=1)
         return both[0], both[1]
 
-    def lists(key, f1, n):
+    def lists(key, f1, n, cut):
+        """Pairs of the short lists, members of the long ones and of the list ``cut``, which goes on elsewhere."""
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (f1[1:] != f1[:-1]) | (n[1:] != n[:-1])
         key, f1, n = key[new], f1[new], n[new]
         heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(heads, len(key)))
         left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for size in np.unique(sizes[(sizes > 1) & (sizes <= LONG)]).tolist():
-            of = heads[sizes == size]
+        whole = (sizes <= LONG) if cut is None else (sizes <= LONG) & (key[heads] != cut)
+        for size in np.unique(sizes[(sizes > 1) & whole]).tolist():
+            of = heads[(sizes == size) & whole]
             i, j = np.triu_indices(size, 1)
             left.append((of[:, None] + i).ravel())
             right.append((of[:, None] + j).ravel())
         a, b = pairs_of(key, f1, n, np.concatenate(left), np.concatenate(right))
         yield batch_of(np.zeros(len(a), np.int64), a, b, np.zeros(len(a), np.int32))
-        long = np.repeat(sizes > LONG, sizes)
+        long = np.repeat(~whole, sizes)
         if long.any():
             yield batch_of(key[long], f1[long], [None] * int(long.sum()), n[long])
 
     def run(batches):
-        held, size = [], 0
+        held, size, cut = [], 0, None
         for batch in batches:
             held.append([c.to_numpy() for c in batch.columns])
             size += batch.num_rows
             if size >= ROWS:
                 key, f1, n = map(np.concatenate, zip(*held))
-                last = np.searchsorted(key, key[-1])
-                last = len(key) if last == 0 else last  # a list longer than this is looked at in parts
-                yield from lists(key[:last], f1[:last], n[:last])
+                last = int(np.searchsorted(key, key[-1]))
+                if last == 0:  # one list fills the rows: all its parts are given out as members
+                    last, cut = len(key), key[-1]
+                yield from lists(key[:last], f1[:last], n[:last], cut)
                 held, size = [[key[last:], f1[last:], n[last:]]], len(key) - last
         if size:
-            yield from lists(*map(np.concatenate, zip(*held)))
+            yield from lists(*map(np.concatenate, zip(*held)), cut)
 
     return spread.mapInArrow(run, "key bigint, a bigint, b bigint, n int")
 
 
 def _texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of ``documents`` that ``wanted`` (a) names, without repeats."""
-    return documents.join(wanted.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    ids = kept(wanted.withColumnRenamed("a", "doc_id"))
+    ids = F.broadcast(ids) if ids.count() <= IDS else ids
+    return documents.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
 
 
-def _checked(pairs: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of documents that link; ``found``: doc_id, text."""
+def _checked(pairs: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``documents`` that link, by whole texts."""
+    found = kept(_texts_of(documents, pairs.select("a").union(pairs.select("b")).distinct()))
     one = pairs.join(found.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(found.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -309,23 +330,10 @@ def _to_documents(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
 
 
-def _bitmaps(found: DataFrame, k: int) -> DataFrame:
-    """doc_id, n and the bitmap of each text's set."""
-    def run(batches):
-        for batch in batches:
-            for low, high, held in pieces(texts(batch)):
-                text, token = shingles(held, k)
-                n = np.bincount(text, minlength=high - low)
-                bits = []
-                for part in np.split(mix(token, 60), np.cumsum(n)[:-1]):
-                    size = max(256, 1 << (2 * len(part) - 1).bit_length()) if len(part) else 256
-                    flips = np.bincount((part & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-                    bits.append(np.packbits(flips.astype(np.uint8)).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array(n, pa.int32()), pa.array(bits, pa.binary())],
-                    names=["doc_id", "n", "bits"])
-
-    return found.mapInArrow(run, "doc_id bigint, n int, bits binary")
+def _bitmaps(sized: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, n and bitmap of the sets of the ids that ``wanted`` (a) names."""
+    rows = sized.where("n > 0").select("doc_id", F.col("n").cast("int").alias("n"), "bits")
+    return rows.join(wanted.withColumnRenamed("a", "doc_id"), "doc_id", "left_semi").dropDuplicates()
 
 
 def _matrix(bits: list[bytes]) -> np.ndarray:
@@ -469,8 +477,7 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     members = kept(found.where("b is null").select("key", F.col("a").alias("f1")).join(
         classes.select("f1", "rep"), "f1").select("key", F.col("rep").alias("a")))
     wanted = pairs.select("a").union(pairs.select("b")).union(members.select("a")).distinct()
-    some = kept(_texts_of(own, wanted))
-    bitmaps = kept(_bitmaps(some, shingle))
+    bitmaps = kept(_bitmaps(sized, wanted))
     near = kept(_bounded(pairs, bitmaps, percent))
     # First round: each class with the nearest of its candidates.
     rooted = members.withColumn("root", F.col("a"))
@@ -479,14 +486,14 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     chosen = ends.groupBy("a").agg(F.min_by("b", F.struct("differ", "b")).alias("b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     chosen = kept(chosen.union(spanning.select("a", "b")).distinct())
-    links = kept(_checked(chosen, some, shingle, percent))
+    links = kept(_checked(chosen, own, shingle, percent))
     roots = components(links)
     # Second round: whatever is still apart.
     rooted = members.join(roots.withColumnRenamed("node", "a"), "a", "left").select(
         "key", "a", F.coalesce("root", "a").alias("root"))
     rest = _apart(near, roots).union(_squares(rooted, bitmaps, percent, light, spanning=False).select("a", "b"))
     rest = kept(rest.distinct().join(chosen, ["a", "b"], "left_anti"))
-    links = links.union(kept(_checked(rest, some, shingle, percent)))
+    links = links.union(kept(_checked(rest, own, shingle, percent)))
     # Ids that stand for several sets join their classes.
     placed = sized.join(classes, ["f1", "f2", "n"], "left").select("doc_id", "n", "rep")
     twice = placed.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y")

@@ -78,6 +78,40 @@ def test_brute_force(spark, monkeypatch, seed, long, side, near, hot):
     assert len({c for *_, c in want}) < len(want) - 20
 
 
+@pytest.mark.parametrize("rows", [25, 64])
+def test_a_list_longer_than_the_rows_of_a_task_loses_no_link(spark, monkeypatch, rows):
+    """One key with 30 classes, of which any two are partners: all meet, wherever the list is cut."""
+    monkeypatch.setattr(J, "ROWS", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        for classes in (26, 30, 31, 130):
+            listed = [(3, f1, 100) for f1 in range(1, classes + 1)] + [(9, f1, 100) for f1 in (1, 2)]
+            found = J._candidates(spark.createDataFrame(listed, "key bigint, f1 bigint, n int"), 80, 4).collect()
+            assert {r.a for r in found if r.b is None and r.key == 3} == set(range(1, classes + 1))
+            assert [(r.a, r.b) for r in found if r.b is not None] == [(1, 2)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("ids", [0, 1 << 21])
+def test_texts_are_fetched_alike_with_and_without_a_broadcast(spark, monkeypatch, ids):
+    monkeypatch.setattr(J, "IDS", ids)
+    rows = corpus(11, families=10, copies=8)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, J.near_duplicates(df).collect()), key=str) == brute(rows, 5, 80)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(3)
+    say = [f"w{rng.randrange(10**6)}" for _ in range(300_000)]
+    near = list(say)
+    for i in range(0, len(near), 100):
+        near[i] = "changed"
+    rows = [(1, " ".join(say)), (2, " ".join(near)), (3, " ".join(say[:200_000])), (4, "short text of only seven words here")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, J.near_duplicates(df).collect()), key=str) == brute(rows, 5, 80)
+
+
 def test_light_and_heavy_sets_meet_at_the_boundary(spark, monkeypatch):
     monkeypatch.setattr(J, "boundary", lambda *a: 30)
     rows = corpus(9, families=40, copies=6, sizes=(26, 30, 33, 35, 38, 42))
