@@ -11,9 +11,11 @@ can hold a window are streamed.
 
 Size: an automaton has at most twice as many states as its items have words. The items are
 cut into blocks of at most ``block_words`` words by a running total; each block is one
-bounded broadcast, and documents meet all blocks one after the other in the same pass while
-there are at most ``blocks_per_pass``; further blocks take another pass, whose hits are
-united. Nothing is dropped.
+bounded broadcast. The driver fetches, builds and sends one block before it fetches the next.
+Documents meet all blocks one after the other in the same pass while there are at most
+``blocks_per_pass``; further blocks take another pass, whose hits are united. Nothing is
+dropped. 100,000 words of items are about 70 MB of automaton, so a full pass holds about
+0.7 GB in a worker; an item of more than ``block_words`` words is a block of its own.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from shipreport.llm.words import ALNUM, pieces, words_of
 
 WINDOW = 10
 #: Words of items in one automaton, and automata met in one pass over the documents.
-BLOCK_WORDS, BLOCKS_PER_PASS = 1_000_000, 4
+BLOCK_WORDS, BLOCKS_PER_PASS = 250_000, 4
 
 
 class Automaton:
@@ -71,7 +73,7 @@ class Automaton:
             self.link[state] = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
         return state
 
-    def build(self, items: list[tuple[str, list[int]]]) -> "Automaton":
+    def build(self, items: list[tuple[str | None, list[int]]]) -> "Automaton":
         for _, words in items:
             last = 0
             for word in words:
@@ -124,7 +126,7 @@ class Automaton:
 class Index:
     """An automaton with the tables that tell which words can take part in a match."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         words = words_of([text.lower() for _, text in items], ALNUM)
         hashes = words.hashes()
         self.vocabulary = np.unique(hashes)
@@ -158,16 +160,16 @@ class Index:
         yield from zip(starts[long].tolist(), ends[long].tolist())
 
 
-def item_blocks(benchmark: DataFrame, block_words: int) -> list[list[tuple[str, bytes]]]:
-    """The items with words, in blocks of bounded size.
+def item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The items with a text, in blocks of bounded size; each is fetched when it is asked for.
 
-    One block is fetched at a time. An item of more than ``block_words`` words is alone.
+    An item of more than ``block_words`` words is in a block with others of its bucket only.
     """
     size = F.size(F.split(F.coalesce("text", F.lit("")), r"[^0-9A-Za-z\u0080-\x{10FFFF}]+")).cast("long")
-    items = benchmark.where("item_id is not null and text is not null").select(
+    items = benchmark.where("text is not null").select(
         F.col("item_id").cast("string").alias("name"), F.col("text").cast("binary").alias("text"), size.alias("size"))
-    # A running total over ranges of the id's hash: sums per bucket are few, whatever the items are.
-    bucketed = items.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(65536)))
+    # A running total over ranges of the item's hash: sums per bucket are few, whatever the items are.
+    bucketed = items.withColumn("bucket", F.pmod(F.xxhash64("name", "text"), F.lit(65536)))
     totals = sorted((r.bucket, r.size) for r in bucketed.groupBy("bucket").agg(F.sum("size").alias("size")).collect())
     groups, room = [[]], block_words
     for bucket, words in totals:
@@ -176,11 +178,9 @@ def item_blocks(benchmark: DataFrame, block_words: int) -> list[list[tuple[str,
             room = block_words
         groups[-1].append(bucket)
         room -= words
-    out = []
     for group in filter(None, groups):
         rows = bucketed.where(F.col("bucket").between(group[0], group[-1])).select("name", "text").collect()
-        out.append(sorted((r.name, bytes(r.text)) for r in rows))
-    return out
+        yield sorted(((r.name, bytes(r.text)) for r in rows), key=lambda item: (item[0] is None, item[0] or "", item[1]))
 
 
 def _found(indexes, letters):
@@ -197,7 +197,7 @@ def _found(indexes, letters):
                     hit[start + place - size + 1:start + place + 1] = True
                     names.setdefault(int(text[start]), set()).update(items)
         for i in range(high - low):
-            yield words, i, hit[words.first[i]:words.first[i + 1]], names.get(i, set())
+            yield words, i, hit[words.first[i]:words.first[i + 1]], names.get(i, set()) - {None}
 
 
 def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -205,21 +205,23 @@ def hits(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """``documents`` with n_words, hit (places of hit words, sorted) and items (names, sorted).
 
     A NULL or empty text has no words. Rows with equal or NULL ids are judged one by one.
-    Items without id, text or words match nothing; an empty benchmark hits nothing.
+    Items without text or words match nothing; an empty benchmark hits nothing. An item with a
+    NULL id hits words like any other and has no name among ``items``. Columns of ``documents``
+    named as the new ones are replaced.
     """
-    blocks = item_blocks(benchmark, block_words)
+    context = documents.sparkSession.sparkContext
+    blocks = [context.broadcast(Index(block, window)) for block in item_blocks(benchmark, block_words)]
     passes = [blocks[i:i + blocks_per_pass] for i in range(0, len(blocks), blocks_per_pass)] or [[]]
     own = [c for c in documents.columns if c not in ("n_words", "hit", "items")]
     out = documents.select(*own).withColumns({
         "n_words": F.lit(0).cast("long"), "hit": F.lit([]).cast("array<int>"), "items": F.lit([]).cast("array<string>")})
     for held in passes:
-        shared = documents.sparkSession.sparkContext.broadcast([Index(b, window) for b in held])
-
-        def run(batches, shared=shared):
+        def run(batches, held=held):
+            indexes = [block.value for block in held]
             for batch in batches:
                 counts, places, names = [], [], []
                 old_places, old_names = batch.column("hit").to_pylist(), batch.column("items").to_pylist()
-                for i, (_, _, hit, items) in enumerate(_found(shared.value, texts(batch))):
+                for i, (_, _, hit, items) in enumerate(_found(indexes, texts(batch))):
                     counts.append(len(hit))
                     found = np.flatnonzero(hit).tolist()
                     places.append(sorted({*old_places[i], *found}) if old_places[i] else found)

@@ -18,11 +18,11 @@ def brute(docs, items, window):
     runs = {}
     for name, text in items:
         ws = words(text)
-        if name is None or not ws:
+        if not ws:
             continue
         m = min(window, len(ws))
         for p in range(len(ws) - m + 1):
-            runs.setdefault(tuple(ws[p:p + m]), set()).add(str(name))
+            runs.setdefault(tuple(ws[p:p + m]), set()).update([] if name is None else [str(name)])
     out = []
     for d, text in docs:
         ws, hit, names = words(text), set(), set()
@@ -54,6 +54,22 @@ def test_brute_force(spark, seed, window, block, passes):
     assert sorted(((r.doc_id, r.n_words, r.hit, r["items"]) for r in rows), key=str) == brute(docs, items, window)
 
 
+def test_items_without_an_id_hit_and_have_no_name(spark):
+    docs = spark.createDataFrame([(1, "x a b c y"), (2, "d e f"), (3, "a b d e")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, "A b C"), (None, "d e f"), (7, "D E F"), (None, None)], "item_id bigint, text string")
+    rows = {r.doc_id: (r.hit, r["items"]) for r in D.hits(docs, bench, 3, 2, 1).collect()}
+    assert rows == {1: ([1, 2, 3], []), 2: ([0, 1, 2], ["7"]), 3: ([], [])}
+    assert {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in D.digest(docs, bench).collect()} == {
+        1: (3, 0, True), 2: (3, 1, True), 3: (0, 0, False)}
+
+
+def test_very_long_text(spark):
+    long = "w " * 1_000_000 + "a b c d " + "w " * 1_000_000
+    docs = spark.createDataFrame([(1, long)], "doc_id bigint, text string")
+    row = D.hits(docs, spark.createDataFrame([(5, "a b c d")], "item_id bigint, text string"), 4).first()
+    assert (row.n_words, row.hit, row["items"]) == (2_000_004, [1_000_000, 1_000_001, 1_000_002, 1_000_003], ["5"])
+
+
 def test_cutting(spark):
     ten = " ".join(f"t{i}" for i in range(10))
     df = spark.createDataFrame(
