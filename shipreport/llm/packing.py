@@ -2,7 +2,7 @@
 
 Each task tokenises its documents in one pass. A document longer than the window gives whole
 windows and a remainder. Remainders wait in a pool; a window is filled with the multiset of
-waiting lengths whose sum comes closest to its capacity. That multiset is found by dynamic
+waiting lengths, of all that wait, whose sum comes closest to its capacity. It is found by dynamic
 programming over bits: bit s of a Python integer says that the sum s can be reached, counts
 are taken in by binary parts, and the counts used are backtracked from the layers. A window
 that no multiset fills exactly is filled with the closest sum and topped up by cutting one
@@ -16,6 +16,7 @@ pool holds at most ``pool`` remainders, or as many as fill one window.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -33,8 +34,6 @@ from shipreport.llm.words import byte_hashes, pieces
 CAPACITY = 2048
 #: Remainders that wait at once; windows are filled while half of them are there.
 POOL = 1024
-#: Distinct waiting lengths that one window chooses from.
-CHOICES = 48
 #: The id that ends a document.
 END_ID = 1
 #: Distinct units whose ids a worker remembers.
@@ -78,7 +77,8 @@ class Tokens:
     space that no white space follows; between an ASCII letter and an ASCII mark other than
     an apostrophe; around a single line feed between an ASCII character that is no white
     space and an ASCII letter. Equal units have equal ids, so only new ones are tokenised.
-    Units are told apart by 64-bit hashes of their bytes.
+    Units are told apart by 64-bit hashes of their bytes. This holds for byte-level tokenizers
+    with the usual splitting pattern; any other is refused.
 
     With ``added``, the strings of the tokenizer's added tokens have those tokens' ids, as they
     have when it is loaded and not changed; without, they are ordinary text.
@@ -93,6 +93,7 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
+        self._refuse_other_patterns(path)
         tokens = self.tokenizer.get_added_tokens_decoder() if added else {}
         self.added = {t.content.encode(): i for i, t in tokens.items()}
         self.alone = not any(t.lstrip or t.rstrip or t.single_word for t in tokens.values())
@@ -105,6 +106,13 @@ class Tokens:
         self.mark = self.graphic & ~self.letter & ~((byte >= 48) & (byte <= 57)) & (byte != ord("'"))
         self.forget()
 
+    def _refuse_other_patterns(self, path: str) -> None:
+        loaded = json.loads(self.tokenizer.to_str())
+        split = loaded.get("pre_tokenizer") or {}
+        usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        if loaded.get("normalizer") is not None or not usual:
+            raise ValueError(f"{path}: only byte-level tokenizers with the usual splitting pattern can be used")
+
     def forget(self) -> None:
         self.hashes, self.places = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
@@ -232,8 +240,7 @@ class Packer:
 
     def fill(self, capacity: int) -> None:
         """One window of exactly ``capacity``, which the pool can surely fill."""
-        chosen = self.choices(capacity)
-        used = fullest({k: len(self.waiting[k]) for k in chosen}, capacity)
+        used = fullest({k: len(items) for k, items in self.waiting.items() if k <= capacity}, capacity)
         offset = 0
         for length in sorted(used, reverse=True):
             for _ in range(used[length]):
@@ -251,13 +258,6 @@ class Packer:
                 self.wait((doc, start + cut, ids[cut:], total))
         self.sequence += 1
 
-    def choices(self, capacity: int) -> list[int]:
-        """The longest waiting lengths and the shortest, of those that fit."""
-        fit = sorted(k for k in self.waiting if k <= capacity)
-        if len(fit) <= CHOICES:
-            return fit
-        return fit[:CHOICES // 2] + fit[-(CHOICES // 2):]
-
     def finish(self) -> None:
         while self.total:
             self.fill(self.capacity if self.total >= self.capacity else 1 << (self.total.bit_length() - 1))

@@ -132,3 +132,23 @@ def test_digest_uses_the_tokenizer_as_loaded(spark, as_loaded):
     for r in rows:
         assert r.doc_tokens == len(want[r.doc_id])
         assert r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes())
+
+
+def test_a_window_chooses_from_all_waiting_lengths(spark):
+    """Of 200 lengths only two in the middle add up to the window; they are found."""
+    packer = packing.Packer(2048, 10**6, 0, False)
+    for doc, n in enumerate([*range(1500, 1600), 1024 - 7, 1024 + 7]):
+        packer.wait((doc, 0, np.zeros(n, np.uint32), n))
+    packer.fill(2048)
+    assert sorted(r[2] for r in packer.out) == [1017, 1031]
+
+
+def test_other_splitting_patterns_are_refused(tmp_path):
+    import json
+
+    data = json.loads(open(tokenizer_path()).read())
+    data["pre_tokenizer"] = {"type": "Whitespace"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(data))
+    with pytest.raises(ValueError, match="splitting pattern"):
+        packing.Tokens(str(path))
