@@ -15,16 +15,20 @@ import html
 import re
 from dataclasses import dataclass
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_START = re.compile(r"<(?=/?[a-zA-Z]|[!?])")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: A quote begins a value only right after an equals sign, and only if it is closed.
+_TAG = re.compile(
+    _NAME.pattern + r"((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)"
+    r"(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++))?+)*+)>")
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 #: Elements whose content is no text of the page.
 SILENT = frozenset(("script", "style", "noscript", "template", "title", "textarea", "iframe", "svg", "object", "select"))
@@ -65,6 +69,45 @@ class Block:
     item: bool
 
 
+class _Markup(NamedTuple):
+    """A tag; or, without a name, a comment or declaration."""
+
+    start: int
+    end: int
+    slash: str = ""
+    tag: str | None = None
+    attributes: str = ""
+
+    @property
+    def closed(self) -> bool:
+        """It ends with a slash that is no part of a value without quotes."""
+        rest = self.attributes.rstrip()
+        if not rest.endswith("/"):
+            return False
+        return rest[-2:-1] in ("", '"', "'", "/") or rest[-2:-1].isspace() or "=" not in rest.split()[-1]
+
+
+def _markup(page: str, at: int) -> _Markup | None:
+    """The next markup from ``at``. What is never closed is text, but for comments, which go on to the end."""
+    found = _START.search(page, at)
+    if not found:
+        return None
+    start = found.start()
+    for begin, stop in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+        if page.startswith(begin, start):
+            end = page.find(stop, start + len(begin))
+            return _Markup(start, len(page) if end < 0 else end + len(stop))
+    tag = _TAG.match(page, start)
+    if tag:
+        return _Markup(start, tag.end(), tag[1], tag[2].lower(), tag[3])
+    end = page.find(">", start)
+    if end < 0:  # no tag ends after this place
+        left = [x for x in (page.find("<!--", start), page.find("<![CDATA[", start)) if x >= 0]
+        return _Markup(min(left), len(page)) if left else None
+    name = _NAME.match(page, start)
+    return _Markup(start, end + 1, name[1], name[2].lower(), page[name.end():end]) if name else _Markup(start, end + 1)
+
+
 class _Open:
     """An element that is open, with what holds for all text inside it."""
 
@@ -98,11 +141,12 @@ def _close(page: str, tag: str, at: int) -> int | None:
     return close.end() if close else None
 
 
-def _after_silent(page: str, tag: str, at: int, stack: list[_Open]) -> int:
+def _after_silent(page: str, tag: str, at: int, stack: list[_Open], ends: bool) -> int:
     """Where the page goes on after a silent element that begins before ``at``.
 
     Without its end tag an element that is not RAW ends where the block around it does; an
-    svg then ends before the first block inside it, as in browsers.
+    svg then ends before the first block inside it, as in browsers. ``ends``: an end tag of
+    this kind follows.
     """
     if tag in RAW:
         return _close(page, tag, at) or len(page)
@@ -110,27 +154,29 @@ def _after_silent(page: str, tag: str, at: int, stack: list[_Open]) -> int:
     inside: list[str] = []
     depth, drawn, first = 1, 0, None
     for_html = ("foreignobject", "desc", "title")
-    while found := _TOKEN.search(page, at):
-        at = found.end()
-        if found[2] is None:
+    while found := _markup(page, at):
+        at = found.end
+        if found.tag is None:
             continue
-        name, closed = found[2].lower(), found[3].rstrip().endswith("/")
+        name, closed = found.tag, found.closed
         if name == tag and not (tag == "svg" and closed):
-            depth += -1 if found[1] else tag != "select"
+            depth += -1 if found.slash else tag != "select"
             if not depth:
                 return at
-        elif found[1]:
+        elif found.slash:
             if name in inside:
                 while inside.pop() != name:
                     pass
             elif name in around:
-                return first if first is not None else found.start()
+                return first if first is not None else found.start
             drawn -= name in for_html and drawn > 0
         elif name in ("script", "style", "textarea", "iframe") and not (tag == "svg" and closed):
             at = _close(page, name, at) or len(page)
         elif name in BLOCK and name not in VOID:
             if tag == "svg" and first is None and not drawn:
-                first = found.start()
+                first = found.start
+                if not ends:
+                    return first
             inside.append(name)
         elif name in for_html:
             drawn += not closed
@@ -144,10 +190,16 @@ def blocks(page: str) -> list[Block]:
     linked: list[str] = []
     stack: list[_Open] = []
     links = 0
+    last_ends: dict[str, int] = {}
+
+    def ends(tag, at):
+        if tag not in last_ends:
+            last_ends[tag] = max((m.start() for m in re.finditer(f"</{tag}", page, re.I)), default=-1)
+        return last_ends[tag] >= at
 
     def flush():
         if held:
-            text = " ".join(html.unescape("".join(held)).split())
+            text = " ".join("".join(held).split())
             if text:
                 top = stack[-1] if stack else _Open("body", None, "")
                 out.append(Block(text, text.count(" ") + 1, len("".join(linked).split()), top.container, top.apart,
@@ -157,23 +209,22 @@ def blocks(page: str) -> list[Block]:
 
     def say(text):
         if text:
+            text = html.unescape(text)  # a reference never goes on behind a tag
             held.append(text)
             if links:
                 linked.append(text)
 
     at, end = 0, len(page)
     while at < end:
-        found = _TOKEN.search(page, at)
+        found = _markup(page, at)
         if not found:
             say(page[at:])
             break
-        say(page[at:found.start()])
-        at = found.end()
-        tag = found[2]
+        say(page[at:found.start])
+        at, tag = found.end, found.tag
         if tag is None:
             continue
-        tag = tag.lower()
-        if found[1]:
+        if found.slash:
             if tag == "a":
                 links = max(0, links - 1)
                 linked.append(" ")
@@ -185,29 +236,29 @@ def blocks(page: str) -> list[Block]:
                         break
             continue
         if tag in SILENT:
-            if tag != "svg" or not found[3].rstrip().endswith("/"):
-                at = _after_silent(page, tag, at, stack)
+            if tag != "svg" or not found.closed:
+                at = _after_silent(page, tag, at, stack, ends(tag, at))
             if tag == "select":
                 say(" ")
             continue
         if tag == "br":
             say(" ")
         elif tag == "a":
-            links += not found[3].rstrip().endswith("/")
+            links += not found.closed
         elif tag in BLOCK:
             flush()
             links = 0
             if stack and tag in CLOSES.get(stack[-1].tag, ()):
                 stack.pop()
-            if tag not in VOID and not found[3].rstrip().endswith("/"):
-                stack.append(_Open(tag, stack[-1] if stack else None, found[3]))
+            if tag not in VOID and not found.closed:
+                stack.append(_Open(tag, stack[-1] if stack else None, found.attributes))
     flush()
     return out
 
 
 #: What the tree sees of a block.
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-            "outside", "apart", "hint", "heading", "item")
+            "outside", "inside", "apart", "hint", "heading", "item")
 
 
 def features(page: list[Block]) -> np.ndarray:
@@ -218,7 +269,7 @@ def features(page: list[Block]) -> np.ndarray:
     before = lambda x: np.concatenate([[0.0], x[:-1]])
     after = lambda x: np.concatenate([x[1:], [0.0]])
     most = max((b.container for b in page if not b.apart and not b.hint), default=0)
-    flags = np.array([(b.container < most, b.apart, b.hint, b.heading, b.item) for b in page], float)
+    flags = np.array([(b.container < most, b.container == 2, b.apart, b.hint, b.heading, b.item) for b in page], float)
     return np.column_stack([words, density, before(words), before(density), after(words), after(density), flags])
 
 
@@ -227,8 +278,8 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     def say(letter, n):
         return " ".join(f"{letter}{i}" for i in range(n))
 
-    def links(n, each=1):
-        return "".join(f'<li><a href="/x">{say("b", each)}</a></li>' for _ in range(n))
+    def links(n, each=1, letter="b"):
+        return "".join(f'<li><a href="/x">{say(letter, each)}</a></li>' for _ in range(n))
 
     def article(sizes):
         return f"<h1>{say('m', 6)}</h1>" + "".join(
@@ -254,6 +305,8 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
                 f"<header><p>{b2}</p></header>{main}<footer><p>{b2}</p></footer>",
                 f"<div>{main}<aside><p>{b2}</p></aside></div><footer>{b1}</footer>",
                 f"<article>{main}<aside>{b2}</aside><p>{say('m', 7)}</p><footer>{b1}</footer><form>{b2}</form></article>",
+                f"<nav>{links(3)}</nav><article>{main}<ul>{links(6, 2, 'm')}</ul><p>{say('m', 20)}</p></article><ul>{links(4, 2)}</ul>",
+                f"<article><ol>{links(4, 1, 'm')}</ol>{main}<ul>{links(3, 12, 'm')}</ul><nav>{links(4)}</nav></article>",
                 f"<div>{main}<nav>{b1}</nav><p><a href=/z>{say('m', long)}</a></p><p>{say('m', 30)}</p></div>",
             ]
     x, y = [], []

@@ -61,6 +61,29 @@ def test_silent_elements_without_an_end(page, want):
     assert one(page) == [" ".join(w.split()) for w in want]
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p title=don't>Hello to all of you.</p><p>The second one's here.</p></article>", ["Hello to all of you.", "The second one's here."]),
+    (f"<article><p title=\"open>{TEXT}</p><p>b</p></article>", [TEXT, "b"]),
+    (f"<article><p data-x = 'a>b' y=\"c>d\" z=e/f>{TEXT}</p></article>", [TEXT]),
+    ("<article><p>AT&amp<b>;T</b> and R&<i>lt;</i> here</p></article>", ["AT&;T and R&lt; here"]),
+    (f"<nav><ul><li><a href=/>no</a></ul></nav><article><h1>T</h1><ul>{'<li><a href=/x/>an item</a></li>' * 10}</ul><p>{TEXT}</p></article>",
+     ["T"] + ["an item"] * 10 + [TEXT]),
+    (f"<article><p>{TEXT}<!x <p", [f"{TEXT}<!x <p"]),
+])
+def test_no_article_text_is_lost(page, want):
+    assert one(page) == [" ".join(w.split()) for w in want]
+
+
+@pytest.mark.parametrize("part", ["<a ", "<", "<!", "</a", "<p a='", '<p a="b ', "<svg><p>", "<div><object></div>", "<div id" + "id" * 50 + ">", "<!-", "<a b=\"'>"])
+def test_unclosed_markup_takes_linear_time(part):
+    import time
+
+    page = part * (1_000_000 // len(part))
+    start = time.process_time()
+    H.blocks(page)
+    assert time.process_time() - start < 20
+
+
 def test_odd_rows(spark):
     long = f"<article><p>{TEXT * 20000}</p></article>"
     df = spark.createDataFrame([(1, "u", None, 5), (1, "u", "", 5), (None, None, f"<article><p>{TEXT}</p></article>", 5), (3, "v", long, 5)],
