@@ -1,26 +1,26 @@
-"""Near-duplicate vectors by squares of pairs, and by sorted projection passes where those are too many.
+"""Near-duplicate vectors by sorted projection passes.
 
 Only vectors of one label and one length are compared. Equal vectors are one class first.
 Pairs with a cosine of at least ``threshold`` in double precision are links, and links are
 united into components. The classes of a label and length are a group.
 
-A group of at most ``exact`` classes is compared whole, in square blocks that are tasks of
-their own, so none of its links is missed.
-
-A larger group is met in passes. In each pass a vector's sides of random hyperplanes through
-the group's mean, concatenated, are its key; classes are sorted by key, and each is compared
-with the ``width`` classes after it. The sorted order is dealt out in blocks that overlap by
-one window, so nothing is lost between tasks.
+In each pass a vector's sides of random hyperplanes through the group's mean, concatenated,
+are its key; classes are sorted by key, and each is compared with the ``width`` classes after
+it. The sorted order is dealt out in blocks that overlap by one window, so nothing is lost
+between tasks. A group of at most ``width + 1`` classes is compared whole by its first pass
+and takes part in no other.
 
 Passes: two vectors at the threshold, seen from the mean, fall on the same side of a
 hyperplane with a probability p that follows from the vector's distance to the mean. A link
 is surely in the window if the two share one side more than the vector shares with the class
 ``width`` places after it. These shared sides, c, are measured in the first passes, and
-p**(c + 1) of the one class in a hundred where it is least is taken for the group. As many
-passes are made as bring the chance of missing a link there, (1 - p**(c + 1))**passes, under
-``miss``, and then more until some bring no new link. A group for which so many passes cost
-more than all its pairs is compared whole. Only a pair of a group met in passes can be
-missed, and only if no other links join it; it then counts as no link.
+p**(c + 1) of the one class in a hundred where it is least is taken for the group; where the
+class ``width`` places after is itself a link, links hold the whole stretch together. A group
+takes part in as many passes as bring the chance of missing a link there,
+(1 - p**(c + 1))**passes, under ``miss``, in at least those that evenly spread vectors need
+and, at first, in no more than ``most``. Then all groups go on, in rounds of passes, until a round
+unites no two components. So only a pair that is joined by no other links can be missed, and
+it then counts as no link.
 
 Every link of a vector lies inside its component. So the number of links is not taken from
 the passes, whose windows are bounded, but counted over all pairs of a component, in square
@@ -31,6 +31,7 @@ over as many blocks as it needs.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,16 +45,13 @@ THRESHOLD = 0.93
 WIDTH = 64
 MISS = 0.003
 #: Passes that are sorted together; the others wait, so that they need no room on disk.
-AT_ONCE = 4
+AT_ONCE = 8
 #: Classes of a block in a pass, and of a side of a square of pairs.
 BLOCK, SIDE = 2048, 512
-#: Classes of a group up to which all pairs are compared.
-EXACT = 65_536
-#: A pass counts as costing as much as comparing each class with so many others.
-PASS_PAIRS = 1024
-#: A group compared whole is cut in parts of PART classes, but in no more than PARTS, if
-#: a part then has no more than VALUES numbers.
-PART, PARTS, VALUES = 1024, 8, 1 << 20
+#: Passes that a group's measured density can ask for; rounds that still unite something follow.
+MOST = 128
+#: Classes of a group that one copy of its mean serves.
+SERVED = 65_536
 #: Classes between two whose windows are measured, and the share of classes that may be denser.
 EVERY, DENSEST = 16, 0.01
 _BITS = 63
@@ -86,40 +84,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _square_links(classes: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
-    """A spanning forest of the links in each square of pairs; ``classes`` with dims, ``sizes`` of groups."""
-    parts = F.greatest(F.least(F.ceil(F.col("n") / PART), F.lit(PARTS)), F.ceil(F.col("n") * F.col("dims") / VALUES)).cast("int")
-    cut = F.broadcast(sizes.where(F.col("n") > PART).select(*_GROUP, parts.alias("parts")))  # at most rows / PART
-    dealt = classes.join(cut, _GROUP, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    squares = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        *_GROUP, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "vector")
-    keys = [*_GROUP, "i", "j"]
-    spread = squares.repartition(partitions(classes.sparkSession), *keys).sortWithinPartitions(*keys, "own", "rep")
-
-    def run(batches):
-        for rows in groups(batches, keys):
-            own, reps = rows["own"].to_numpy(), rows["rep"].to_numpy()
-            unit = _unit(_matrix(rows["vector"].combine_chunks()))
-            i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-            a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            node = root = np.empty(0, np.int64)
-            for low in range(0, len(a), 256):
-                part = a[low:low + 256]
-                x, y = np.nonzero(unit[part] @ unit[b].T >= threshold)
-                left, right = reps[part[x]], reps[b[y]]
-                if i == j:
-                    left, right = left[part[x] != b[y]], right[part[x] != b[y]]
-                if len(left):
-                    node, root = forest(np.concatenate([node, left]), np.concatenate([root, right]))
-            if len(node):
-                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(root, pa.int64())], names=["a", "b"])
-
-    return spread.mapInArrow(run, "a bigint, b bigint")
-
-
-def _means(classes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
-    """The mean of the unit vectors of each group."""
+def _groups(classes: DataFrame) -> DataFrame:
+    """Each group with its size n and the mean of its unit vectors; ``classes`` with dims."""
     def run(batches):
         for batch in batches:
             labels = batch.column("label").to_numpy(zero_copy_only=False)
@@ -132,25 +98,35 @@ def _means(classes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
                      pa.array(total), pa.array(np.full(d, len(at), np.int64))], names=["label", "dims", "place", "total", "n"])
 
     rows = classes.select(*_GROUP, "vector").mapInArrow(run, "label string, dims int, place int, total double, n bigint")
-    found: dict[tuple[str, int], np.ndarray] = {}
-    for r in rows.groupBy(*_GROUP, "place").agg((F.sum("total") / F.sum("n")).alias("mean")).collect():
-        found.setdefault((r.label, r.dims), np.zeros(r.dims))[r.place] = r["mean"]
-    return found
+    places = rows.groupBy(*_GROUP, "place").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return places.groupBy(*_GROUP).agg(
+        F.max("n").alias("n"),
+        F.transform(F.sort_array(F.collect_list(F.struct("place", (F.col("total") / F.col("n")).alias("mean")))),
+                    lambda x: x["mean"]).alias("mean"))
+
+
+def _met(classes: DataFrame, groups_: DataFrame) -> DataFrame:
+    """``classes`` with the columns of their group, which is copied as often as its size asks for."""
+    copies = groups_.withColumn("copy", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / SERVED).cast("int"))))
+    counts = groups_.where(F.col("n") >= SERVED).select(*_GROUP, (F.floor(F.col("n") / SERVED) + 1).alias("copies"))
+    # One row for each 65,536 classes at most, so Spark broadcasts it or not by its size.
+    dealt = classes.join(counts, _GROUP, "left").withColumn(
+        "copy", F.pmod(F.xxhash64("rep"), F.coalesce("copies", F.lit(1))).cast("int")).drop("copies")
+    return dealt.join(copies, [*_GROUP, "copy"])
 
 
-def _keyed(classes: DataFrame, numbers: range, means: dict, threshold: float) -> DataFrame:
-    """``classes`` once for each pass, with its key and the chance to share a side with a link."""
-    shared = classes.sparkSession.sparkContext.broadcast(means)
+def _keyed(met: DataFrame, numbers: range, threshold: float) -> DataFrame:
+    """``met`` once for each pass under its ``wanted``, with its key and the chance to share a side with a link."""
     apart = math.sqrt(2 - 2 * threshold)
 
     def run(batches):
         for batch in batches:
-            labels = batch.column("label").to_numpy(zero_copy_only=False)
-            dims = batch.column("dims").to_numpy()
+            dims, wanted = batch.column("dims").to_numpy(), batch.column("wanted").to_numpy()
             seen, same = [], np.zeros(len(dims))
-            for label, d in sorted(set(zip(labels.tolist(), dims.tolist()))):
-                at = np.flatnonzero((labels == label) & (dims == d))
-                x = _unit(_matrix(batch.column("vector").take(pa.array(at)))) - shared.value[label, d]
+            for d in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == d)
+                take = pa.array(at)
+                x = _unit(_matrix(batch.column("vector").take(take))) - _matrix(batch.column("mean").take(take))
                 seen.append((d, at, x))
                 radius = np.maximum(np.sqrt((x * x).sum(1)), 1e-9)
                 same[at] = 1 - 2 * np.arcsin(np.minimum(apart / 2 / radius, 1)) / math.pi
@@ -159,13 +135,14 @@ def _keyed(classes: DataFrame, numbers: range, means: dict, threshold: float) ->
                 for d, at, x in seen:
                     planes = np.random.default_rng([number, d]).standard_normal((d, _BITS))
                     keys[at] = (x @ planes > 0) @ (1 << np.arange(_BITS, dtype=np.int64)[::-1])
-                yield pa.RecordBatch.from_arrays(
+                of = pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(dims), number, np.int32)), batch.column("label"), batch.column("dims"),
                      pa.array(keys), batch.column("rep"), pa.array(same), batch.column("vector")],
                     names=["pass", "label", "dims", "key", "rep", "same", "vector"])
+                yield of.filter(pa.array(wanted > number))
 
-    kind = classes.schema["vector"].dataType.simpleString()
-    return classes.select(*_GROUP, "rep", "vector").mapInArrow(
+    kind = met.schema["vector"].dataType.simpleString()
+    return met.select(*_GROUP, "rep", "vector", "mean", "wanted").mapInArrow(
         run, f"pass int, label string, dims int, key bigint, rep bigint, same double, vector {kind}")
 
 
@@ -228,7 +205,8 @@ def _pass_links(blocks: DataFrame, threshold: float, width: int) -> DataFrame:
                 at = np.arange(a, b - width, EVERY)
                 if len(at):
                     shared = _BITS - np.frexp((keys[at] ^ keys[at + width]).astype(float))[1]
-                    reach = same[at] ** np.minimum(shared + 1, _BITS)
+                    held = (unit[at - a] * unit[at + width - a]).sum(1) >= threshold
+                    reach = np.where(held, 1.0, same[at] ** np.minimum(shared + 1, _BITS))
                     none = [None] * len(at)
                     yield batch(none, none, [labels[a]] * len(at), [dims[a]] * len(at), reach)
             if left:
@@ -241,65 +219,55 @@ def _pass_links(blocks: DataFrame, threshold: float, width: int) -> DataFrame:
 
 def passes_for(rows: int, threshold: float, width: int, miss: float) -> int:
     """Passes for vectors that spread evenly over all sides: the least that are made."""
+    if rows <= width + 1:
+        return 1
     same = 1 - math.acos(threshold) / math.pi
     sides = max(0.0, math.log2(max(rows, 1) / width)) + 1
     return max(2, math.ceil(math.log(miss) / math.log1p(-same ** sides)))
 
 
-def _needed(reach: float | None, miss: float) -> float:
-    """Passes that a group with this reach needs."""
-    if reach is None or reach >= 1:
-        return 0
-    return math.inf if reach <= 0 else math.ceil(math.log(miss) / math.log1p(-reach))
+def _least_passes(n: Column, threshold: float, width: int, miss: float) -> Column:
+    """``passes_for`` of a column."""
+    same = 1 - math.acos(threshold) / math.pi
+    sides = F.greatest(F.lit(0.0), F.log2(n / width)) + 1
+    passes = F.ceil(F.lit(math.log(miss)) / F.log1p(-F.pow(F.lit(same), sides)))
+    return F.when(n <= width + 1, 1).otherwise(F.greatest(F.lit(2), passes)).cast("int")
 
 
-def _roots(classes: DataFrame, threshold: float, width: int, miss: float, block: int, exact: int) -> DataFrame:
+def _roots(classes: DataFrame, threshold: float, width: int, miss: float, block: int, most: int) -> DataFrame:
     """(node, root) of each class that is not the least of its component."""
     session = classes.sparkSession
     sized = classes.select("rep", "label", "vector", F.size("vector").alias("dims"))
-    sizes = kept(sized.groupBy(*_GROUP).agg(F.count("*").alias("n")))
-    large = {(r.label, r.dims): r["n"] for r in sizes.where(F.col("n") > exact).collect()}  # at most rows / exact
-
-    def of(names) -> DataFrame:
-        return F.broadcast(session.createDataFrame(list(names), "label string, dims int"))
-
-    def united(*frames):
-        found = frames[0].select(F.col("node").alias("a"), F.col("root").alias("b")) if frames[0] is not None else None
-        for f in frames[1:]:
-            found = f if found is None else found.unionByName(f)
-        return components(found)
-
-    small = sized.join(of(large), _GROUP, "left_anti") if large else sized
-    roots = united(None, kept(_square_links(small, sizes, threshold)))
-    if not large:
-        return roots
-    least = max(passes_for(n, threshold, width, miss) for n in large.values())
-    means, met, joined, first, needed = None, None, roots.count(), 0, least
-    while large:
-        if met is None:
-            met = sized.join(of(large), _GROUP, "left_semi")
-            means = means or _means(met)
-        numbers = range(first, first + AT_ONCE)
-        order = ["pass", "label", "dims", "key", "rep"]
-        ordered = _keyed(met, numbers, means, threshold).repartitionByRange(partitions(session), *order)
+    groups_ = kept(_groups(sized).withColumn("wanted", _least_passes(F.col("n"), threshold, width, miss)))
+    last = groups_.agg(F.max("wanted").alias("w")).first().w or 0
+    order = ["pass", "label", "dims", "key", "rep"]
+    waiting, joined, first = [], None, 0
+    while True:
+        if first >= last:  # the planned passes are made; more, for all groups that one window does not hold
+            large = groups_.where(F.col("n") > width + 1).withColumn("wanted", F.lit(2 ** 31 - 1))
+            met = _met(sized, large)
+        else:
+            met = _met(sized, groups_.where(F.col("wanted") > first))
+        ordered = _keyed(met, range(first, first + AT_ONCE), threshold).repartitionByRange(partitions(session), *order)
         found = kept(_pass_links(_blocks(kept(ordered.sortWithinPartitions(*order)), width, block), threshold, width))
-        links = [found.where("a is not null").select("a", "b")]
+        links = found.where("a is not null").select("a", "b")
         if not first:
-            reach = {(r.label, r.dims): r.reach for r in found.where("reach is not null").groupBy(*_GROUP).agg(
-                F.percentile_approx("reach", DENSEST).alias("reach")).collect()}
-            need = {g: _needed(reach.get(g), miss) for g in large}
-            whole = [g for g, n in large.items() if need[g] * PASS_PAIRS > n]
-            if whole:
-                links.append(kept(_square_links(sized.join(of(whole), _GROUP, "left_semi"), sizes, threshold)))
-                large = {g: n for g, n in large.items() if g not in whole}
-                met = None
-            needed = max([least, *(need[g] for g in large)])
+            reach = found.where("reach is not null").groupBy(*_GROUP).agg(F.percentile_approx("reach", DENSEST).alias("reach"))
+            need = F.when(F.col("reach") >= 1, 0).when(F.col("reach") <= 0, most).otherwise(
+                F.least(F.ceil(F.lit(math.log(miss)) / F.log1p(-F.col("reach"))), F.lit(most)))
+            groups_ = kept(groups_.join(reach, _GROUP, "left").withColumn(
+                "wanted", F.greatest("wanted", F.coalesce(need, F.lit(0))).cast("int")).drop("reach"))
+            last = groups_.agg(F.max("wanted").alias("w")).first().w or 0
         first += AT_ONCE
-        roots = united(roots, *links)
+        waiting.append(links)
+        if first < last:
+            continue
+        roots = components(reduce(DataFrame.unionByName, waiting))
+        waiting = [roots.select(F.col("node").alias("a"), F.col("root").alias("b"))]
         before, joined = joined, roots.count()
-        if first >= needed and joined == before:
-            break
-    return roots
+        # In one pass small groups are whole; otherwise a round over all large groups must bring nothing.
+        if last <= 1 or joined == before:
+            return roots
 
 
 def _counts(members: DataFrame, threshold: float, side: int) -> DataFrame:
@@ -336,7 +304,7 @@ def _counts(members: DataFrame, threshold: float, side: int) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH, miss: float = MISS,
-                    block: int = BLOCK, side: int = SIDE, exact: int = EXACT) -> DataFrame:
+                    block: int = BLOCK, side: int = SIDE, most: int = MOST) -> DataFrame:
     """Each row of ``vectors`` (vec_id only) with n_links, component_id and kept.
 
     Rows whose id, label or vector is NULL, and vectors of zeros or with NULL or non-finite
@@ -344,7 +312,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, width: int
     label are links of each other. Rows that repeat an id are rows of their own.
     """
     classes = kept(_classes(vectors))
-    roots = _roots(classes, threshold, width, miss, block, exact)
+    roots = _roots(classes, threshold, width, miss, block, most)
     of_class = classes.select("rep", "label", "vector", "copies").join(
         roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("component", F.coalesce("root", "rep"))
     joined = roots.select(F.col("node").alias("rep"), F.col("root").alias("component")).unionByName(

@@ -103,17 +103,23 @@ def links_of(found):
     return {(r.component_id, r.vec_id) for r in found if r.component_id != r.vec_id}
 
 
-@pytest.mark.parametrize("exact,pass_pairs", [(E.EXACT, E.PASS_PAIRS), (0, 0), (0, 10 ** 9)])
-def test_recall_on_vectors_with_a_common_mean(spark, monkeypatch, exact, pass_pairs):
-    """Whole groups, passes only, and a group whose passes are dearer than its pairs."""
-    monkeypatch.setattr(E, "PASS_PAIRS", pass_pairs)
-    monkeypatch.setattr(E, "AT_ONCE", 48)
+@pytest.mark.parametrize("most", [E.MOST, 4])
+def test_recall_on_vectors_with_a_common_mean(spark, monkeypatch, most):
+    """Far from the origin, with windows that are short for the group, and when the measured density may ask for little."""
+    monkeypatch.setattr(E, "AT_ONCE", 24)
     n, pairs = 2000, 200
     v = off_centre(n, pairs, 0.7)
     df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>, label int")
-    found = links_of(E.near_duplicates(df.repartition(4), width=16, exact=exact).collect())
+    found = links_of(E.near_duplicates(df.repartition(4), width=16, most=most).collect())
     planted = {(n + 2 * i, n + 2 * i + 1) for i in range(pairs)}
-    assert len(planted & found) >= (0.99 if pass_pairs == 0 else 1) * pairs
+    assert len(planted & found) >= 0.99 * pairs
+
+
+def test_copies_of_a_mean(spark, monkeypatch):
+    monkeypatch.setattr(E, "SERVED", 7)
+    rows = table(3)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(4)
+    assert sorted(map(tuple, E.near_duplicates(df, 0.93).collect()), key=str) == brute(rows, 0.93)
 
 
 def test_more_rows_need_more_passes():
