@@ -1,7 +1,7 @@
 """Language identification of mixed texts: word scores, and Viterbi over the words of a text.
 
 A language's model counts hashed letter trigrams of words. A word's score for a language is
-the mean log likelihood of its trigrams. The script of a word's first letter narrows the
+the sum of its trigrams' log likelihoods. The script of a word's first letter narrows the
 candidates to languages that were learnt with that script; if there are none, all stay, and
 so they do for scripts that are not listed here. Letters are those of Unicode, with the marks
 that follow them. The
@@ -9,14 +9,20 @@ Viterbi path through a text's words pays a penalty for each switch of language,
 the spans. The language with the most letters is that of the text; the score is its share of
 the letters, weighed by how much better it explains them than the next candidate does.
 
-Counts are summed by Spark over a bounded sample of labelled rows (``sample`` rows), and at
-most ``languages`` x 2**BITS of them are fetched. All texts of a batch take the Viterbi
-steps together.
+Counts are summed by Spark over a bounded sample of labelled rows: ``sample`` rows, and of
+each language at least ``least`` rows or all it has. The languages of the sample are the
+candidates, however many there are; a model has 2**BITS numbers for each. All texts of a
+batch take the Viterbi steps together. A text longer than a batch (``batch_bytes``) is read
+in blocks that end at white space, and the state of the path is carried over; per word only
+the best language and one bit for each language are kept. A word that is longer than a block
+is cut there and counts as several. Rows that repeat an id are rows of their own.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 
 from shipreport.llm.common import fold, texts
 from shipreport.llm.samples import in_share, share_of
-from shipreport.llm.words import SPACED, pieces, words_of
+from shipreport.llm.words import CHUNK_BYTES, SPACED, pieces, words_of
 
 SAMPLE = 20_000
 FOLDS, HELD_OUT = 4, 2
@@ -37,8 +43,10 @@ BITS = 16
 PENALTY = 4.0
 #: Scores of words differ by no more than this between languages.
 CLIP = 6.0
-#: The languages that are learnt, the most frequent first.
-LANGUAGES = 200
+#: Rows of a language that are learnt at least, if it has so many.
+LEAST = 200
+#: Bytes of text times languages that are scored together.
+CELLS = 1 << 22
 
 #: First code points of scripts, in order; letters where there is 0 are of OTHER.
 SCRIPTS = ((0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0xAB, 0), (0xB5, 1), (0xB6, 0),
@@ -49,6 +57,7 @@ SCRIPTS = ((0x00, 0), (0x41, 1), (0x5B, 0), (0x61, 1), (0x7B, 0), (0xAA, 1), (0x
 #: The script of letters of all other scripts, which keeps all candidates.
 OTHER = 13
 N_SCRIPTS = 14
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _scripts() -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +124,7 @@ class Model:
         np.cumsum(self.table[found.grams], axis=0, out=sums[1:])
         first = found.first_gram
         scores = sums[first[:-1] + found.letters] - sums[first[:-1]]
+        del sums
         allowed = self.scripts[found.script] | (found.script == OTHER)[:, None]
         allowed = allowed | ~allowed.any(1)[:, None]
         scores = np.where(allowed, scores, -np.inf)
@@ -128,10 +138,10 @@ class Model:
         order = np.argsort(-counts, kind="stable")
         first, counts = first[order], counts[order]
         steps, width = int(counts.max(initial=0)), len(self.languages)
-        back = np.zeros(scores.shape, np.int16)
+        back = np.zeros(scores.shape, np.int32)
         active = np.searchsorted(-counts, -np.arange(steps), side="left")  # texts with more than t words
         best = np.zeros((n, width))
-        own = np.arange(width, dtype=np.int16)
+        own = np.arange(width, dtype=np.int32)
         for t in range(steps):
             k = active[t]
             at = first[:k] + t
@@ -153,67 +163,142 @@ class Model:
                 state[:k] = back[at, state[:k]]
         return path
 
+    @property
+    def batch_bytes(self) -> int:
+        """Bytes of text that are scored together."""
+        return min(CHUNK_BYTES, max(CELLS // max(len(self.languages), 1), 1 << 10))
+
+    def long_path(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of one text, block by block: the language of each word on the best path, letters of words, sums of scores."""
+        best, width = None, len(self.languages)
+        sums, steps = np.zeros(width), []
+        for block in blocks(text, self.batch_bytes):
+            found = letters_of([block])
+            scores = self.word_scores(found)
+            sums += scores.sum(0)
+            tops = np.zeros(len(scores), np.int32)
+            stays = np.zeros((len(scores), width), bool)
+            for t, row in enumerate(scores):
+                if best is None:
+                    best = row.copy()
+                    continue
+                top = best.argmax()
+                switched = best[top] - PENALTY
+                np.greater_equal(best, switched, out=stays[t])
+                tops[t] = top
+                best = np.maximum(best, switched) + row
+                best -= best[top]  # values stay small, their differences are the same
+            steps.append((tops, np.packbits(stays, axis=1), found.letters.astype(np.int32)))
+        n = sum(len(tops) for tops, _, _ in steps)
+        path = np.zeros(n, np.int32)
+        state, at = int(best.argmax()) if n else 0, n
+        for tops, stays, _ in reversed(steps):
+            for t in range(len(tops) - 1, -1, -1):
+                at -= 1
+                path[at] = state
+                if at and not stays[t, state >> 3] >> (7 - (state & 7)) & 1:
+                    state = int(tops[t])
+        return path, np.concatenate([x[2] for x in steps] or [np.empty(0, np.int32)]), sums
+
     def predict(self, held: list[bytes], spans: bool = False):
         """Per text the language, the score and, if asked for, its spans (language, first word, words)."""
-        n = len(held)
-        found = letters_of(held)
         if not self.languages:
-            return [(UNKNOWN, 0.0, [])] * n
+            return [(UNKNOWN, 0.0, [])] * len(held)
+        size, out, short = self.batch_bytes, [None] * len(held), []
+        for i, text in enumerate(held):
+            if len(text) > size:
+                path, letters, sums = self.long_path(text)
+                share = np.bincount(path, letters, len(self.languages))
+                out[i] = self._named(share, sums, path, spans)
+            else:
+                short.append(i)
+        for low, high, some in pieces([held[i] for i in short], size):
+            for i, found in zip(short[low:high], self._predict_short(some, spans)):
+                out[i] = found
+        return out
+
+    def _predict_short(self, held: list[bytes], spans: bool):
+        n, width = len(held), len(self.languages)
+        found = letters_of(held)
         scores = self.word_scores(found)
         path = self.paths(scores, found.text, n)
-        width = len(self.languages)
         share = np.bincount(found.text * width + path, found.letters, n * width).reshape(n, width)
-        total = share.sum(1)
-        best = share.argmax(1)
-        # How much better the language explains the text's words than the next one does.
         sums = np.column_stack([np.bincount(found.text, scores[:, j], n) for j in range(width)]).astype(float)
-        own = sums[np.arange(n), best]
-        sums[np.arange(n), best] = -np.inf
-        margin = np.clip(own - sums.max(1), -CLIP, CLIP) if width > 1 else np.full(n, CLIP)
-        score = share[np.arange(n), best] / np.maximum(total, 1) / (1 + np.exp(-margin))
-        out = []
-        ends = np.cumsum(np.bincount(found.text, minlength=n))
-        for i in range(n):
-            name = self.languages[best[i]] if total[i] else UNKNOWN
-            part = []
-            if spans and total[i]:
-                own_path = path[ends[i - 1] if i else 0:ends[i]]
-                cuts = [0, *(np.flatnonzero(np.diff(own_path)) + 1).tolist(), len(own_path)]
-                part = [(self.languages[own_path[a]], a, b - a) for a, b in zip(cuts, cuts[1:])]
-            out.append((name, float(score[i]) if total[i] else 0.0, part))
-        return out
-
-
-def learnt(documents: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+        ends = np.concatenate([[0], np.cumsum(np.bincount(found.text, minlength=n))])
+        return [self._named(share[i], sums[i], path[ends[i]:ends[i + 1]], spans) for i in range(n)]
+
+    def _named(self, share: np.ndarray, sums: np.ndarray, path: np.ndarray, spans: bool):
+        """The result of one text, from letters a language, sums of scores and the path."""
+        total = share.sum()
+        if not total:
+            return UNKNOWN, 0.0, []
+        best = int(share.argmax())
+        # How much better the language explains the text's words than the next one does.
+        others = np.delete(sums, best)
+        margin = float(np.clip(sums[best] - others.max(), -CLIP, CLIP)) if len(others) else CLIP
+        part = []
+        if spans:
+            cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
+            part = [(self.languages[path[a]], a, b - a) for a, b in zip(cuts, cuts[1:])]
+        return self.languages[best], float(share[best] / total / (1 + np.exp(-margin))), part
+
+
+def blocks(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes that end at white space or, within longer words, at a character."""
+    low = 0
+    while low < len(text):
+        high = low + size
+        if high < len(text):
+            blank = _BLANK.search(text, high, high + size)
+            high = blank.start() if blank else min(high + size, len(text))
+            while not blank and high < len(text) and text[high] & 0xC0 == 0x80:
+                high += 1
+        yield text[low:high]
+        low = high
+
+
+def learnt(documents: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> Model:
     """Counts of a bounded sample of rows with text and language outside the held-out fold."""
     rows = documents.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                           & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", "lang", "text")
-    names = sorted(r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect())
-    if not names:
-        return Model([], np.zeros((2 ** BITS, 0)), np.zeros((N_SCRIPTS, 0), bool))
+                           & (fold("doc_id", FOLDS) != HELD_OUT)).select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     share = share_of(rows.count(), sample)
-    rows = rows.where(in_share("doc_id", 23, share))
-    number = {name: i for i, name in enumerate(names)}
+    if share < 1:
+        counts = rows.groupBy("lang").agg(F.count("*").alias("rows_of_lang"))
+        place = F.xxhash64(F.col("doc_id").cast("long"), F.lit(29)) / F.lit(2.0 ** 64) + 0.5
+        rows = rows.join(counts, "lang").where(
+            in_share("doc_id", 23, share) | (place * F.col("rows_of_lang") < least)).select("doc_id", "lang", "text")
     width = 2 ** BITS + N_SCRIPTS
 
     def run(batches):
         for batch in batches:
-            lang = [number.get(x, -1) for x in batch.column("lang").to_pylist()]
-            total = np.zeros(len(names) * width, np.int64)
-            for low, high, held in pieces(texts(batch)):
-                found = letters_of(held)
-                of_word = np.array(lang[low:high], np.int64)[found.text]
-                of_gram = np.repeat(of_word, found.letters)
-                known, known_words = of_gram >= 0, (of_word >= 0) & (found.letters > 0)
-                total += np.bincount(of_gram[known] * width + found.grams[known], minlength=len(total))
-                total += np.bincount(of_word[known_words] * width + 2 ** BITS + found.script[known_words], minlength=len(total))
-            cells = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "n"])
-
-    counted = rows.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(len(names) * width)
-    total[counted["cell"].to_numpy()] = counted["n"].to_numpy()
-    total = total.reshape(len(names), width)
+            langs, number = np.unique(batch.column("lang").to_numpy(zero_copy_only=False), return_inverse=True)
+            for low, _, held in pieces(texts(batch)):
+                for i, part in parts_of(held):
+                    found = letters_of(part)
+                    of_word = number[low + i:low + i + len(part)][found.text]
+                    has = found.letters > 0
+                    cells, n = np.unique(np.concatenate([
+                        np.repeat(of_word, found.letters) * width + found.grams,
+                        of_word[has] * width + 2 ** BITS + found.script[has]]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(langs[cells // width], pa.string()), pa.array(cells % width, pa.int64()), pa.array(n, pa.int64())],
+                        names=["lang", "cell", "n"])
+
+    def parts_of(held):
+        """Texts together or, if there is but one, its blocks: number of the first text, texts."""
+        if len(held) > 1:
+            yield 0, held
+        else:
+            yield from ((0, [block]) for block in blocks(held[0], CHUNK_BYTES))
+
+    counted = rows.select("lang", "text").mapInArrow(run, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(
+        F.sum("n").alias("n")).toArrow()  # at most the letters and words of the sample
+    names, of = np.unique(np.array(counted["lang"].to_pylist(), object), return_inverse=True)
+    names = names.tolist()
+    if not names:
+        return Model([], np.zeros((2 ** BITS, 0)), np.zeros((N_SCRIPTS, 0), bool))
+    total = np.zeros((len(names), width))
+    total[of, counted["cell"].to_numpy()] = counted["n"].to_numpy()
     # A language that the sample has no letter of would take all that the others have not seen.
     trained = total[:, :2 ** BITS].any(1)
     names, total = [name for name, t in zip(names, trained) if t], total[trained]

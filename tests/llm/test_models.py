@@ -186,3 +186,54 @@ def test_a_language_without_sampled_letters_is_no_candidate(spark):
     letterless = language.learnt(docs.where("lang = 'xx'"))
     assert letterless.languages == []
     assert {r.lang_pred for r in language.predicted(docs.where("lang = 'xx'"), letterless).collect()} == {"und"}
+
+
+def three_languages():
+    rng = np.random.default_rng(7)
+    model = language.Model(["a", "b", "c"], rng.random((2 ** language.BITS, 3)) * -3, np.ones((language.N_SCRIPTS, 3), bool))
+    words = ["".join(rng.choice(list("abcdefgh"), rng.integers(1, 9))) for _ in range(3000)]
+    return model, (" ".join(words) + " 12 ").encode()
+
+
+@pytest.mark.parametrize("cells", [3 << 10, 30_000])
+def test_blocks_of_a_long_text_give_the_same_path(monkeypatch, cells):
+    model, text = three_languages()
+    whole, = model.predict([text], spans=True)
+    monkeypatch.setattr(language, "CELLS", cells)
+    assert model.batch_bytes < len(text)
+    cut, empty = model.predict([text, b""], spans=True)
+    assert cut[0] == whole[0] and abs(cut[1] - whole[1]) < 1e-9 and cut[2] == whole[2] and len(whole[2]) > 5
+    assert empty == (language.UNKNOWN, 0.0, [])
+    assert model.predict([b"1 2 " * 9000]) == [(language.UNKNOWN, 0.0, [])]
+
+
+@pytest.mark.parametrize("text", ["é" * 5000, "ab " * 5000, " " * 9000, "x" * 2999 + " " + "語" * 3000])
+def test_blocks_are_the_text(text):
+    found = list(language.blocks(text.encode(), 1000))
+    assert b"".join(found) == text.encode() and all(len(b) <= 2003 for b in found)
+    assert "".join(b.decode() for b in found) == text
+
+
+def test_memory_of_a_very_long_text():
+    """1.4 MB in 200 languages, beside the model; of each further word 29 bytes are kept."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    model = language.Model([str(i) for i in range(200)], rng.random((2 ** language.BITS, 200)) * -3,
+                           np.ones((language.N_SCRIPTS, 200), bool))
+    text = b"some words of a long text and more " * 40_000
+    tracemalloc.start()
+    (name, score, _), = model.predict([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert name in model.languages and 0 <= score <= 1 and peak < 100 << 20
+
+
+def test_rare_languages_are_learnt_and_none_is_left_out(spark):
+    rows = [(i, f"the quick brown fox {i}", "en") for i in range(3000)]
+    rows += [(10_000 + i, "zxq wvk jjq " * 3, "rare") for i in range(8)]
+    rows += [(20_000 + i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}q" * 4, f"l{i // 4:03d}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learnt(docs, sample=200, least=20)
+    assert "rare" in model.languages and len(model.languages) > 250
+    assert model.predict([b"zxq wvk"])[0][0] == "rare"
