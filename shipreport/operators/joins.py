@@ -5,9 +5,10 @@ is left to Catalyst, without a hint, so that adaptive execution may still decide
 Any other join is a shuffle. Where the session lets adaptive execution split skewed
 partitions, it does so on every side that it can, and nothing is counted first. The rest,
 which is the inner side of an outer join, or every side without adaptive execution, is
-salted: keys that hold more rows than a fair partition are found by one exact count with
+salted: keys that hold more rows than a fair partition are found by an exact count with
 map-side partials, of which only those keys come back: fewer than the number of partitions,
-by definition. They are spread over as many salts as their share asks for, and the other
+by definition. It first counts keys in buckets of their hash, a few for each partition, and then
+single keys of those buckets alone that hold more than a partition's share. They are spread over as many salts as their share asks for, and the other
 side is copied for those keys only.
 
 ``attach`` joins a dimension or a table with one or few rows per key, ``fan_out`` two large
@@ -26,8 +27,8 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 # A key of fewer rows than this is no burden for one task. With 0 every side is counted.
 HOT_ROWS = 100_000
-# Salts of a key whose frame is not counted.
-SPREAD = 16
+# Buckets that keys are counted in together: so many at least, and for each partition.
+BUCKETS, BUCKETS_A_PARTITION = 1024, 8
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -71,18 +72,38 @@ class Probe:
         self._hot |= {keys: [] for keys in lists}
         if self._rows is not None and self._rows <= max(HOT_ROWS, self._rows / partitions):
             return
-        # One job: all rows have one more key in common, whose count is theirs. No more keys than
-        # partitions can hold more than a partition's share, so no more come back.
-        hashes = F.explode(F.array(F.struct(F.lit(-1).alias("list"), F.lit(0).cast("long").alias("hash")), *[
-            F.struct(F.lit(i).alias("list"), _key_hash(k).alias("hash")) for i, k in enumerate(lists)]))
-        counts = self.df.select(hashes.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-        counts = counts.where((F.col("rows") > HOT_ROWS) | (F.col("key.list") < 0))
-        found = counts.orderBy(F.desc("rows"), "key.list").limit(partitions * len(lists) + 1).collect()
-        self._rows = found[0]["rows"] if found else 0
-        for row in found:
-            if row["key"]["list"] >= 0 and row["rows"] > max(HOT_ROWS, self._rows / partitions):
+        # Keys are counted together first, in buckets of their hash. No bucket holds less than one of its
+        # keys, so only keys of buckets with too many rows are counted one by one, often none.
+        buckets = max(BUCKETS, BUCKETS_A_PARTITION * partitions)
+        found = self._counts(lists, F.pmod(F.col("key.hash"), F.lit(buckets)), None)
+        self._rows = next((row["rows"] for row in found if row["list"] < 0), 0)
+        limit = max(HOT_ROWS, self._rows / partitions)
+        large = [(row["list"], row["part"]) for row in found if row["list"] >= 0 and row["rows"] > limit]
+        if not large:
+            return
+        some = sorted({i for i, _ in large})
+        table = self.df.sparkSession.createDataFrame([(some.index(i), part) for i, part in large], "list int, part long")
+        for row in self._counts([lists[i] for i in some], F.col("key.hash"), (table, buckets)):
+            if row["rows"] > limit:
                 salts = math.ceil(row["rows"] / self._rows * partitions)
-                self._hot[lists[row["key"]["list"]]].append((row["key"]["hash"], salts))
+                self._hot[lists[some[row["list"]]]].append((row["part"], salts))
+
+    def _counts(self, lists: list[tuple[str, ...]], part: Column, within: tuple[DataFrame, int] | None) -> list:
+        """Rows by list and ``part`` of the key's hash, of those with more than ``HOT_ROWS``, and of all under list -1.
+
+        No more parts than partitions can hold more than a partition's share, so no more come back of a list.
+        """
+        partitions = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        keys = [F.struct(F.lit(-1).alias("list"), F.lit(0).cast("long").alias("hash")), *[
+            F.struct(F.lit(i).alias("list"), _key_hash(k).alias("hash")) for i, k in enumerate(lists)]]
+        rows = self.df.select(F.explode(F.array(*keys)).alias("key"))
+        if within is not None:
+            table, buckets = within
+            rows = rows.withColumns({"list": F.col("key.list"), "part": F.pmod(F.col("key.hash"), F.lit(buckets))})
+            rows = rows.join(F.broadcast(table), ["list", "part"], "left_semi")
+        counts = rows.groupBy(F.col("key.list").alias("list"), part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+        counts = counts.where((F.col("rows") > HOT_ROWS) | (F.col("list") < 0))
+        return counts.orderBy(F.desc("rows"), "list").limit(partitions * len(lists) + 1).collect()
 
 
 def split_by_spark(df: DataFrame) -> bool:
@@ -170,22 +191,26 @@ def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "le
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
+def paired(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of two sides that hold one row per key, so that none is hot and nothing is counted."""
+    _check_key_types(left, right, on)
+    return left.join(right, list(on))
+
+
 def thinned(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """The rows of ``df`` whose key ``keys`` has.
 
-    Meant for a large table that is aggregated by the key next. It is not counted first:
-    every key gets ``SPREAD`` salts, so a hot one is met by several tasks, and the partial
-    aggregates of these are all that is shuffled on.
+    Meant for a large table that is aggregated by the key next. Only hot keys are salted, so that
+    they are met by several tasks, and all others are shuffled once and stay where the aggregate
+    needs them.
     """
-    on = list(on)
-    _check_key_types(df, keys, on)
-    wanted = keys.select(*on).distinct()
-    if left_to_catalyst(wanted):
-        return df.join(wanted, on, "left_semi")
-    mixed = F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id())
-    salted = df.withColumn("_salt", F.pmod(mixed, F.lit(SPREAD)).cast("int"))
-    copies = wanted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    return salted.join(copies, [*on, "_salt"], "left_semi").drop("_salt")
+    return attach(df, keys.select(*on).distinct(), on, "left_semi")
+
+
+def flag_known(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+    """``thinned`` as a true or false column, all rows kept: both parts of ``df`` by one join."""
+    known = keys.select(*on).distinct().withColumn(name, F.lit(True))
+    return attach(df, known, on).withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, str],

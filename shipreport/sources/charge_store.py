@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipreport.operators.charges import charge_pivot
-from shipreport.operators.joins import attach
+from shipreport.operators.joins import attach, paired
 from shipreport.sources.layout import month_of
 
 MONTH, MARK = "month", "is_mark"
@@ -39,7 +39,7 @@ class ChargeStore:
     def touched(self, headers: DataFrame, arrived: DataFrame, date: str = "invoice_date") -> list[str]:
         """The months whose sums change by the lines that arrived: a list as long as the calendar."""
         of_key = self.months(headers, date)
-        found = attach(arrived.select(*self.keys).distinct(), of_key, self.keys, "inner")
+        found = paired(arrived.select(*self.keys).distinct(), of_key, self.keys)
         return sorted(r[0] for r in found.select(MONTH).distinct().collect())
 
     def refresh(self, headers: DataFrame, lines: DataFrame, months: Iterable[str] | None = None, date: str = "invoice_date") -> None:
@@ -59,7 +59,7 @@ class ChargeStore:
             marks = of_key.select(MONTH).distinct()
         # Sums first, months then: lines are reduced before they meet a second table.
         wanted = attach(lines, of_key.select(*self.keys), self.keys, "left_semi") if months is not None else lines
-        sums = attach(charge_pivot(wanted, self.keys, self.columns), of_key, self.keys, "inner")
+        sums = paired(charge_pivot(wanted, self.keys, self.columns), of_key, self.keys)
         rows = sums.withColumn(MARK, F.lit(False)).unionByName(marks.withColumn(MARK, F.lit(True)), allowMissingColumns=True)
         # One task a month and no more files than that; a month's sums are a small part of its lines.
         rows.repartition(MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path)

@@ -460,11 +460,11 @@ def charge_sum_stored(r):
     lines = _lines(r).select(*keys, "charge_id", "amount")
     early = headers.where(F.col("invoice_date") < roles.END).select(*keys)
     # All lines of earlier invoices, and some of later ones, are there first.
-    first = joins.thinned(lines, early, keys).unionByName(
-        lines.join(early, list(keys), "left_anti").where("charge_id IN (13, 14)"))
+    known = joins.flag_known(lines, early, keys, "early")
+    first = known.where("early OR charge_id IN (13, 14)").drop("early")
     store = ChargeStore(r.spark, shared_folder(r.spark, "charges"), keys, DIRECT_CHARGES)
     store.refresh(headers, first)
-    arrived = lines.join(early, list(keys), "left_anti").where("charge_id NOT IN (13, 14)")
+    arrived = known.where("NOT early AND charge_id NOT IN (13, 14)").drop("early")
     store.refresh(headers, lines, store.touched(headers, arrived))
     return joins.attach(headers.select("source_id", *keys), store.read(), keys).drop("station")
 

@@ -97,3 +97,14 @@ def test_months_of_a_report_are_pruned(spark, store):
     df = store.read(["2024-02"])
     assert {r["invoice_no"] for r in df.collect()} == {"B"}
     assert re.search(r"PartitionFilters: \[[^]]*month#\d+ = 2024-02", plan(df))
+
+
+def test_sums_of_one_row_a_key_are_not_counted_for_hot_keys(spark, store, even, monkeypatch):
+    from shipreport.operators import joins
+
+    probed = []
+    monkeypatch.setattr(joins.Probe, "_search", lambda self, lists: probed.append(self.df.columns) or self._hot.update({k: [] for k in lists}))
+    monkeypatch.setattr(joins, "split_by_spark", lambda df: False)
+    every = lines(spark, dec(OLD))
+    store.refresh(headers(spark), every, store.touched(headers(spark), every))
+    assert got(store) == want(spark, every) and probed == [every.columns]

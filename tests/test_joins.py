@@ -154,3 +154,31 @@ def test_roles_by_one_join_shuffle_the_dimension_once(spark, even):
     text = plan(QUERIES["customer_roles_once"](spark, SF))
     assert text.count("customer.parquet") == 1 and text.count("Exchange hashpartitioning") == 3
     assert plan(QUERIES["customer_roles"](spark, SF)).count("customer.parquet") == 3
+
+
+def test_only_keys_of_full_buckets_are_counted_one_by_one(spark, monkeypatch):
+    """A hot key of one of two lists, beside keys without number, by two small counts."""
+    rows = spark.range(40_000).select(F.when(F.col("id") % 4 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    monkeypatch.setattr(joins, "BUCKETS", 16)
+    made, plain = [], joins.Probe._counts
+    monkeypatch.setattr(joins.Probe, "_counts", lambda self, *a: made.append((a[0], plain(self, *a))) or made[-1][1])
+    probe = joins.Probe(rows, ["x"], ["k"])
+    key = rows.where("k = -1").select(F.xxhash64("k")).first()[0]
+    assert probe.hot(["k"]) == [(key, 2)] and probe.hot(["x"]) == [] and probe._rows == 40_000
+    assert [lists for lists, _ in made] == [[("k",), ("x",)], [("k",)]]
+    assert all(len(found) <= 17 for _, found in made)
+
+
+def test_thinned_copies_no_keys(spark, even):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    from test_plans import plan
+
+    text = plan(joins.thinned(df, df.where("k % 3 = 0"), ["k"]).groupBy("k").count())
+    assert "Generate" not in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_rows_are_told_apart_by_the_key_list(spark, even):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (1, "a")], "k bigint, x string")
+    keys = spark.createDataFrame([(1,), (1,), (None,)], "k bigint")
+    assert bag(joins.flag_known(df, keys, ["k"], "known")) == bag(df.withColumn("known", F.coalesce(F.col("k") == 1, F.lit(False))))
