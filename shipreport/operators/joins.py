@@ -201,10 +201,16 @@ def thinned(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """The rows of ``df`` whose key ``keys`` has.
 
     Meant for a large table that is aggregated by the key next. Only hot keys are salted, so that
-    they are met by several tasks, and all others are shuffled once and stay where the aggregate
-    needs them.
+    they are met by several tasks. The join is by one column more than the aggregate, which
+    therefore runs in tasks of its own: none sorts the table and holds the aggregate as well.
     """
-    return attach(df, keys.select(*on).distinct(), on, "left_semi")
+    on = list(on)
+    _check_key_types(df, keys, on)
+    wanted = keys.select(*on).distinct()
+    if left_to_catalyst(wanted):
+        return df.join(wanted, on, "left_semi")
+    part = F.pmod(_key_hash(on), F.lit(BUCKETS)).cast("int")
+    return attach(df.withColumn("_part", part), wanted.withColumn("_part", part), [*on, "_part"], "left_semi").drop("_part")
 
 
 def flag_known(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFrame:

@@ -180,6 +180,9 @@ CONSTANTS: dict[str, str] = {
 MILESTONES = {"shipped": 500, "delivered": 2970, "arrived": 3000}
 MILESTONE_LINE, MILESTONE_STATUS = 2, 1
 INVOICE = ["invoice_key", "station"]
+#: What the report reads of a house bill. The join that is kept holds no other columns.
+BILL = ["house_no", "house_key", "customer_id", "shipper_id", "consignee_id", "receipt_city", "delivery_city",
+        "origin_airport", "dest_airport", "charge_wt", "pcs", "pcs_uom"]
 # Units that are counted as pallets and as cartons.
 PALLET, CARTON = "PLT", "CTN"
 
@@ -216,8 +219,9 @@ def invoice_rows(tables: Mapping[str, DataFrame], billing: Billing,
                               code_eq(F.col("code"), billing.bill_to_code, ignore_case))
     invoices = invoices.select(*SHIPMENT, "invoice_key", "invoice_no", "invoice_date", "amount")
 
-    bills = filter_by_code(houses_of(t, modes), customers, "customer_id", "customer_id",
+    bills = filter_by_code(houses_of(t, modes).select(*SHIPMENT, *BILL), customers, "customer_id", "customer_id",
                            code_eq(F.col("code"), billing.customer_code, ignore_case))
+    bills = bills.drop("customer_id")
     # The selective join comes first; all that follows is attached to its rows.
     rows = survivors = shared(
         fan_out(invoices, bills, SHIPMENT, "inner", Probe(invoices, SHIPMENT), Probe(bills, SHIPMENT)))

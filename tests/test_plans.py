@@ -131,3 +131,12 @@ def test_shuffled_joins_leave_no_salt_columns(spark, shuffled):
     report = weight_rows(weight_tables(spark), at("2024-03-01"), at("2024-03-31"), [1], "ACME")
     assert report.count() == 4 and not [c for c in report.columns if c.startswith("_")]
     assert report.where(F.col("Mode") == "AE").count() == 2
+
+
+def test_the_kept_join_of_the_invoice_report_holds_what_the_report_reads(spark, monkeypatch):
+    from shipreport.plans import invoices
+
+    kept, plain = [], invoices.shared
+    monkeypatch.setattr(invoices, "shared", lambda df: kept.append(df.columns) or plain(df))
+    QUERIES["invoice_report_all"](spark, SF)
+    assert set(kept[0]) == {*invoices.SHIPMENT, *invoices.BILL, "invoice_key", "invoice_no", "invoice_date", "amount"} - {"customer_id"}
