@@ -241,28 +241,35 @@ def with_roles_once(df: DataFrame, dimension: DataFrame, key: str, roles: dict[s
 
     Role ids are unpivoted, joined with the dimension together, and pivoted back, so that the
     dimension is shuffled once and ``df`` twice, whatever the number of roles. Of the rows that
-    stand for one row only the first role's carries its columns. A row is known by 128 bits of
+    stand for one row only the first role's carries its columns, and those of NULL ids of other
+    roles are left out. Ids are taken from the melted rows again, where they are asked for. A row is known by 128 bits of
     hashes of its columns, which a task that runs again gives it again; equal rows travel as
     one and are counted. The dimension must hold an id once.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     ids = [F.col(f"`{c}`") for c in roles.values()]
+    # One column at least, so that there is a row.
+    own = [c for c in df.columns if c not in roles.values()] or df.columns[:1]
     # Spark's hashes pass over NULLs, so it is hashed as well where they are.
     nested = {f.name for f in df.schema.fields if isinstance(f.dataType, (ArrayType, MapType, StructType))}
     content = [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if n in nested else c for n, c in zip(df.columns, columns)]
     content += [c.isNull() for c in columns]
     melted = df.select(
-        F.xxhash64(F.lit(1), *content).alias("_a"), F.xxhash64(F.lit(2), *content).alias("_b"), F.struct(*columns).alias("_row"),
+        F.xxhash64(F.lit(1), *content).alias("_a"), F.xxhash64(F.lit(2), *content).alias("_b"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"),
         F.posexplode(F.array(*ids)).alias("_role", key))
+    melted = melted.where((F.col("_role") == 0) | F.col(f"`{key}`").isNotNull())
     melted = melted.withColumn("_row", F.when(F.col("_role") == 0, F.col("_row")))
     narrow = dimension.select(key, F.struct(*attributes).alias("_found"))
     joined = attach(melted, narrow, [key])
     first = F.col("_role") == 0
     pivoted = joined.groupBy("_a", "_b").agg(
         F.first("_row", ignorenulls=True).alias("_row"), F.count(F.when(first, 1)).alias("_copies"),
-        *[F.first(F.when(F.col("_role") == i, F.col("_found")), ignorenulls=True).alias(f"_found_{i}") for i in range(len(roles))])
+        *[F.first(F.when(F.col("_role") == i, F.col("_found")), ignorenulls=True).alias(f"_found_{i}") for i in range(len(roles))],
+        *[F.first(F.when(F.col("_role") == i, F.col(f"`{key}`")), ignorenulls=True).alias(f"_id_{i}") for i in range(len(roles))])
+    place = {c: i for i, c in enumerate(roles.values())}
+    back = [F.col(f"_row.`{c}`") if c in own else F.col(f"_id_{place[c]}").cast(df.schema[c].dataType).alias(c) for c in df.columns]
     found = [F.col(f"_found_{i}.{a}").alias(f"{prefix}_{a}") for i, prefix in enumerate(roles) for a in attributes]
-    each = pivoted.select("_row.*", *found, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+    each = pivoted.select(*back, *found, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
     return each.drop("_copy")
 
 

@@ -183,3 +183,16 @@ def test_rows_are_told_apart_by_the_key_list(spark, even):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (1, "a")], "k bigint, x string")
     keys = spark.createDataFrame([(1,), (1,), (None,)], "k bigint")
     assert bag(joins.flag_known(df, keys, ["k"], "known")) == bag(df.withColumn("known", F.coalesce(F.col("k") == 1, F.lit(False))))
+
+
+def test_roles_by_one_join_make_no_rows_for_missing_ids(spark, even):
+    df = spark.createDataFrame([(1, None), (None, None), (2, 1)], "a bigint, b bigint")
+    dim = spark.createDataFrame([(1, "n1")], "id bigint, name string")
+    seen = []
+    attach = joins.attach
+    joins.attach = lambda left, *a, **k: seen.append(left.count()) or attach(left, *a, **k)
+    try:
+        got = joins.with_roles_once(df, dim, "id", {"one": "a", "two": "b"}, ["name"])
+    finally:
+        joins.attach = attach
+    assert seen == [4] and bag(got) == bag(joins.with_roles(df, dim, "id", {"one": "a", "two": "b"}, ["name"]))
