@@ -14,6 +14,8 @@ side is copied for those keys only.
 ``attach`` joins a dimension or a table with one or few rows per key, ``fan_out`` two large
 tables of which either may hold many rows per key, ``thinned`` leaves out rows that no key
 of another frame needs. The count only decides how rows are spread; every row is joined.
+A dimension of which every task can hold its part is joined by hash (``held_by_tasks``), so that
+the other side is not sorted and nothing of it spills, however few the partitions are.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 HOT_ROWS = 100_000
 # Buckets that keys are counted in together: so many at least, and for each partition.
 BUCKETS, BUCKETS_A_PARTITION = 1024, 8
+# A task may hold so many bytes of a dimension, as they are stored; in memory they are a few times more.
+HELD_BYTES = 16 << 20
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -42,6 +46,18 @@ def left_to_catalyst(df: DataFrame) -> bool:
     return planned_bytes(df) <= limit
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """The size of all that ``df`` is read from, by Catalyst; a join of it does not multiply sizes here."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def held_by_tasks(df: DataFrame) -> bool:
+    """A partition's share of a dimension fits a hash table; a table of unknown size does not."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored_bytes(df) <= HELD_BYTES * partitions
+
+
 def _key_hash(on: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in on])
 
@@ -147,7 +163,7 @@ def _check_key_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> No
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
                 hot_left: list[tuple[int, int]],
-                hot_right: list[tuple[int, int]] = ()) -> DataFrame:
+                hot_right: list[tuple[int, int]] = (), hashed: bool = False) -> DataFrame:
     """Equi-join with hot keys of either side spread over salts.
 
     A pair of matching rows meets in exactly one salt combination. Hot keys on the
@@ -155,22 +171,26 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     """
     on = list(on)
     if not hot_left and not hot_right:
-        return left.join(right, on, how)
+        return left.join(right.hint("shuffle_hash") if hashed else right, on, how)
     if hot_right and how != "inner":
         raise ValueError("hot keys on the right side need an inner join")
     a = _with_salts(_with_salts(left, on, "_salt_l", hot_left, True), on, "_salt_r", hot_right, False)
     b = _with_salts(_with_salts(right, on, "_salt_r", hot_right, True), on, "_salt_l", hot_left, False)
-    return a.join(b, [*on, "_salt_l", "_salt_r"], how).drop("_salt_l", "_salt_r")
+    return a.join(b.hint("shuffle_hash") if hashed else b, [*on, "_salt_l", "_salt_r"], how).drop("_salt_l", "_salt_r")
 
 
 def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-           probe: Probe | None = None) -> DataFrame:
-    """Join ``left`` to a dimension, or to a table with one or few rows per key."""
+           probe: Probe | None = None, hashed: bool = False) -> DataFrame:
+    """Join ``left`` to a dimension, or to a table with one or few rows per key.
+
+    ``hashed`` asks for a hash table of each partition of ``right``, where that is not left to Catalyst.
+    """
     on = list(on)
     _check_key_types(left, right, on)
-    if split_by_spark(left) or left_to_catalyst(right):
+    if left_to_catalyst(right):
         return left.join(right, on, how)
-    return salted_join(left, right, on, how, _probe(left, probe).hot(on))
+    hot = [] if split_by_spark(left) else _probe(left, probe).hot(on)
+    return salted_join(left, right, on, how, hot, hashed=hashed)
 
 
 def fan_out(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -224,14 +244,16 @@ def with_roles(df: DataFrame, dimension: DataFrame, key: str, roles: dict[str, s
     """Join one dimension several times under different roles.
 
     ``roles`` maps a prefix to the column of ``df`` that holds that role's id; the
-    attributes arrive as ``<prefix>_<attribute>``.
+    attributes arrive as ``<prefix>_<attribute>``. ``df`` is shuffled once a role; it is sorted
+    only if the dimension is too large for a hash table of each partition.
     """
+    hashed = held_by_tasks(dimension)
     if probe is None:
         probe = Probe(df, *[[column] for column in roles.values()])
     for prefix, column in roles.items():
         narrow = dimension.select(
             F.col(key).alias(column), *[F.col(a).alias(f"{prefix}_{a}") for a in attributes])
-        df = attach(df, narrow, [column], probe=probe)
+        df = attach(df, narrow, [column], probe=probe, hashed=hashed)
     return df
 
 
@@ -260,7 +282,7 @@ def with_roles_once(df: DataFrame, dimension: DataFrame, key: str, roles: dict[s
     melted = melted.where((F.col("_role") == 0) | F.col(f"`{key}`").isNotNull())
     melted = melted.withColumn("_row", F.when(F.col("_role") == 0, F.col("_row")))
     narrow = dimension.select(key, F.struct(*attributes).alias("_found"))
-    joined = attach(melted, narrow, [key])
+    joined = attach(melted, narrow, [key], hashed=held_by_tasks(dimension))
     first = F.col("_role") == 0
     pivoted = joined.groupBy("_a", "_b").agg(
         F.first("_row", ignorenulls=True).alias("_row"), F.count(F.when(first, 1)).alias("_copies"),

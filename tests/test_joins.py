@@ -196,3 +196,50 @@ def test_roles_by_one_join_make_no_rows_for_missing_ids(spark, even):
     finally:
         joins.attach = attach
     assert seen == [4] and bag(got) == bag(joins.with_roles(df, dim, "id", {"one": "a", "two": "b"}, ["name"]))
+
+
+@pytest.mark.parametrize("fixture", [None, "shuffled", "even"])
+def test_roles_from_a_hash_table(spark, request, tmp_path, monkeypatch, fixture):
+    """Like plain joins: NULL, unknown and hot ids, equal rows, ids that the dimension holds twice or as NULL."""
+    if fixture:
+        request.getfixturevalue(fixture)
+    rng = random.Random(8)
+    ids = [None, 7, 7, 7, *range(40)]
+    df = spark.createDataFrame([(rng.choice(ids), rng.choice(ids), rng.choice("ab")) for _ in range(900)], "a bigint, b bigint, x string")
+    named = [(i, f"n{i}") for i in range(30)] + [(7, "again"), (None, "none"), (3, None)]
+    spark.createDataFrame(named, "id bigint, name string").write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    want = df
+    for prefix, column in (("one", "a"), ("two", "b")):
+        want = want.join(dim.select(F.col("id").alias(column), F.col("name").alias(f"{prefix}_name")), column, "left")
+    got = bag(joins.with_roles(df, dim, "id", {"one": "a", "two": "b"}, ["name"]))
+    assert got == bag(want) and sum(got.values()) > 900
+    monkeypatch.setattr(joins, "HELD_BYTES", 0)
+    assert bag(joins.with_roles(df, dim, "id", {"one": "a", "two": "b"}, ["name"])) == got
+
+
+@pytest.mark.parametrize("name,roles", [
+    ("customer_roles", 3), ("customer_roles_once", 1), ("consignee_country", 1), ("origin_destination", 2)])
+def test_roles_sort_no_house_bills(spark, even, monkeypatch, name, roles):
+    from shipreport.workload.queries import QUERIES
+    from test_plans import SF, plan
+
+    assert plan(QUERIES[name](spark, SF)).count("ShuffledHashJoin") == roles
+    # A dimension of which a task cannot hold its part is sorted.
+    monkeypatch.setattr(joins, "HELD_BYTES", 0)
+    assert "ShuffledHashJoin" not in plan(QUERIES[name](spark, SF))
+
+
+def test_salted_roles_sort_nothing(spark, shuffled, tmp_path):
+    from test_plans import plan
+
+    spark.range(50).selectExpr("id", "string(id) AS name").write.parquet(f"{tmp_path}/dim")
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 7, id % 60) AS a", "id AS x")
+    assert joins.Probe(df).hot(["a"])
+    text = plan(joins.with_roles(df, spark.read.parquet(f"{tmp_path}/dim"), "id", {"one": "a"}, ["name"]))
+    assert text.count("ShuffledHashJoin") == 1 and "SortMergeJoin" not in text
+
+
+def test_a_table_of_unknown_size_is_not_held(spark):
+    assert joins.held_by_tasks(spark.range(1000))
+    assert not joins.held_by_tasks(spark.createDataFrame([(1,)], "id bigint"))
